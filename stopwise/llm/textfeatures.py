@@ -7,18 +7,20 @@ from collections.abc import Sequence
 
 import numpy as np
 
+#: ASCII punctuation taken off both ends of a word.
 _PUNCT = b".,;:!?\"'()[]{}*#$%&|<>/\\-_=+~`^@"
 _MEMO = 400_000
 
 
 class WordHasher:
-    """32-bit hashes of words, remembered in a bounded table.
+    """32-bit hashes of words, remembered in a bounded table. stem: hash only so many first characters (0: whole words).
 
     A word is lower-cased (A-Z only) and stripped of ASCII punctuation at both ends, so `Word!!` and
     `word` are one; a word of punctuation alone stays as it is.
     """
 
-    def __init__(self) -> None:
+    def __init__(self, stem: int = 0) -> None:
+        self.stem = stem
         self.memo: dict[bytes, int] = {}
 
     def __call__(self, words: Sequence[bytes]) -> np.ndarray:
@@ -26,7 +28,10 @@ class WordHasher:
         if len(memo) > _MEMO:
             memo.clear()
         for w in set(words).difference(memo):
-            memo[w] = zlib.crc32(w.strip(_PUNCT) or w)
+            bare = w.strip(_PUNCT) or w
+            if self.stem and len(bare) > self.stem:
+                bare = bare.decode("utf-8", "replace")[: self.stem].encode()
+            memo[w] = zlib.crc32(bare)
         return np.fromiter(map(memo.__getitem__, words), np.uint64, len(words))
 
 
