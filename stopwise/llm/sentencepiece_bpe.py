@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Sequence
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -90,13 +91,15 @@ class Bpe:
 
     def _pairs(self, sym: np.ndarray, seg: np.ndarray) -> np.ndarray:
         """What each symbol and the next one make (-1: nothing), within a word."""
-        out = np.full(len(sym), -1, np.int64)
-        if len(sym) > 1:
-            key = np.where((sym[:-1] < self.base) & (sym[1:] < self.base), sym[:-1] * self.base + sym[1:], -1)
-            at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-            hit = (self.keys[at] == key) & (seg[:-1] == seg[1:])
-            out[:-1][hit] = self.made[at[hit]]
-        return out
+        return self._next(sym, seg, np.arange(len(sym)))
+
+    def _next(self, sym: np.ndarray, seg: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """The same for the symbols at some places."""
+        after = np.minimum(at + 1, len(sym) - 1)
+        a, b = sym[at], sym[after]
+        key = np.where((a < self.base) & (b < self.base) & (after > at) & (seg[at] == seg[after]), a * self.base + b, -1)
+        place = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        return np.where(self.keys[place] == key, self.made[place], -1)
 
     def encode_words(self, words: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all words one after another, and each word's number of ids."""
@@ -109,9 +112,9 @@ class Bpe:
         sym, seg = table_[where] if len(chars) else np.zeros(0, np.int64), np.repeat(np.arange(len(words)), sizes)
         done_sym, done_seg, done_pos = [], [], []
         pos = np.arange(len(sym))
+        made = self._pairs(sym, seg)
+        rank = np.where(made >= 0, self.rank[made], _NO)
         while len(sym):
-            made = self._pairs(sym, seg)
-            rank = np.where(made >= 0, self.rank[made], _NO)
             first = np.flatnonzero(np.r_[True, seg[1:] != seg[:-1]])
             least = np.minimum.reduceat(rank, first)
             length = np.diff(np.r_[first, len(seg)])
@@ -144,7 +147,12 @@ class Bpe:
             sym[at] = made[at]
             left = np.ones(len(sym), bool)
             left[at + 1] = False
-            sym, seg, pos = sym[left], seg[left], pos[left]
+            sym, seg, pos, made, rank = (x[left] for x in (sym, seg, pos, made, rank))
+            # only the pairs that hold a new symbol change
+            at -= np.arange(len(at))
+            near = np.concatenate([at, at[at > 0] - 1])
+            made[near] = self._next(sym, seg, near)
+            rank[near] = np.where(made[near] >= 0, self.rank[made[near]], _NO)
         if not done_sym:
             return np.zeros(0, np.int64), np.zeros(len(words), np.int64)
         sym, seg, pos = (np.concatenate(x) for x in (done_sym, done_seg, done_pos))
@@ -206,7 +214,7 @@ class Encoder:
             self._clear()
         cut = [self.words(t) for t in texts]
         memo = self.memo
-        fresh = sorted(set().union(*cut).difference(memo)) if cut else []
+        fresh = list(set().union(*cut).difference(memo))
         if fresh:
             ids, counts = self.bpe.encode_words(fresh)
             for w in fresh:
@@ -215,7 +223,7 @@ class Encoder:
             self.count = np.r_[self.count, counts]
             self.ids = np.r_[self.ids, ids.astype(np.int32)]
         sizes = np.fromiter(map(len, cut), np.int64, len(cut))
-        w = np.fromiter((memo[x] for ws in cut for x in ws), np.int64, int(sizes.sum()))
+        w = np.fromiter(map(memo.__getitem__, chain.from_iterable(cut)), np.int64, int(sizes.sum()))
         n = self.count[w]
         tokens = np.concatenate([[0], np.cumsum(n)])
         ends = tokens[np.cumsum(sizes)] if len(sizes) else np.zeros(0, np.int64)
