@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import quality_classifier, quality_rules, sentencepiece_bpe, simhash, toxicity
+from . import mixing, quality_classifier, quality_rules, sentencepiece_bpe, simhash, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": quality_rules.op1_quality_rules,
@@ -14,6 +14,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_sentencepiece": sentencepiece_bpe.op3_sentencepiece,
     "op4_simhash": simhash.op4_simhash,
     "op5_toxicity": toxicity.op5_toxicity,
+    "op7_mixing": mixing.op7_mixing,
+    "op8_warc": warc.op8_warc,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op7_mixing": mixing.OP7_SQL,
+    "op8_warc": warc.OP8_SQL,
+}
