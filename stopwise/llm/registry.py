@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, quality_classifier, quality_rules, sentencepiece_bpe, simhash, toxicity, warc
+from . import ann, mixing, pii, quality_classifier, quality_rules, sentencepiece_bpe, simhash, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": quality_rules.op1_quality_rules,
@@ -16,6 +16,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_toxicity": toxicity.op5_toxicity,
     "op7_mixing": mixing.op7_mixing,
     "op8_warc": warc.op8_warc,
+    "op9_ann": ann.op9_ann,
+    "op10_pii": pii.op10_pii,
 }
 
 ORACLE_SQL: dict[str, str] = {
