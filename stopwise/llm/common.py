@@ -90,3 +90,16 @@ def bounded_sample(df: DataFrame, key: Column, bound: int) -> DataFrame:
 def shared_if_small(df: DataFrame, max_rows: int) -> DataFrame:
     """Mark a side for broadcast if a count proves that it has at most max_rows rows, else leave the join to a shuffle."""
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+
+
+def join_keyed(df: DataFrame, side: DataFrame, keys: Sequence[str], how: str = "inner", max_rows: int = 20_000, salts: int = 64) -> DataFrame:
+    """Join a table with one row per key to rows of which one key may hold a third.
+
+    Broadcast if a count proves that the side has at most max_rows rows. Else both are salted: the rows by
+    their place in the partition (the same in a retry), the side by a copy for each salt.
+    """
+    if side.limit(max_rows + 1).count() <= max_rows:
+        return df.join(F.broadcast(side), list(keys), how)
+    rows = df.withColumn("__salt", F.pmod(F.monotonically_increasing_id(), F.lit(salts)).cast("int"))
+    copies = side.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return rows.join(copies, [*keys, "__salt"], how).drop("__salt")

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ann, mixing, pii, quality_classifier, quality_rules, sentencepiece_bpe, simhash, toxicity, warc
+from . import ann, mixing, pii, quality_classifier, quality_rules, sentencepiece_bpe, simhash, toxicity, url_filter, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": quality_rules.op1_quality_rules,
@@ -14,6 +14,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_sentencepiece": sentencepiece_bpe.op3_sentencepiece,
     "op4_simhash": simhash.op4_simhash,
     "op5_toxicity": toxicity.op5_toxicity,
+    "op6_url_filter": url_filter.op6_url_filter,
     "op7_mixing": mixing.op7_mixing,
     "op8_warc": warc.op8_warc,
     "op9_ann": ann.op9_ann,

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import add_columns, materialize, table
+from .common import add_columns, materialize, shared_if_small, table
 
 RADIUS = 3
 _BITS_OF_BYTE = ((np.arange(256)[:, None] >> np.arange(8)) & 1).astype(np.int64)  # [byte, bit]
@@ -293,21 +293,42 @@ def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
     return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
 
 
+def _named(slim: DataFrame) -> DataFrame:
+    """Rows (__fp, component_id, __root) for all fingerprints of slim (__id, __fp)."""
+    nodes = materialize(slim.groupBy(F.col("__fp").alias("fp")).agg(F.min("__id").alias("low")))
+    roots = components(near_links(nodes))
+    member = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    least = member.groupBy("root").agg(F.min("low").alias("component_id"))
+    return member.join(least, "root").select(F.col("fp").alias("__fp"), "component_id", F.col("root").alias("__root"))
+
+
+def _slim(df: DataFrame, text_col: str, id_col: str) -> DataFrame:
+    return materialize(with_fingerprint(df.select(F.col(f"`{id_col}`").alias("__id"), F.col(f"`{text_col}`").alias("__text")), "__text", "__fp", ["__id"]))
+
+
 def near_duplicates(df: DataFrame, text_col: str = "text", id_col: str = "doc_id", keep: Sequence[str] | None = None) -> DataFrame:
     """Append fingerprint (16 hex digits) and component_id (the smallest id of the component)."""
     keep = [c for c in (df.columns if keep is None else keep) if c.lower() not in ("fingerprint", "component_id")]
     rows = with_fingerprint(df.withColumn("__id", F.col(f"`{id_col}`")), text_col, "__fp", [*keep, "__id"])
     if text_col in keep:  # texts are not written again: fingerprints are computed once for the search and once for the result
-        slim = materialize(with_fingerprint(df.select(F.col(f"`{id_col}`").alias("__id"), text_col), text_col, "__fp", ["__id"]))
+        slim = _slim(df, text_col, id_col)
     else:
-        rows = materialize(rows)
-        slim = rows
-    nodes = materialize(slim.groupBy(F.col("__fp").alias("fp")).agg(F.min("__id").alias("low")))
-    roots = components(near_links(nodes))
-    member = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    least = member.groupBy("root").agg(F.min("low").alias("component_id"))
-    named = member.join(least, "root").select(F.col("fp").alias("__fp"), "component_id")
-    return rows.join(named, "__fp").withColumn("fingerprint", F.lower(F.lpad(F.hex("__fp"), 16, "0"))).select(*keep, "fingerprint", "component_id")
+        rows = slim = materialize(rows)
+    out = rows.join(_named(slim), "__fp")
+    return out.withColumn("fingerprint", F.lower(F.lpad(F.hex("__fp"), 16, "0"))).select(*keep, "fingerprint", "component_id")
+
+
+def keep_one(df: DataFrame, text_col: str = "text", id_col: str = "doc_id", small: int = 1_000_000) -> DataFrame:
+    """One row of each component: that with the smallest id (any, where no row has an id, or where rows repeat that id)."""
+    slim = _slim(df, text_col, id_col)
+    named = materialize(_named(slim))
+    repeated = slim.groupBy("__id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1 or __id is null")
+    if repeated.isEmpty():
+        # ids name rows, so only the ids that go meet the texts
+        gone = materialize(slim.join(named, "__fp").filter("__id <> component_id").select(F.col("__id").alias("__gone")))
+        return df.join(shared_if_small(gone, small), F.col(f"`{id_col}`") == F.col("__gone"), "left_anti")
+    rows = with_fingerprint(df, text_col, "__fp").join(named, "__fp").filter(F.col(f"`{id_col}`").eqNullSafe(F.col("component_id")))
+    return rows.dropDuplicates(["__root"]).select(*[F.col(f"`{c}`") for c in df.columns])
 
 
 def op4_simhash(spark, sf_dir: str) -> DataFrame:
