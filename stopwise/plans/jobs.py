@@ -54,8 +54,8 @@ def run_subway(spark: SparkSession, inputs: Sequence[str], from_2024: bool, gtfs
     writers.write_monthly(with_schedule(events, readers.gtfs(spark, gtfs_root), readers.feed_index(spark, feed_index), on_missing), output, compressed)
 
 
-def run_bus(spark: SparkSession, eras: Sequence[Sequence[str]], gtfs_root: str, feed_index: str, output: str, routes: Sequence[str] | None = None, compressed: bool = True, on_missing: str = "keep") -> None:
-    rows = shaping.bus_event_shape(shaping.clean_bus(readers.bus_rows(spark, eras), routes, "source_file"))
+def run_bus(spark: SparkSession, inputs: Sequence[str], gtfs_root: str, feed_index: str, output: str, routes: Sequence[str] | None = None, compressed: bool = True, on_missing: str = "keep") -> None:
+    rows = shaping.bus_event_shape(shaping.clean_bus(readers.bus_rows(spark, inputs), routes, "source_file"))
     events = with_schedule(rows, readers.gtfs(spark, gtfs_root), readers.feed_index(spark, feed_index), on_missing)
     writers.write_bus(shaping.bus_events(events), output, compressed)
 

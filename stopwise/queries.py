@@ -587,7 +587,7 @@ def source_csv_eras(spark, sf_dir):
     o = _table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", F.when(F.col("o_orderkey") % 2 == 0, "Inbound").otherwise("Outbound").alias("d"), (1 + F.col("o_orderkey") % 9).alias("p"))
     for era, names, part in (("old", ("HalfTripId", "Stop", "Direction", "TimepointOrder"), 0), ("new", ("half_trip_id", "stop_id", "direction", "time_point_order"), 1)):
         o.filter(F.col("o_orderkey") % 3 % 2 == part).select(*[F.col(c).alias(n) for c, n in zip(o.columns, names, strict=True)]).write.option("header", True).csv(f"{path}/{era}")
-    out = readers.bus_rows(spark, [f"{path}/old", f"{path}/new"])
+    out = readers.bus_rows(spark, [f"{path}/old/*.csv", f"{path}/new/*.csv"])
     return out.select(F.col("half_trip_id").cast("long").alias("half_trip_id"), F.col("stop_id").cast("long").alias("stop_id"), "direction_id", F.col("time_point_order").cast("long").alias("time_point_order"))
 
 

@@ -27,6 +27,25 @@ def csv(spark: SparkSession, paths: str | Sequence[str], recursive: bool = False
     return reader.csv(paths if isinstance(paths, str) else list(paths))
 
 
+def csv_by_header(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """All rows of files with different headers, matched by column name, with the file of each row as source_file.
+
+    One reader takes one header for all its files, so files are read in groups of equal headers. Only first
+    lines are read to group them; there are as many groups as headers in use.
+    """
+    found = spark.read.format("binaryFile").load(paths if isinstance(paths, str) else list(paths)).select("path")
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for row in found.sort("path").toLocalIterator():
+        names = tuple(spark.read.option("header", True).csv(row.path).columns)
+        if names:
+            groups.setdefault(names, []).append(row.path)
+    out = None
+    for names, files in groups.items():
+        df = csv(spark, files).select(*[F.col(f"`{c}`").alias(c.lstrip("\ufeff").strip()) for c in names], F.col("_metadata.file_path").alias("source_file"))
+        out = df if out is None else out.unionByName(df, allowMissingColumns=True)
+    return out if out is not None else spark.createDataFrame([], "source_file string")
+
+
 def daily_records(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """Daily stop records of any number of dates: the used columns only, nullable types."""
     df = spark.read.parquet(*([paths] if isinstance(paths, str) else paths)).select(*S.DAILY_INPUT)
@@ -45,15 +64,15 @@ def subway_month(spark: SparkSession, paths: str | Sequence[str], from_2024: boo
     return typed(csv(spark, paths), {c: "int" if c == sequence else kinds[c] for c in cols})
 
 
-def bus_rows(spark: SparkSession, eras: Sequence[str | Sequence[str]]) -> DataFrame:
-    """Bus rows of all eras under one set of names, with the file that each came from. eras: paths by header."""
-    out = None
-    for paths in eras:
-        df = csv(spark, paths).withColumn("source_file", F.col("_metadata.file_path"))
-        have = {c.strip().strip("﻿"): c for c in df.columns}
-        df = df.select(*[F.col(f"`{c}`").alias(S.BUS_RENAMES.get(n, n)) for n, c in have.items()])
-        out = df if out is None else out.unionByName(df, allowMissingColumns=True)
-    return out.withColumn("time_point_order", F.col("time_point_order").try_cast("int"))
+def bus_rows(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """Bus rows of all eras under one set of names, with the file that each came from."""
+    df = csv_by_header(spark, paths)
+    # a column that several eras name in their own way is filled from whichever a file has
+    names: dict[str, list[str]] = {}
+    for c in df.columns:
+        names.setdefault(S.BUS_RENAMES.get(c, c), []).append(c)
+    df = df.select(*[F.coalesce(*[F.col(f"`{c}`") for c in old]).alias(new) for new, old in names.items()])
+    return df.withColumn("time_point_order", F.col("time_point_order").try_cast("int"))
 
 
 def ferry_rows(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
@@ -62,8 +81,9 @@ def ferry_rows(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
 
 def gtfs_table(spark: SparkSession, root: str, name: str, types: Mapping[str, str]) -> DataFrame:
     """A timetable table of all feeds below root (root/feed/name.txt), with feed_id from the folder."""
-    df = csv(spark, f"{root.rstrip('/')}/*/{name}.txt")
-    return df.select(*[F.col(f"`{c}`").try_cast(t).alias(c) for c, t in types.items()], F.regexp_extract("_metadata.file_path", r"([^/]+)/[^/]+$", 1).alias("feed_id"))
+    df = csv_by_header(spark, f"{root.rstrip('/')}/*/{name}.txt")
+    cell = lambda c, t: (F.col(f"`{c}`") if c in df.columns else F.lit(None)).try_cast(t).alias(c)
+    return df.select(*[cell(c, t) for c, t in types.items()], F.regexp_extract("source_file", r"([^/]+)/[^/]+$", 1).alias("feed_id"))
 
 
 def gtfs(spark: SparkSession, root: str) -> dict[str, DataFrame]:
