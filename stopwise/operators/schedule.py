@@ -20,11 +20,12 @@ _KEYS = list(S.ROUTE_DIRECTION_STOP)
 def feed_of_dates(dates: DataFrame, feeds: DataFrame, date: str = "service_date") -> DataFrame:
     """Append feed_id (null if none): of the feeds whose dates hold the date, the first in index order.
 
-    dates: distinct dates; feeds: feed_id, start, end (dates), position. Both are metadata: a row per date and per feed version.
+    dates: distinct dates; feeds: feed_id, start, end (dates), position. A feed becomes a row per day, so that
+    dates meet feeds in an equality join.
     """
-    cond = (F.col(date) >= F.col("start")) & (F.col(date) <= F.col("end"))
-    hits = dates.join(feeds, cond).groupBy(date).agg(F.min_by("feed_id", "position").alias("feed_id"))
-    return dates.join(hits, date, "left")
+    days = feeds.filter("start <= end").select("feed_id", "position", F.explode(F.sequence("start", "end", F.expr("INTERVAL 1 DAY"))).alias(date))
+    first = days.groupBy(date).agg(F.min_by("feed_id", "position").alias("feed_id"))
+    return dates.join(first, date, "left")
 
 
 def active_services(dates: DataFrame, calendar: DataFrame, calendar_dates: DataFrame, date: str = "service_date") -> DataFrame:

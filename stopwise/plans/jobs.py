@@ -24,10 +24,9 @@ def daily_events(records: DataFrame, stops: DataFrame, metrics: Observation | No
     return enrich.smooth_headways(enrich.match_daily_schedule(events, stops))
 
 
-def dated_stops(dates: DataFrame, tables: dict[str, DataFrame], feeds: DataFrame, events: DataFrame) -> DataFrame:
-    """Scheduled stop events of each date, of the trips that run and are seen that day."""
-    fed = schedule.feed_of_dates(dates, feeds)
-    seen = events.select("service_date", "trip_id").distinct().join(fed, "service_date")
+def dated_stops(seen: DataFrame, tables: dict[str, DataFrame], feeds: DataFrame) -> DataFrame:
+    """Scheduled stop events of each date, of the trips seen that day (distinct rows service_date, trip_id)."""
+    seen = seen.join(schedule.feed_of_dates(seen.select("service_date").distinct(), feeds), "service_date")
     trips = tables["trips"].select("feed_id", "trip_id", "route_id", F.col("direction_id").cast("smallint").alias("direction_id"))
     stops = tables["stop_times"].select("feed_id", "trip_id", "stop_id", shaping.tu.seconds_of_time(F.col("arrival_time")).cast("long").alias("arrival_time"))
     return stops.join(trips.join(seen, ["feed_id", "trip_id"]), ["feed_id", "trip_id"]).drop("feed_id")
@@ -35,9 +34,8 @@ def dated_stops(dates: DataFrame, tables: dict[str, DataFrame], feeds: DataFrame
 
 def run_daily(spark: SparkSession, inputs: Sequence[str], gtfs_root: str, feed_index: str, output: str) -> None:
     records = readers.daily_records(spark, inputs)
-    dates = records.select(shaping.tu.to_date_from_int(F.col("service_date")).alias("service_date")).distinct()
-    shaped = shaping.shape_daily(records)
-    stops = dated_stops(dates, readers.gtfs(spark, gtfs_root), readers.feed_index(spark, feed_index), shaped)
+    seen = records.select(shaping.tu.to_date_from_int(F.col("service_date")).alias("service_date"), "trip_id").distinct()
+    stops = dated_stops(seen, readers.gtfs(spark, gtfs_root), readers.feed_index(spark, feed_index))
     writers.write_daily(daily_events(records, stops), output)
 
 

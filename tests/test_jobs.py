@@ -64,8 +64,8 @@ def test_daily_metrics(spark, tmp_path, feeds):
     _daily_file(spark, str(tmp_path / "x.parquet"), dt.date(2024, 2, 7), [{"trip_id": "t9", "stop_id": "70061", "stop_sequence": 5, "move_timestamp": 1707311000}])
     records = readers.daily_records(spark, str(tmp_path / "x.parquet"))
     assert dict(records.dtypes)["stop_sequence"] == "smallint"
-    shaped = shaping.shape_daily(records)
-    stops = jobs.dated_stops(shaped.select("service_date").distinct(), readers.gtfs(spark, feeds[0]), readers.feed_index(spark, feeds[1]), shaped)
+    seen_trips = shaping.shape_daily(records).select("service_date", "trip_id").distinct()
+    stops = jobs.dated_stops(seen_trips, readers.gtfs(spark, feeds[0]), readers.feed_index(spark, feeds[1]))
     seen = Observation("daily")
     assert jobs.daily_events(records, stops, seen).count() == 3
     assert seen.get == {"events": 4, "without_stop": 1}
