@@ -5,7 +5,8 @@ each language and for the whole corpus, a minimum-covariance-determinant (MCD) e
 concentration steps over ALL rows: distances under the present centre and covariance, a threshold that
 keeps the nearest `alpha` share of the group, moments of that share. The threshold comes from a histogram
 of log distances per group, so a group that holds a third of all rows costs one row per bin and task in
-the shuffle. The estimates stay a table (a row per group); nothing is collected to the driver.
+the shuffle. The estimates stay a table (a row per group), which rows meet in a broadcast if a count
+proves it small and by salted keys if not; nothing is collected to the driver.
 
 Defined cases: null or empty text has zeros in every statistic and fails the base rules; null language or
 source is a group of its own; repeated rows each count; groups below `min_rows` use the estimate of their
@@ -25,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import add_columns, materialize
+from .common import add_columns, join_keyed, materialize
 
 SYMBOLS = "#*$%&|<>"
 STATS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_marks")
@@ -194,10 +195,10 @@ def fit_mcd(vectors: DataFrame, alpha: float = 0.75, steps: int = 4) -> DataFram
     params = materialize(start.select("g", "n", F.array(*[F.col(f"q{i}")[1] for i in range(p)]).alias("mu"), F.array(*prec).alias("prec")))
     factor = _consistency(alpha, p)
     for _ in range(steps):
-        far = vectors.join(params, "g").withColumn("bin", F.floor(F.log2(F.greatest(_distance(p), F.lit(1e-9))) * 64).cast("int"))
+        far = join_keyed(vectors, params, ["g"]).withColumn("bin", F.floor(F.log2(F.greatest(_distance(p), F.lit(1e-9))) * 64).cast("int"))
         w = _by_bin()
         cut = far.groupBy("g", "n", "bin").count().withColumn("below", F.sum("count").over(w)).filter(F.col("below") >= F.col("n") * alpha).groupBy("g").agg(F.min("bin").alias("cut"))
-        near = far.join(cut, "g").filter(F.col("bin") <= F.col("cut"))
+        near = join_keyed(far, materialize(cut), ["g"]).filter(F.col("bin") <= F.col("cut"))
         sums = [F.sum(f"x{i}") for i in range(p)]
         products = [F.sum(F.col(f"x{i}") * F.col(f"x{j}")) for i in range(p) for j in range(i + 1)]
         moments = near.groupBy("g", "n").agg(F.count(F.lit(1)).alias("m"), F.array(*sums).alias("s"), F.array(*products).alias("q"))
@@ -243,7 +244,7 @@ def quality_rules(
         fit = params.filter((F.col("n") >= min_rows) | F.lit(k == 0)).select(F.col("g").alias(f"g{k}"), F.struct("mu", "prec").alias(f"fit{k}"))
         best = best.withColumn(f"g{k}", _group_key(k)).join(fit, f"g{k}", "left")
     best = best.select("g2", F.coalesce("fit2", "fit1", "fit0").alias("fit")).select("g2", "fit.*")
-    judged = stats.withColumn("g2", _group_key(2)).join(best, "g2", "left")
+    judged = join_keyed(stats.withColumn("g2", _group_key(2)), materialize(best), ["g2"], "left")
     for i, v in enumerate(_vector()):
         judged = judged.withColumn(f"x{i}", v)
     limit = chi2_quantile(cutoff_z, _P)
