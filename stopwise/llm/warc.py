@@ -130,6 +130,7 @@ def resolved_headers(spark: SparkSession, path: str) -> DataFrame:
     heads = read(spark, path).withColumns({"bytes": F.octet_length("payload").cast("long"), "sha": F.sha2("payload", 256)}).drop("payload")
     heads = materialize(heads)
     originals = heads.filter("record_type = 'response'").select(F.col("record_id").alias("refers_to_record"), F.col("row_id").alias("refers_to"), F.col("bytes").alias("o_bytes"), F.col("sha").alias("o_sha")).dropDuplicates(["refers_to_record"])
+    originals = shared_if_small(materialize(originals), 50_000)
     responses = heads.filter("record_type = 'response'").select("row_id", F.col("bytes").alias("payload_bytes"), F.col("sha").alias("payload_digest"), "record_type", F.lit(None).cast("string").alias("refers_to"))
     revisits = heads.filter("record_type = 'revisit'").join(originals, "refers_to_record", "left").select("row_id", F.col("o_bytes").alias("payload_bytes"), F.col("o_sha").alias("payload_digest"), "record_type", "refers_to")
     return responses.unionByName(revisits)
