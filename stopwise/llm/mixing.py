@@ -23,7 +23,11 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, materialize, table
+from .common import WORD, materialize, shared_if_small, table
+
+
+#: So many sources are broadcast (a row each); more meet their rows in a shuffle.
+_FEW = 20_000
 
 
 def word_count(text: Column) -> Column:
@@ -70,13 +74,13 @@ def plan(slim: DataFrame, max_epochs: int = 3, weights: Callable[[Column], Colum
     goal = materialize(goal.withColumn("parts", F.ceil(F.sqrt("n")).cast("long")))
     head = F.conv(F.substring("key", 1, 8), 16, 10).cast("long")
     same = F.col("source").eqNullSafe(F.col("__s"))
-    joined = slim.join(goal.select(F.col("source").alias("__s"), "rest", "parts"), same).drop("__s").withColumn("part", F.shiftright(head * F.col("parts"), 32))
+    joined = slim.join(shared_if_small(goal.select(F.col("source").alias("__s"), "rest", "parts"), _FEW), same).drop("__s").withColumn("part", F.shiftright(head * F.col("parts"), 32))
     by_part = Window.partitionBy("source").orderBy("part")
     ranges = joined.groupBy("source", "part", "rest").agg(F.sum("size").alias("sum")).withColumn("upto", F.sum("sum").over(by_part))
     # the first range that goes over what is left holds the cut; one more range shows the last taken hash before it
     edge = ranges.filter(F.col("upto") > F.col("rest")).groupBy("source").agg(F.min_by(F.struct("part", (F.col("upto") - F.col("sum")).alias("before")), "part").alias("edge")).select(F.col("source").alias("__s"), "edge.*")
     edge = edge.select("__s", F.col("part").alias("__part"), "before")
-    inside = joined.join(materialize(edge), same & (F.col("part") == F.col("__part")))
+    inside = joined.join(shared_if_small(materialize(edge), _FEW), same & (F.col("part") == F.col("__part")))
     one = inside.groupBy("source", "key", "rest", "before").agg(F.sum("size").alias("size"))
     so_far = F.sum("size").over(Window.partitionBy("source").orderBy("key").rowsBetween(Window.unboundedPreceding, 0))
     taken = one.withColumn("so_far", F.col("before") + so_far).filter(F.lit(2) * F.col("so_far") - F.col("size") <= F.lit(2) * F.col("rest"))
@@ -98,7 +102,7 @@ def mix(df: DataFrame, text_col: str = "text", id_col: str = "doc_id", source_co
     else:
         rows = materialize(rows)
         slim = rows.select(F.col("__source").alias("source"), "size", F.col("__key").alias("key"))
-    goal = plan(slim, max_epochs, weights).withColumnRenamed("source", "__s")
+    goal = shared_if_small(plan(slim, max_epochs, weights).withColumnRenamed("source", "__s"), _FEW)
     out = rows.join(goal, F.col("__source").eqNullSafe(F.col("__s")))
     copies = F.col("whole") + F.when(F.col("__key") <= F.col("cut"), 1).otherwise(0)
     return out.withColumn("copies", copies.cast("long")).withColumn("taken", F.col("copies") * F.col("size")).select(*keep, *made)
