@@ -11,8 +11,8 @@ down and drops a whole node as soon as they exceed the radius.
 
 Hot groups. A group of more than `group_cap` fingerprints (one block value shared by a large family of
 near copies) is not given to one task: its members are keyed again by a further block of the remaining
-bits, 4 ways (the same pigeonhole argument, so no link is lost), until all groups are small; since distinct
-fingerprints that share all blocks can't exist, this ends.
+bits, 4 ways (the same pigeonhole argument, so no link is lost), up to three times; then 44 bits are shared
+and the distinct fingerprints of a group can differ in 20 only.
 
 Links. Per group only a spanning forest leaves the task (at most members - 1 links), so a family of m
 near copies gives fewer than 4m rows, not m^2. Components come from min-label rounds over the links
@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import add_columns, materialize, shared_if_small, table
+from .common import add_columns, join_keyed, materialize, shared_if_small, table
 
 RADIUS = 3
 _BITS_OF_BYTE = ((np.arange(256)[:, None] >> np.arange(8)) & 1).astype(np.int64)  # [byte, bit]
@@ -199,13 +199,13 @@ def _blocks(fp: str, shifts: Sequence[tuple[int, int]]):
     return [F.shiftrightunsigned(F.col(fp), s).bitwiseAND(F.lit((1 << w) - 1)) for s, w in shifts]
 
 
-#: The cut of 64 bits in 4 blocks of 16 (place of the lowest bit, width), and of each block in 4 of 4 bits for hot groups.
+#: The cut of 64 bits in 4 blocks of 16 (place of the lowest bit, width).
 _OUTER = tuple((s, 16) for s in (0, 16, 32, 48))
 
 
-def _split(block: tuple[int, ...], depth: int) -> list[tuple[tuple[int, int], ...]]:
-    """Blocks of the bits that the fixed blocks leave, cut in 4 (each a tuple of (place, width) runs)."""
-    rest = [b for b in range(64) if b not in block]
+def _split(fixed: tuple[int, ...]) -> list[tuple[tuple[int, int], ...]]:
+    """Blocks of the bits that the fixed ones leave, cut in 4 (each a tuple of (place, width) runs)."""
+    rest = [b for b in range(64) if b not in fixed]
     cuts = [round(i * len(rest) / 4) for i in range(5)]
     out = []
     for a, b in zip(cuts[:-1], cuts[1:], strict=True):
@@ -224,7 +224,7 @@ def _key(path: Sequence[int]):
     fixed: tuple[int, ...] = ()
     cols = []
     for depth, i in enumerate(path):
-        runs = ((_OUTER[i],),) [0] if depth == 0 else _split(fixed, depth)[i]
+        runs = _split(fixed)[i] if depth else (_OUTER[i],)
         cols += _blocks("fp", runs)
         fixed += tuple(b for s, w in runs for b in range(s, s + w))
     return F.xxhash64(F.lit(",".join(map(str, path))), *cols)
@@ -233,7 +233,7 @@ def _key(path: Sequence[int]):
 def near_links(fps: DataFrame, radius: int = RADIUS, group_cap: int = 8192, max_depth: int = 4) -> DataFrame:
     """Links (a, b: fingerprints, a > b) that connect all distinct fingerprints within radius bits (3 at most).
 
-    fps: one column fp of distinct longs. Groups at max_depth (more than 55 shared bits) are searched whatever their size.
+    fps: one column fp of distinct longs. Groups at max_depth 4 share 44 bits, so they have at most 2^20 members.
     Keys are 64-bit hashes: if two groups share one, they are searched together, which costs time and loses nothing.
     """
     if radius > 3:
@@ -248,8 +248,8 @@ def near_links(fps: DataFrame, radius: int = RADIUS, group_cap: int = 8192, max_
             if hot.isEmpty():
                 ready.append(keyed.select("key", "fp"))
                 break
-            ready.append(keyed.join(hot, "key", "left_anti").select("key", "fp"))
-            again = keyed.join(hot, "key", "left_semi")
+            ready.append(join_keyed(keyed, hot, ["key"], "left_anti").select("key", "fp"))
+            again = join_keyed(keyed, hot, ["key"], "left_semi")
             paths = [p for p in _paths(depth)]
             deeper = F.coalesce(*[F.when(F.col("path") == ",".join(map(str, p)), F.array(*[F.struct(F.lit(",".join(map(str, [*p, i]))).alias("path"), _key([*p, i]).alias("key")) for i in range(4)])) for p in paths])
             keyed = materialize(again.select("fp", F.explode(deeper).alias("k")).select("fp", "k.path", "k.key"))
@@ -279,10 +279,11 @@ def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
     state = None
     for _ in range(max_rounds):
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        large = both.filter(F.col("b") > F.col("a")).join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a != b").distinct()
-        low = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(low, "a").select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.greatest("b", "m").alias("a"), F.least("b", "m").alias("b")))).alias("e")).select("e.a", "e.b").filter("a != b").distinct()
+        low = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"), F.count(F.lit(1)).alias("n"))
+        large = _join_least(both.filter(F.col("b") > F.col("a")), low).select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a != b").distinct()
+        large = materialize(large)
+        low = large.groupBy("a").agg(F.min("b").alias("m"), F.count(F.lit(1)).alias("n"))
+        small = _join_least(large, low).select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.greatest("b", "m").alias("a"), F.least("b", "m").alias("b")))).alias("e")).select("e.a", "e.b").filter("a != b").distinct()
         edges = materialize(small)
         now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")), F.countDistinct("a")).first()
         if now == state or now[0] == now[2] and edges.join(edges.select(F.col("a").alias("b")).distinct(), "b", "left_semi").isEmpty():
@@ -306,6 +307,16 @@ def _slim(df: DataFrame, text_col: str, id_col: str) -> DataFrame:
     return materialize(with_fingerprint(df.select(F.col(f"`{id_col}`").alias("__id"), F.col(f"`{text_col}`").alias("__text")), "__text", "__fp", ["__id"]))
 
 
+def _join_least(edges: DataFrame, low: DataFrame, busy: int = 100_000) -> DataFrame:
+    """Join edges (a, b) with low (a, m, n: the number of edges): nodes with very many edges apart from the others, salted or broadcast."""
+    low = materialize(low)
+    hot = low.filter(F.col("n") > busy)
+    if hot.isEmpty():
+        return edges.join(low.drop("n"), "a")
+    busy_part = join_keyed(edges, hot.drop("n"), ["a"])
+    return busy_part.unionByName(join_keyed(edges, hot.select("a"), ["a"], "left_anti").join(low.drop("n"), "a"))
+
+
 def near_duplicates(df: DataFrame, text_col: str = "text", id_col: str = "doc_id", keep: Sequence[str] | None = None) -> DataFrame:
     """Append fingerprint (16 hex digits) and component_id (the smallest id of the component)."""
     keep = [c for c in (df.columns if keep is None else keep) if c.lower() not in ("fingerprint", "component_id")]
@@ -314,7 +325,7 @@ def near_duplicates(df: DataFrame, text_col: str = "text", id_col: str = "doc_id
         slim = _slim(df, text_col, id_col)
     else:
         rows = slim = materialize(rows)
-    out = rows.join(_named(slim), "__fp")
+    out = rows.join(materialize(_named(slim)), "__fp")
     return out.withColumn("fingerprint", F.lower(F.lpad(F.hex("__fp"), 16, "0"))).select(*keep, "fingerprint", "component_id")
 
 
