@@ -99,7 +99,7 @@ def fit(rows: DataFrame, bits: int = 64, rotations: int = 2, max_train: int = 81
     if scale is None:
         return None
 
-    def train(_key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def train(_key, pdf):
         x = _matrix(pdf.sort_values("id")["v"]) / scale
         x = np.hstack([x, np.sqrt(np.maximum(0.0, 1 - (x * x).sum(1, keepdims=True)))])
         rng = np.random.default_rng(3)
@@ -190,7 +190,7 @@ def search(index: DataFrame, queries: DataFrame, model: Model, k: int, block_row
     asks = asks.join(F.broadcast(salts), "t").filter(F.bit_count(F.shiftright("value", low).bitwiseXOR(F.col("range"))) <= F.col("s"))
     asks = asks.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))).withColumn("qb", F.pmod(F.xxhash64("id", F.lit("block")), F.lit(q_blocks)).cast("int")).select("t", "range", "salt", "qb", "id", "v", "code", "radius")
 
-    def probe(key, have: pd.DataFrame, ask: pd.DataFrame) -> pd.DataFrame:
+    def probe(key, have, ask):
         out: list[pd.DataFrame] = []
         if len(have) and len(ask):
             t = int(key[0])
