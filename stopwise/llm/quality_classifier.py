@@ -105,7 +105,7 @@ def train_fm(rows: Sequence[tuple[np.ndarray, np.ndarray]], y: np.ndarray, size:
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", meta_col: str = "n_chars", bits: int = 15, rank: int = 8, max_train: int = 10_000, epochs: int = 3, rate: float = 0.1, l2: float = 1e-5) -> Model:
     marked = labels.select(F.col(f"`{id_col}`").alias("__id"), F.col(f"`{label_col}`").cast("int").alias("__y")).filter(F.col("__y").isin(0, 1) & ~held_out("__id")).dropDuplicates(["__id"])
     meta = F.col(f"`{meta_col}`").cast("long") if meta_col in docs.columns else F.lit(None).cast("long")
-    rows = docs.select(F.col(f"`{id_col}`").alias("__id"), F.col(f"`{text_col}`").alias("__t"), meta.alias("__n")).join(bounded_sample(marked, F.col("__id"), max_train), "__id").dropDuplicates(["__id"])
+    rows = docs.select(F.col(f"`{id_col}`").alias("__id"), F.col(f"`{text_col}`").alias("__t"), meta.alias("__n")).join(F.broadcast(bounded_sample(marked, F.col("__id"), max_train)), "__id").dropDuplicates(["__id"])
 
     def make():
         hasher = WordHasher()
@@ -119,12 +119,12 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     feats = add_columns(rows, [T.StructField("i", T.ArrayType(T.IntegerType())), T.StructField("x", T.ArrayType(T.FloatType()))], ["__t", "__n"], make, keep=["__id", "__y"])
     size = len(_STRUCTURE) * _BINS + (1 << bits)
 
-    def train(_key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def train(_key, pdf):
         pdf = pdf.sort_values("__id")
         y = pdf["__y"].to_numpy()
         if len(set(y)) < 2:
             return pd.DataFrame({"w0": [40.0 if y[0] else -40.0], "w": [[0.0] * size], "v": [[0.0] * size]})
-        rows = [(np.asarray(i, np.int64), np.asarray(x, np.float32)) for i, x in zip(pdf["i"], pdf["x"], strict=True)]
+        rows = list(zip(pdf["i"], pdf["x"], strict=True))
         w0, w, v = train_fm(rows, y, size, rank, epochs, rate, l2)
         return pd.DataFrame({"w0": [w0], "w": [w], "v": [v.ravel()]})
 
