@@ -9,7 +9,8 @@ import numpy as np
 
 #: ASCII punctuation taken off both ends of a word.
 _PUNCT = b".,;:!?\"'()[]{}*#$%&|<>/\\-_=+~`^@"
-_MEMO = 400_000
+#: Words remembered by a task.
+_MEMO = 150_000
 
 
 class WordHasher:

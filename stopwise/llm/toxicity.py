@@ -14,7 +14,7 @@ columns pass through, and input columns with the name of a result column are rep
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -99,15 +99,15 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     l1 holds from 6,000 rows on; fewer rows gather less gradient and get their share of it (1 at least).
     """
     marked = labels.select(F.col(f"`{id_col}`").alias("__id"), F.col(f"`{label_col}`").cast("int").alias("__y")).filter(F.col("__y").isin(0, 1) & ~held_out("__id")).dropDuplicates(["__id"])
-    rows = docs.select(F.col(f"`{id_col}`").alias("__id"), F.col(f"`{text_col}`").alias("__t")).join(bounded_sample(marked, F.col("__id"), max_train), "__id").dropDuplicates(["__id"])
+    rows = docs.select(F.col(f"`{id_col}`").alias("__id"), F.col(f"`{text_col}`").alias("__t")).join(F.broadcast(bounded_sample(marked, F.col("__id"), max_train)), "__id").dropDuplicates(["__id"])
     feats = add_columns(rows, [T.StructField("x", T.ArrayType(T.IntegerType()))], ["__t"], _features(bits), keep=["__id", "__y"])
 
-    def train(_key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def train(_key, pdf):
         pdf = pdf.sort_values("__id")
         y = pdf["__y"].to_numpy()
         if len(set(y)) < 2:
             return pd.DataFrame({"bias": [-40.0], "i": [[]], "w": [[]]})
-        bias, w = ftrl([np.asarray(x, np.int64) for x in pdf["x"]], y, bits, alpha, beta, min(l1, max(1.0, l1 * len(y) / 6000)), l2, epochs)
+        bias, w = ftrl(pdf["x"].tolist(), y, bits, alpha, beta, min(l1, max(1.0, l1 * len(y) / 6000)), l2, epochs)
         i = np.flatnonzero(w)
         return pd.DataFrame({"bias": [bias], "i": [i.astype(np.int32)], "w": [w[i].astype(np.float32)]})
 
