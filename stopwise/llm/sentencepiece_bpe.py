@@ -30,7 +30,8 @@ from .common import add_columns, table
 
 SPACE = "▁"
 _NO = np.int64(1) << 40
-_MEMO_TOKENS = 6_000_000
+#: Ids of words remembered by a task.
+_MEMO_TOKENS = 1_500_000
 
 
 class Bpe:
