@@ -93,11 +93,8 @@ def ftrl(rows: Sequence[np.ndarray], labels: Sequence[int], bits: int, alpha: fl
     return b, weight(np.arange(1 << bits))
 
 
-def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", bits: int = 20, max_train: int = 12_000, alpha: float = 0.3, beta: float = 1.0, l1: float = 6.0, l2: float = 1.0, epochs: int = 4) -> Model:
-    """Train on labelled rows whose id is not held out, at most about max_train of them.
-
-    l1 holds from 6,000 rows on; fewer rows gather less gradient and get their share of it (1 at least).
-    """
+def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", bits: int = 20, max_train: int = 12_000, alpha: float = 1.0, beta: float = 1.0, l1: float = 5.0, l2: float = 0.2, epochs: int = 8) -> Model:
+    """Train on labelled rows whose id is not held out, at most about max_train of them."""
     marked = labels.select(F.col(f"`{id_col}`").alias("__id"), F.col(f"`{label_col}`").cast("int").alias("__y")).filter(F.col("__y").isin(0, 1) & ~held_out("__id")).dropDuplicates(["__id"])
     rows = docs.select(F.col(f"`{id_col}`").alias("__id"), F.col(f"`{text_col}`").alias("__t")).join(F.broadcast(bounded_sample(marked, F.col("__id"), max_train)), "__id").dropDuplicates(["__id"])
     feats = add_columns(rows, [T.StructField("x", T.ArrayType(T.IntegerType()))], ["__t"], _features(bits), keep=["__id", "__y"])
@@ -107,7 +104,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         y = pdf["__y"].to_numpy()
         if len(set(y)) < 2:
             return pd.DataFrame({"bias": [-40.0], "i": [[]], "w": [[]]})
-        bias, w = ftrl(pdf["x"].tolist(), y, bits, alpha, beta, min(l1, max(1.0, l1 * len(y) / 6000)), l2, epochs)
+        bias, w = ftrl(pdf["x"].tolist(), y, bits, alpha, beta, l1, l2, epochs)
         i = np.flatnonzero(w)
         return pd.DataFrame({"bias": [bias], "i": [i.astype(np.int32)], "w": [w[i].astype(np.float32)]})
 
