@@ -310,6 +310,24 @@ def decode(df: DataFrame, model_path: str, ids_col: str = "ids", text_col: str =
     return add_columns(df, [T.StructField(text_col, T.StringType())], [ids_col], make, keep)
 
 
+def encode_decode(df: DataFrame, model_path: str, text_col: str = "text", ids_col: str = "ids", decoded_col: str = "decoded", keep: Sequence[str] | None = None) -> DataFrame:
+    """Append the ids of each whole text and the text that they decode to, in one pass (one Python worker a task)."""
+    shared = _shared(df, model_path)
+
+    def make():
+        bpe = Bpe(shared.value)
+        enc, dec = Encoder(bpe), Decoder(bpe)
+
+        def f(texts: pa.Array) -> list[pa.Array]:
+            ids, offsets = enc.encode(texts.to_pylist())
+            return [pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids)), pa.array(dec.decode(ids, offsets), pa.string())]
+
+        return f
+
+    fields = [T.StructField(ids_col, T.ArrayType(T.IntegerType())), T.StructField(decoded_col, T.StringType())]
+    return add_columns(df, fields, [text_col], make, keep)
+
+
 def round_trip(df: DataFrame, model_path: str, text_col: str = "text", keep: Sequence[str] | None = None) -> DataFrame:
     """Append n_tokens, ids_sha256 and decoded_sha256: encode, then decode those ids, in one pass."""
     shared = _shared(df, model_path)
