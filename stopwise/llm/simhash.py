@@ -1,4 +1,7 @@
-"""SimHash near-duplicates: all links within 3 bits, through a Gray-order hierarchical index, then components.
+"""Near-duplicates and their components, by SimHash or by the similarity of word shingles.
+
+By SimHash (op4): all links within 3 bits, through a Gray-order hierarchical index. By similarity (the
+pipeline's stage): all links of a Jaccard similarity of 0.8 or more over 5-word shingles, see `similar_links`.
 
 Fingerprints: 3-word shingles of the lower-cased text, XXH64, majority of each bit.
 
@@ -38,6 +41,10 @@ from pyspark.sql import types as T
 from .common import add_columns, join_keyed, materialize, shared_if_small, table
 
 RADIUS = 3
+SIMILARITY = 0.8
+WORDS = 5
+#: Bands of min-hashes, rows of each: a pair of similarity 0.8 agrees in no band with a chance of (1 - 0.8^6)^40, 5 in a million.
+BANDS, ROWS = 40, 6
 _BITS_OF_BYTE = ((np.arange(256)[:, None] >> np.arange(8)) & 1).astype(np.int64)  # [byte, bit]
 
 
@@ -297,7 +304,10 @@ def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
 def _named(slim: DataFrame) -> DataFrame:
     """Rows (__fp, component_id, __root) for all fingerprints of slim (__id, __fp)."""
     nodes = materialize(slim.groupBy(F.col("__fp").alias("fp")).agg(F.min("__id").alias("low")))
-    roots = components(near_links(nodes))
+    return _named_by(nodes, components(near_links(nodes)))
+
+
+def _named_by(nodes: DataFrame, roots: DataFrame) -> DataFrame:
     member = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     least = member.groupBy("root").agg(F.min("low").alias("component_id"))
     return member.join(least, "root").select(F.col("fp").alias("__fp"), "component_id", F.col("root").alias("__root"))
@@ -317,9 +327,230 @@ def _join_least(edges: DataFrame, low: DataFrame, busy: int = 100_000) -> DataFr
     return busy_part.unionByName(join_keyed(edges, hot.select("a"), ["a"], "left_anti").join(low.drop("n"), "a"))
 
 
-def near_duplicates(df: DataFrame, text_col: str = "text", id_col: str = "doc_id", keep: Sequence[str] | None = None) -> DataFrame:
-    """Append fingerprint (16 hex digits) and component_id (the smallest id of the component)."""
+def shingles(text: str | None, width: int = WORDS) -> np.ndarray:
+    """The distinct hashed shingles of a text, ordered (one of all words where there are fewer than width; none without words)."""
+    import xxhash
+
+    words = text.encode("utf-8", "surrogatepass").lower().split() if text else []
+    digest = xxhash.xxh64_intdigest
+    return np.unique(np.array([digest(b" ".join(words[i : i + width]), 42) for i in range(max(1, len(words) - width + 1))] if words else [], np.uint64))
+
+
+def _bands(h: np.ndarray, mult: np.ndarray, add: np.ndarray) -> list[int]:
+    """One signed hash per band of min-hashes (none for an empty set)."""
+    import xxhash
+
+    if not len(h):
+        return []
+    h = (h >> np.uint64(32)).astype(np.uint32)
+    low = np.full(len(mult), np.iinfo(np.uint32).max, np.uint32)
+    for i in range(0, len(h), 512):
+        x = np.multiply.outer(mult, h[i : i + 512])
+        x += add[:, None]
+        np.minimum(low, x.min(axis=1), out=low)
+    return np.array([xxhash.xxh64_intdigest(r.tobytes(), k) for k, r in enumerate(low.reshape(BANDS, ROWS))], np.uint64).view(np.int64).tolist()
+
+
+def _with_set(df: DataFrame, text_col: str, keep: Sequence[str] | None = None, bands: bool = False) -> DataFrame:
+    """Append __fp, a hash of the whole set of shingles (0: empty), and with bands __n, its size, and __bands."""
+
+    def make():
+        import xxhash
+
+        rng = np.random.default_rng(42)
+        mult, add = rng.integers(0, 2**32, (2, BANDS * ROWS), np.uint32)
+        mult |= np.uint32(1)
+
+        def f(texts: pa.Array) -> list[pa.Array]:
+            sets = [shingles(t) for t in texts.to_pylist()]
+            fp = pa.array(np.array([xxhash.xxh64_intdigest(h.tobytes(), 1) if len(h) else 0 for h in sets], np.uint64).view(np.int64))
+            return [fp, pa.array([len(h) for h in sets], pa.int32()), pa.array([_bands(h, mult, add) for h in sets], pa.list_(pa.int64()))] if bands else [fp]
+
+        return f
+
+    more = [T.StructField("__n", T.IntegerType()), T.StructField("__bands", T.ArrayType(T.LongType()))]
+    return add_columns(df, [T.StructField("__fp", T.LongType()), *(more if bands else [])], [text_col], make, keep)
+
+
+def _set_column(df: DataFrame, text_col: str, keep: Sequence[str]) -> DataFrame:
+    """Append __set, the ordered shingles."""
+
+    def make():
+        def f(texts: pa.Array) -> list[pa.Array]:
+            return [pa.array([shingles(t).view(np.int64) for t in texts.to_pylist()], pa.list_(pa.int64()))]
+
+        return f
+
+    return add_columns(df, [T.StructField("__set", T.ArrayType(T.LongType()))], [text_col], make, keep)
+
+
+_BUCKETS = "kind int, a long, b long, n int, place int"
+
+
+def _first_pairs(small: int, cap: int, similarity: float, most: int):
+    """Over a partition that holds whole buckets in order: all pairs (kind 0) of buckets of up to `small` sets; else the sets (key, set) with their place (kind 1; above `cap` kind 2, and the first set with each)."""
+
+    def solve(pdf: pd.DataFrame) -> pd.DataFrame:
+        key, fp, n = pdf["key"].to_numpy(), pdf["fp"].to_numpy(), pdf["n"].to_numpy()
+        first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+        size = np.diff(np.r_[first, len(key)])
+        start, size = np.repeat(first, size), np.repeat(size, size)
+        at = np.arange(len(key))
+        place = at - start
+        left, right = [start[(size > cap) & (place > 0)]], [at[(size > cap) & (place > 0)]]
+        for d in range(1, small):
+            j = at[(size <= small) & (place >= d)]
+            left.append(j - d)
+            right.append(j)
+        i, j = np.concatenate(left), np.concatenate(right)
+        ok = np.minimum(n[i], n[j]) >= similarity * np.maximum(n[i], n[j]) - 1e-9
+        pairs = pd.DataFrame({"kind": 0, "a": fp[i[ok]], "b": fp[j[ok]], "n": 0, "place": 0}).drop_duplicates()
+        big = size > small
+        return pd.concat([pairs, pd.DataFrame({"kind": np.where(size[big] > cap, 2, 1), "a": key[big], "b": fp[big], "n": n[big], "place": place[big]})], ignore_index=True)
+
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: list[pd.DataFrame] = []
+        size = 0
+        for pdf in parts:
+            if not len(pdf):
+                continue
+            held.append(pdf)
+            size += len(pdf)
+            if size >= most:  # all but the last bucket, which may go on
+                pdf = pd.concat(held, ignore_index=True)
+                cut = int(np.searchsorted(pdf["key"].to_numpy(), pdf["key"].iloc[-1]))
+                if cut:
+                    yield solve(pdf.iloc[:cut])
+                held, size = [pdf.iloc[cut:]], len(pdf) - cut
+        if size:
+            yield solve(pd.concat(held, ignore_index=True))
+
+    return run
+
+
+def _overlaps(sets: list[np.ndarray]) -> np.ndarray:
+    """How many members each two sets share."""
+    owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    _, col, seen = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    owner, col = owner[seen[col] > 1], col[seen[col] > 1]
+    col = np.unique(col, return_inverse=True)[1]
+    order = np.argsort(col, kind="stable")
+    owner, col = owner[order], col[order]
+    out = np.zeros((len(sets), len(sets)), np.float32)
+    width = 2048
+    for lo in range(0, int(col[-1]) + 1 if len(col) else 0, width):
+        a, b = np.searchsorted(col, [lo, lo + width])
+        x = np.zeros((len(sets), width), np.float32)
+        x[owner[a:b], col[a:b] - lo] = 1
+        out += x @ x.T
+    return out
+
+
+def _bucket_links(similarity: float):
+    """Over a partition that holds whole buckets in order: link each set to the first one of its part of the bucket."""
+
+    def solve(fp: np.ndarray, sets: list[np.ndarray]) -> pa.RecordBatch:
+        n = np.array([len(x) for x in sets])
+        both = _overlaps(sets).astype(np.float64)
+        i, j = np.nonzero(np.triu(both >= similarity * (n[:, None] + n - both) - 1e-9, 1))
+        top = forest(len(fp), [(i, j)])
+        own = np.flatnonzero(top != np.arange(len(fp)))
+        a, b = fp[own], fp[top[own]]
+        return pa.RecordBatch.from_arrays([pa.array(np.maximum(a, b)), pa.array(np.minimum(a, b))], names=["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, fps, sets = None, [], []
+        for batch in batches:
+            key, fp, held = batch.column("key").to_pylist(), batch.column("__fp").to_pylist(), batch.column("__set")
+            for i, k in enumerate(key):
+                if k != now and fps:
+                    yield solve(np.array(fps, np.int64), sets)
+                    fps, sets = [], []
+                now = k
+                fps.append(fp[i])
+                sets.append(held[i].values.to_numpy(zero_copy_only=False).copy())
+        if fps:
+            yield solve(np.array(fps, np.int64), sets)
+
+    return run
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, similarity: float, busy: int = 500) -> DataFrame:
+    """Those of the pairs (a, b) whose sets reach the similarity; sets in very many pairs apart from the others."""
+    pairs = materialize(pairs)
+    left = sets.select(F.col("__fp").alias("a"), F.col("__set").alias("__sa"))
+    hot = materialize(pairs.groupBy("a").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > busy).select("a"))
+    met = pairs.join(left, "a")
+    if not hot.isEmpty():
+        met = join_keyed(pairs, hot, ["a"], "left_anti").join(left, "a").unionByName(join_keyed(pairs, hot.join(left, "a"), ["a"], max_rows=2_000))
+    met = met.join(sets.select(F.col("__fp").alias("b"), F.col("__set").alias("__sb")), "b")
+    both = F.size(F.array_intersect("__sa", "__sb"))
+    return materialize(met.filter(both >= F.lit(similarity) * (F.size("__sa") + F.size("__sb") - both) - 1e-9).select("a", "b"))
+
+
+def similar_links(df: DataFrame, nodes: DataFrame, text_col: str, similarity: float = SIMILARITY, small: int = 8, cap: int = 2048) -> DataFrame:
+    """Links (a, b: hashes of sets) that connect all distinct sets of shingles with a Jaccard similarity of `similarity` (0.8 at least).
+
+    nodes: __fp, __n, __bands, __text (a hash of a text with that set). Sets that agree in a band of min-hashes share
+    a bucket; candidates are verified on the whole sets: pairs of buckets of up to `small` sets by joins, buckets of
+    up to `cap` sets within a task, which sends a spanning forest. Larger buckets go on in rounds, each
+    with twice as many further members held against all later ones, but only where these are not in one
+    component yet: a family of m near copies gives rows in proportion to m, and no pair of two components is left out.
+    """
+    if similarity < 0.8:
+        raise ValueError("the bands find links of a similarity of 0.8 or more")
+    keyed = nodes.select(F.col("__fp").alias("fp"), F.col("__n").alias("n"), F.explode("__bands").alias("key"))
+    found = materialize(keyed.repartition("key").sortWithinPartitions("key", "fp").mapInPandas(_first_pairs(small, cap, similarity, 200_000), _BUCKETS))
+    pairs = materialize(found.filter("kind = 0").select("a", "b").distinct())
+    many = found.filter("kind > 0").select("kind", F.col("a").alias("key"), F.col("b").alias("fp"), "n", "place")
+    big = many.filter("kind = 2").drop("kind")
+    # sets are made again from the texts, and only those that any candidate needs
+    wanted = pairs.select(F.col("a").alias("__fp")).unionByName(pairs.select(F.col("b").alias("__fp"))).unionByName(many.select(F.col("fp").alias("__fp"))).distinct()
+    wanted = materialize(nodes.select("__fp", "__text").join(wanted, "__fp"))
+    texts = df.select(F.col(f"`{text_col}`").alias("__t"), F.xxhash64(f"`{text_col}`").alias("__text"))
+    sets = materialize(_set_column(join_keyed(texts, wanted, ["__text"], max_rows=500_000).select("__fp", "__t").dropDuplicates(["__fp"]), "__t", ["__fp"]))
+    members = many.filter("kind = 1").select("key", F.col("fp").alias("__fp")).join(sets, "__fp")
+    inner = members.repartition("key").sortWithinPartitions("key").mapInArrow(_bucket_links(similarity), "a long, b long").distinct()
+    links = _verified(pairs, sets, similarity).unionByName(materialize(inner))
+    low, high = 1, 3
+    while True:
+        left = big.filter(F.col("place") >= low)
+        if left.isEmpty():
+            return links
+        left = left.join(components(links).withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+        left = materialize(left)
+        mixed = left.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("key")
+        big = materialize(join_keyed(left, materialize(mixed), ["key"], "left_semi"))
+        heads = big.filter(F.col("place") < high).groupBy("key").agg(F.collect_list(F.struct("fp", "n", "place", "root")).alias("heads"))
+        near = F.least("n", "head.n") >= F.lit(similarity) * F.greatest("n", "head.n") - 1e-9
+        pairs = join_keyed(big, materialize(heads), ["key"]).withColumn("head", F.explode("heads")).filter((F.col("place") > F.col("head.place")) & (F.col("root") != F.col("head.root")) & near)
+        links = links.unionByName(_verified(pairs.select(F.col("head.fp").alias("a"), F.col("fp").alias("b")).distinct(), sets, similarity))
+        big = big.select("key", "fp", "n", "place")
+        low, high = high, 2 * high + 1
+
+
+def _slim_and_named(df: DataFrame, text_col: str, id_col: str, similarity: float | None) -> tuple[DataFrame, DataFrame]:
+    """Rows (__id, __fp) of df, and rows (__fp, component_id, __root); __fp is the fingerprint or, with a similarity, the hash of the set."""
+    if similarity is None:
+        slim = _slim(df, text_col, id_col)
+        return slim, materialize(_named(slim))
+    rows = df.select(F.col(f"`{id_col}`").alias("__id"), F.col(f"`{text_col}`").alias("__t"), F.xxhash64(f"`{text_col}`").alias("__text"))
+    rows = materialize(_with_set(rows, "__t", ["__id", "__text"], bands=True))
+    nodes = materialize(rows.groupBy("__fp").agg(F.min("__id").alias("low"), F.min("__text").alias("__text"), F.first("__n").alias("__n"), F.first("__bands").alias("__bands")))
+    roots = components(similar_links(df, nodes, text_col, similarity))
+    return rows.select("__id", "__fp"), materialize(_named_by(nodes.select(F.col("__fp").alias("fp"), "low"), roots))
+
+
+def near_duplicates(df: DataFrame, text_col: str = "text", id_col: str = "doc_id", keep: Sequence[str] | None = None, similarity: float | None = SIMILARITY) -> DataFrame:
+    """Append fingerprint (16 hex digits) and component_id (the smallest id of the component).
+
+    Components: of texts whose 5-word shingles have the similarity; None: of fingerprints within 3 bits.
+    """
     keep = [c for c in (df.columns if keep is None else keep) if c.lower() not in ("fingerprint", "component_id")]
+    if similarity is not None:
+        rows = _with_set(with_fingerprint(df.withColumn("__id", F.col(f"`{id_col}`")), text_col, "__print", [*dict.fromkeys([*keep, text_col])]), text_col, [*keep, "__print"])
+        out = rows.join(_slim_and_named(df, text_col, id_col, similarity)[1], "__fp")
+        return out.withColumn("fingerprint", F.lower(F.lpad(F.hex("__print"), 16, "0"))).select(*[F.col(f"`{c}`") for c in keep], "fingerprint", "component_id")
     rows = with_fingerprint(df.withColumn("__id", F.col(f"`{id_col}`")), text_col, "__fp", [*keep, "__id"])
     if text_col in keep:  # texts are not written again: fingerprints are computed once for the search and once for the result
         slim = _slim(df, text_col, id_col)
@@ -329,18 +560,18 @@ def near_duplicates(df: DataFrame, text_col: str = "text", id_col: str = "doc_id
     return out.withColumn("fingerprint", F.lower(F.lpad(F.hex("__fp"), 16, "0"))).select(*keep, "fingerprint", "component_id")
 
 
-def keep_one(df: DataFrame, text_col: str = "text", id_col: str = "doc_id", small: int = 1_000_000) -> DataFrame:
-    """One row of each component: that with the smallest id (any, where no row has an id, or where rows repeat that id)."""
-    slim = _slim(df, text_col, id_col)
-    named = materialize(_named(slim))
+def keep_one(df: DataFrame, text_col: str = "text", id_col: str = "doc_id", small: int = 1_000_000, similarity: float | None = SIMILARITY) -> DataFrame:
+    """One row of each component (as near_duplicates has them): that with the smallest id (any, where no row has an id, or where rows repeat that id)."""
+    slim, named = _slim_and_named(df, text_col, id_col, similarity)
     repeated = slim.groupBy("__id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1 or __id is null")
     if repeated.isEmpty():
         # ids name rows, so only the ids that go meet the texts
         gone = materialize(slim.join(named, "__fp").filter("__id <> component_id").select(F.col("__id").alias("__gone")))
         return df.join(shared_if_small(gone, small), F.col(f"`{id_col}`") == F.col("__gone"), "left_anti")
-    rows = with_fingerprint(df, text_col, "__fp").join(named, "__fp").filter(F.col(f"`{id_col}`").eqNullSafe(F.col("component_id")))
+    rows = with_fingerprint(df, text_col, "__fp") if similarity is None else _with_set(df, text_col)
+    rows = rows.join(named, "__fp").filter(F.col(f"`{id_col}`").eqNullSafe(F.col("component_id")))
     return rows.dropDuplicates(["__root"]).select(*[F.col(f"`{c}`") for c in df.columns])
 
 
 def op4_simhash(spark, sf_dir: str) -> DataFrame:
-    return near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), keep=["doc_id"])
+    return near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), keep=["doc_id"], similarity=None)

@@ -101,3 +101,53 @@ def test_keep_one(spark):
     plain = odd(spark, [r for i, r in enumerate(ODD) if r[0] is not None and i != 6])
     assert {r.doc_id for r in s.keep_one(plain).collect()} == {1, 4, 5, 6, 8}
     assert s.keep_one(empty(spark)).count() == 0
+
+
+def _copies(seed, n=60):
+    """Texts, and copies with more and more words changed, some of a copy."""
+    rng, out = random.Random(seed), []
+    for i in range(n):
+        text = prose(f"{seed} {i}", rng.choice((3, 5, 12, 60, 200))).split() if i % 6 == 0 else list(out[rng.randrange(max(0, len(out) - 6), len(out))])
+        for _ in range(rng.randint(0, 3) if i % 6 else 0):
+            text[rng.randrange(len(text))] = f"w{rng.randrange(1000)}"
+        out.append(text)
+    return [" ".join(t) for t in out] + ["", "one", "One"]
+
+
+def brute_similar(texts, least=0.8):
+    sets = []
+    for t in texts:
+        w = [x.lower() for x in words(t)]
+        sets.append({tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set())
+    root = list(range(len(texts)))
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if a == b or len(a & b) >= least * len(a | b):
+                root = [min(root[i], root[j]) if r in (root[i], root[j]) else r for r in root]
+    return root
+
+
+def test_stage_links_by_similarity_of_five_words(spark):
+    texts = _copies(3)
+    got = {r.doc_id for r in s.keep_one(odd(spark, [(i, t, None, None, None) for i, t in enumerate(texts)])).collect()}
+    assert got == set(brute_similar(texts))
+    # neither the texts of one component nor the components are those of three bits
+    assert got != set(brute_components([brute_fingerprint(t) for t in texts]))
+
+
+def test_large_buckets_lose_no_link(spark):
+    base = prose("family", 100).split()
+    texts = [" ".join([*base[:i], f"w{i}", *base[i + 1 :]]) for i in range(0, 100, 3)] + [" ".join(base[: 80 + i]) for i in range(0, 20, 4)] + [prose("other", 100)]
+    texts += [" ".join([*base[:40], *prose(f"half {i}", 60).split()]) for i in range(12)]
+    df = odd(spark, [(i, t, None, None, None) for i, t in enumerate(texts)])
+    rows = s._with_set(df.withColumn("__text", F.xxhash64("text")), "text", ["doc_id", "__text"], bands=True)
+    fps = {r.doc_id: r["__fp"] for r in rows.collect()}
+    want = brute_similar(texts)
+    for small, cap in ((2, 2), (8, 8), (8, 2048)):
+        # one bucket holds all sets
+        one = rows.withColumn("__bands", F.array(F.lit(1).cast("long")))
+        root = {r.node: r.root for r in s.components(s.similar_links(df, one, "text", small=small, cap=cap)).collect()}
+        got = [root.get(fps[i], fps[i]) for i in range(len(texts))]
+        assert len(set(want)) == len(set(got)) == len(set(zip(want, got, strict=True)))
+    with pytest.raises(ValueError):
+        s.similar_links(df, rows, "text", similarity=0.7)
