@@ -5,7 +5,7 @@ their fixed patterns and checks, and credentials (`secret`), identity numbers (`
 addresses (`spelled`) by wide patterns. Base spans that pass their check always stay. The other proposals
 are scored by gradient-boosted trees over binned features of the span's format (length, shares of digits
 and capitals, changes between classes of characters, groups, repeats) and context (characters around it, the word before),
-and a span is selected where its score reaches its kind's threshold: the lowest score bin at which, on
+and a span is selected where it passes the check of its own kind (below) or its score reaches its kind's threshold: the lowest score bin at which, on
 proposals set aside, the share of true ones reaches `precision`.
 
 Training needs no span labels. A proposal counts as true if it passes a check of its own kind that is not
@@ -13,15 +13,15 @@ among the features: the base kinds' checks (Luhn, octets, digit counts) for base
 word right before a `secret`, an identity word before a `number`, a spelled-out form with a known last part
 for `spelled`. Trees grow level by level; each level is one aggregation over the table of distinct feature
 vectors with counts (there are at most as many as combinations of bins), and what comes to the driver
-is one row per tree node, feature and bin. Documents for training are a sample of at most about
-`max_train`, chosen by hashed id and text.
+is one row per tree node, feature and bin. All documents count; every fifth, by hashed id and length of
+text, is set aside for thresholds.
 
 Everything runs as DataFrame functions. Patterns are written with possessive repeats and anchored starts,
 so that very long runs take linear time, and give the same matches as the plain ones.
 
 Defined cases: null text is the empty one, without spans; repeated rows get the same spans; very long texts
 are read whole (positions come from blockwise prefix sums); without proposals nothing is trained and only
-base spans remain; empty tables give an empty result; extra columns pass through, input columns with the
+spans that pass their check remain; empty tables give an empty result; extra columns pass through, input columns with the
 name of a result column are replaced.
 """
 
@@ -34,7 +34,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_sample, materialize, table
+from .common import materialize, table
 
 BASE = ("email", "ip", "card", "phone")
 KINDS = (*BASE, "secret", "number", "spelled")
@@ -181,7 +181,7 @@ def _true(c: Column) -> Column:
 
 @dataclass
 class Model:
-    """Trees as (feature, cut, left value or subtree, right value or subtree); bias; threshold per kind (missing: nothing is selected)."""
+    """Trees as (feature, cut, left value or subtree, right value or subtree); bias; threshold per kind (missing: only what passes its check is selected)."""
 
     bias: float = 0.0
     trees: list = field(default_factory=list)
@@ -273,11 +273,11 @@ def calibrate(model: Model, vectors: DataFrame, precision: float = 0.9, least: i
     return model
 
 
-def fit(df: DataFrame, text_col: str = "text", id_col: str = "doc_id", max_train: int = 20_000, precision: float = 0.9) -> Model:
-    """Train on proposals of about max_train documents; every fifth feature vector's documents are set aside for thresholds."""
+def fit(df: DataFrame, text_col: str = "text", id_col: str = "doc_id", precision: float = 0.9) -> Model:
+    """Train on the proposals of all documents; every fifth document is set aside for thresholds."""
     key = F.concat_ws("|", F.col(f"`{id_col}`").cast("string"), F.length(F.col(f"`{text_col}`")).cast("string"))
-    sample = bounded_sample(df.select(F.col(f"`{id_col}`"), F.col(f"`{text_col}`")), key, max_train).select(F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("__t"), F.pmod(F.xxhash64(key, F.lit("aside")), F.lit(5)).alias("__fold"))
-    tagged = _spans_of(sample, KINDS, "__t").select("__fold", F.explode(F.concat(*[_tag(k, "__t") for k in KINDS])).alias("c"))
+    rows = df.select(F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("__t"), F.pmod(F.xxhash64(key, F.lit("aside")), F.lit(5)).alias("__fold"))
+    tagged = _spans_of(rows, KINDS, "__t").select("__fold", F.explode(F.concat(*[_tag(k, "__t") for k in KINDS])).alias("c"))
     cols = feature_columns(F.col("c"))
     vectors = tagged.select(*[v.cast("int").alias(f"x{i}") for i, v in enumerate(cols)], (F.col("__fold") == 0).alias("aside"), _true(F.col("c")).cast("int").alias("y"))
     names = [f"x{i}" for i in range(len(cols))]
@@ -289,25 +289,25 @@ def fit(df: DataFrame, text_col: str = "text", id_col: str = "doc_id", max_train
 def find(df: DataFrame, model: Model, text_col: str = "text", keep: Sequence[str] | None = None) -> DataFrame:
     """Append base_spans and spans: arrays of (start, kind, end), ordered; kind is a place in KINDS."""
     keep = [c for c in (df.columns if keep is None else keep) if c.lower() not in ("base_spans", "spans")]
-    wanted = [k for i, k in enumerate(KINDS) if i < len(BASE) or i in model.thresholds]
-    rows = _spans_of(df.select(*[F.col(f"`{c}`") for c in keep], F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("__t")), wanted, "__t")
+    rows = _spans_of(df.select(*[F.col(f"`{c}`") for c in keep], F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("__t")), KINDS, "__t")
     short = lambda i: lambda x: F.struct(x["start"].alias("start"), F.lit(i).alias("kind"), x["end"].alias("end"))
     passes = lambda k: lambda x: _valid(k, x["match"])
-    reaches = lambda limit: lambda c: model.margin(feature_columns(c)) >= F.lit(limit)
+    # what passes its own check stays, whatever its score: the trees only add
+    reaches = lambda limit: lambda c: _true(c) if limit is None else _true(c) | (model.margin(feature_columns(c)) >= F.lit(limit))
     base = F.array_sort(F.concat(*[F.transform(F.filter(F.col(f"m_{k}"), passes(k)), short(i)) for i, k in enumerate(BASE)]))
     chosen = []
     for i, k in enumerate(KINDS):
         # base proposals that fail their check are no personal data, whatever their score
-        if i < len(BASE) or i not in model.thresholds:
+        if i < len(BASE):
             continue
-        t = min(max(model.thresholds[i], 1e-6), 1 - 1e-6)
-        limit = math.log(t / (1 - t)) if model.thresholds[i] > 0 else -math.inf
+        t = model.thresholds.get(i)
+        limit = None if t is None else -math.inf if t <= 0 else math.log(min(max(t, 1e-6), 1 - 1e-6) / (1 - min(max(t, 1e-6), 1 - 1e-6)))
         scored = F.filter(_tag(k, "__t"), reaches(limit))
         chosen.append(F.when(F.size(f"m_{k}") > 0, F.transform(scored, short(i))).otherwise(F.array().cast("array<struct<start:bigint,kind:int,end:bigint>>")))
     rows = rows.withColumn("base_spans", base)
     # a chosen span that a base span covers adds nothing
-    extra = F.filter(F.concat(*chosen), lambda c: ~F.exists(F.col("base_spans"), lambda b: (b["start"] <= c["start"]) & (b["end"] >= c["end"]))) if chosen else None
-    rows = rows.withColumn("spans", F.array_sort(F.concat(F.col("base_spans"), extra)) if chosen else F.col("base_spans"))
+    extra = F.filter(F.concat(*chosen), lambda c: ~F.exists(F.col("base_spans"), lambda b: (b["start"] <= c["start"]) & (b["end"] >= c["end"])))
+    rows = rows.withColumn("spans", F.array_sort(F.concat(F.col("base_spans"), extra)))
     return rows.select(*keep, "base_spans", "spans")
 
 

@@ -92,3 +92,13 @@ def test_main_path_has_no_python(spark):
     df = odd(spark)
     plan = pii.redact(pii.find(df, pii.Model(trees=[(1, 2, 0.5, -0.5)], thresholds={4: 0.5})))._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_rare_kinds_are_masked_without_a_threshold(spark):
+    texts = ["plain words", 'set token = "b44e15e09fd311c3cf31" now', "my ssn: 123-45-6789 here", "write to ann (at) mail (dot) org please", "order 123456789 left"]
+    df = odd(spark, [(i, t, None, None, None) for i, t in enumerate(texts)])
+    model = pii.fit(df)
+    assert not {pii.KINDS.index(k) for k in ("secret", "number", "spelled")} & set(model.thresholds)
+    got = {r.doc_id: [(s.kind, texts[r.doc_id][s.start : s.end]) for s in r.spans] for r in pii.find(df, model).collect()}
+    kind = pii.KINDS.index
+    assert got == {0: [], 1: [(kind("secret"), "b44e15e09fd311c3cf31")], 2: [(kind("number"), "123-45-6789")], 3: [(kind("spelled"), "ann (at) mail (dot) org")], 4: []}
