@@ -20,9 +20,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """A new folder that driver and executors share: below spark.checkpoint.dir, or, where that is unset (tests), below a temporary folder."""
+    """A new folder below spark.checkpoint.dir, which driver and executors share. Where that is unset, a session of one machine takes a temporary folder; a cluster gets an error."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.conf.get("spark.master", "").startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         root = f"file://{tempfile.gettempdir()}/stopwise-checkpoints"
     return f"{root.rstrip('/')}/stopwise-{uuid.uuid4().hex}"
 
@@ -34,12 +36,21 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def small_batches(spark: SparkSession, rows: int = 512) -> None:
-    """Bound Arrow batches, as a row may be a very long text. Only ever lowers the session's setting."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    now = int(spark.conf.get(key, "10000"))
-    if now <= 0 or now > rows:
-        spark.conf.set(key, str(rows))
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 512, size: int = 1 << 23) -> Iterator[pa.RecordBatch]:
+    """The rows of Arrow batches in smaller ones: at most so many rows and, but for a single row, so many bytes.
+
+    Spark bounds a batch by bytes (64 MB by default); what is computed from a batch is larger than the
+    batch, so the work is bounded here and no setting of the session is touched.
+    """
+    for b in batches:
+        step = max(1, min(rows, int(size * b.num_rows / max(b.nbytes, 1)))) if b.num_rows else 1
+        at = 0
+        while at < b.num_rows:
+            part = b.slice(at, step)
+            while part.num_rows > 1 and part.nbytes > 2 * size:  # a very long row among short ones
+                part = part.slice(0, (part.num_rows + 1) // 2)
+            yield part
+            at += part.num_rows
 
 
 def add_columns(
@@ -54,7 +65,6 @@ def add_columns(
     make() runs once per task and returns f(*columns named in uses) -> new arrays. keep: columns that go
     on (default all). An input column whose name equals a new one, in any case, gives way to it.
     """
-    small_batches(df.sparkSession)
     new = {f.name.lower() for f in fields}
     keep = [c for c in (df.columns if keep is None else keep) if c.lower() not in new]
     extra = [u for u in uses if u not in keep]
@@ -65,10 +75,9 @@ def add_columns(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         f = make()
-        for b in batches:
-            if b.num_rows:
-                made = f(*[b.column(i) for i in where])
-                yield pa.RecordBatch.from_arrays([*b.columns[:n_keep], *made], names=names)
+        for b in slices(batches):
+            made = f(*[b.column(i) for i in where])
+            yield pa.RecordBatch.from_arrays([*b.columns[:n_keep], *made], names=names)
 
     return src.mapInArrow(run, schema)
 
@@ -103,3 +112,15 @@ def join_keyed(df: DataFrame, side: DataFrame, keys: Sequence[str], how: str = "
     rows = df.withColumn("__salt", F.pmod(F.monotonically_increasing_id(), F.lit(salts)).cast("int"))
     copies = side.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return rows.join(copies, [*keys, "__salt"], how).drop("__salt")
+
+
+def join_counted(rows: DataFrame, side: DataFrame, key: str, n_col: str, busy: int = 100_000) -> DataFrame:
+    """Join rows to a written table with one row per key that knows in n_col how many rows have the key (n_col is dropped).
+
+    Keys of more than `busy` rows (few, as each stands for that many) go apart, by broadcast or salted; all others by a plain join.
+    """
+    hot = side.filter(F.col(n_col) > busy)
+    if hot.isEmpty():
+        return rows.join(side.drop(n_col), key)
+    names = hot.select(key)
+    return join_keyed(rows, hot.drop(n_col), [key]).unionByName(join_keyed(rows, names, [key], "left_anti").join(side.filter(F.col(n_col) <= busy).drop(n_col), key))

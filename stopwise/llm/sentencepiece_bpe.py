@@ -2,22 +2,29 @@
 
 A batch's texts are cut into words (a run of meta spaces and what follows it; no piece crosses such a
 border, which is checked when the model is loaded). Words that a task hasn't met lately are encoded
-together: their symbols lie in one flat numpy array with a segment per word. Each round finds every
-word's least pair rank, merges its leftmost occurrence - all its occurrences that don't overlap, where
-no piece made from the new one could rank before it - for all words at once, and compacts the arrays,
-until no pair is left. Symbols outside the vocabulary become their UTF-8 bytes' pieces.
+together: their symbols lie in one flat numpy array with a segment per word. Two neighbours that stand
+side by side in no piece at all can never end in one piece, so segments are cut there, too, at the start and
+after each merge: long words soon fall into many short segments, each of which goes on by itself. Each round
+finds every segment's least pair rank, merges its occurrences from the left - all that don't overlap, up to
+one whose new piece makes a pair of no later rank with a neighbour, and on if the cut behind it is final - for all segments at once, and compacts the arrays, until no pair is
+left. Long runs of one character whose run pieces share a rank (the spaces) are closed in blocks of the
+longest run. Symbols outside the vocabulary become their UTF-8 bytes' pieces.
 
-The model file is only read: vocabulary, ranks and flags come from its protobuf fields. Its path is a
-parameter and its bytes travel to the tasks as a broadcast (0.5 MB for 32,000 pieces).
+The model file is only read, by the driver: vocabulary, ranks and flags come from its protobuf fields. Its path
+is a parameter, and the table made of it travels to the tasks as a broadcast (some MB for 32,000 pieces).
 
 Defined cases: a null text encodes like the empty one (end id only) and decodes to the empty text; null
-ids decode to the empty text; very long texts and words are encoded whole; ids outside the vocabulary
-raise an error; extra columns pass through, input columns with the name of a result column are replaced.
+ids decode to the empty text; very long texts and words are encoded whole, in rounds that split them further (a word that
+repeats one reacting pattern without a final cut takes a round per repetition); repeated rows get the same ids; ties in rank go to the leftmost pair; an
+empty table gives an empty result; ids outside the vocabulary raise an error; extra columns pass through,
+input columns with the name of a result column are replaced.
 """
 
 from __future__ import annotations
 
+import functools
 import hashlib
+import os
 from collections.abc import Sequence
 from itertools import chain
 
@@ -70,37 +77,65 @@ class Bpe:
         self.rank = np.full(max(self.symbol.values()) + 1, _NO, np.int64)
         for p, i in normal.items():
             self.rank[i] = place[-m.pieces[i].score]
-        keys, made = [], []
         #: pieces from which a merge of no later rank can be made: these are merged one at a time
         self.touchy = np.zeros(len(self.rank), bool)
         self.base = len(self.rank)
+        #: for each two symbols that stand side by side in a piece: what they make (-1: only part of a piece)
+        found: dict[int, int] = {}
+        symbol, base = self.symbol, self.base
         for p, i in normal.items():
-            for cut in range(1, len(p)):
-                a, b = self.symbol.get(p[:cut]), self.symbol.get(p[cut:])
-                if a is not None and b is not None:
-                    keys.append(a * self.base + b)
-                    made.append(i)
-                for part in (a, b):
-                    if part is not None and self.rank[part] >= self.rank[i]:
-                        self.touchy[part] = True
-        order = np.argsort(np.array(keys, np.int64))
-        self.keys, self.made = np.array(keys, np.int64)[order], np.array(made, np.int64)[order]
+            cuts = range(len(p) + 1)
+            for lo in cuts:
+                for mid in cuts[lo + 1 :]:
+                    left = symbol.get(p[lo:mid])
+                    if left is None:
+                        continue
+                    for hi in cuts[mid + 1 :]:
+                        right = symbol.get(p[mid:hi])
+                        if right is None:
+                            continue
+                        key = left * base + right
+                        if hi - lo < len(p):
+                            found.setdefault(key, -1)
+                            continue
+                        found[key] = i
+                        for part in (left, right):
+                            if self.rank[part] >= self.rank[i]:
+                                self.touchy[part] = True
+        self.keys = np.fromiter(found, np.int64, len(found))
+        order = np.argsort(self.keys)
+        self.keys, self.made = self.keys[order], np.fromiter(found.values(), np.int64, len(found))[order]
+        #: for characters whose runs are pieces of one rank and stand in no other piece: length and id of the run that closes (0: none)
+        self.block = np.zeros(self.base, np.int64)
+        self.block_id = np.zeros(self.base, np.int64)
+        for c, i in symbol.items():
+            holds = [p for p in normal if c * 2 in p] if len(c) == 1 and c * 2 in normal else []
+            runs = {len(p) for p in holds} if not any(p.strip(c) for p in holds) else set()
+            if runs and len({int(self.rank[normal[c * k]]) for k in runs}) == 1:
+                most = max(runs)
+                if self._first_of_run(runs, 3 * most) == most and not self._look(np.array([normal[c * most]]), np.array([i]))[1][0]:
+                    self.block[i], self.block_id[i] = most, normal[c * most]
         control = {i for i, k in enumerate(kinds) if k in (2, 3)}
         self.raw = [b"" if i in control else bytes([int(p[3:5], 16)]) if kinds[i] == 6 else p.replace(SPACE, " ").encode() for i, p in enumerate(self.pieces)]
         self.is_byte = np.array([k == 6 for k in kinds])
         self.control = control
 
-    def _pairs(self, sym: np.ndarray, seg: np.ndarray) -> np.ndarray:
-        """What each symbol and the next one make (-1: nothing), within a word."""
-        return self._next(sym, seg, np.arange(len(sym)))
-
-    def _next(self, sym: np.ndarray, seg: np.ndarray, at: np.ndarray) -> np.ndarray:
-        """The same for the symbols at some places."""
-        after = np.minimum(at + 1, len(sym) - 1)
-        a, b = sym[at], sym[after]
-        key = np.where((a < self.base) & (b < self.base) & (after > at) & (seg[at] == seg[after]), a * self.base + b, -1)
+    @staticmethod
+    def _first_of_run(runs: set[int], n: int) -> int:
+        """Length of the first piece of n equal characters if always the leftmost pair with a piece is merged."""
+        parts = [1] * n
+        while True:
+            at = next((k for k in range(len(parts) - 1) if parts[k] + parts[k + 1] in runs), None)
+            if at is None:
+                return parts[0]
+            parts[at : at + 2] = [parts[at] + parts[at + 1]]
+
+    def _look(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """What two neighbours make (-1: nothing), and whether any piece could ever cross their border."""
+        key = np.where((a < self.base) & (b < self.base), a * self.base + b, -1)
         place = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-        return np.where(self.keys[place] == key, self.made[place], -1)
+        live = self.keys[place] == key
+        return np.where(live, self.made[place], -1), live
 
     def encode_words(self, words: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all words one after another, and each word's number of ids."""
@@ -111,56 +146,108 @@ class Bpe:
         # characters without a symbol stand as base + code point until the end
         table_ = np.array([self.symbol.get(chr(c), self.base + int(c)) for c in chars], np.int64)
         sym, seg = table_[where] if len(chars) else np.zeros(0, np.int64), np.repeat(np.arange(len(words)), sizes)
+        if not len(sym):
+            return np.zeros(0, np.int64), np.zeros(len(words), np.int64)
         done_sym, done_seg, done_pos = [], [], []
         pos = np.arange(len(sym))
-        made = self._pairs(sym, seg)
+        made, live = self._look(sym, np.r_[sym[1:], self.base])
+        head = np.r_[True, (seg[1:] != seg[:-1]) | ~live[:-1]]  # where segments start
+        made[np.r_[head[1:], True]] = -1
         rank = np.where(made >= 0, self.rank[made], _NO)
         while len(sym):
-            first = np.flatnonzero(np.r_[True, seg[1:] != seg[:-1]])
+            first = np.flatnonzero(head)
             least = np.minimum.reduceat(rank, first)
-            length = np.diff(np.r_[first, len(seg)])
+            length = np.diff(np.r_[first, len(head)])
             open_ = np.repeat(least < _NO, length)
-            if not open_.all():  # words without a pair are ready
+            if not open_.all():  # segments without a pair are ready
                 done_sym.append(sym[~open_])
                 done_seg.append(seg[~open_])
                 done_pos.append(pos[~open_])
-                sym, seg, pos, made, rank = (x[open_] for x in (sym, seg, pos, made, rank))
+                sym, seg, pos, head, made, rank = (x[open_] for x in (sym, seg, pos, head, made, rank))
                 if not len(sym):
                     break
                 keep = least < _NO
                 least, length = least[keep], length[keep]
-                first = np.r_[0, np.cumsum(length)[:-1]]
-            hit = rank == np.repeat(least, length)
-            at = np.flatnonzero(hit)
-            s = seg[at]
-            new_word = np.r_[True, s[1:] != s[:-1]]
+            at = np.flatnonzero(rank == np.repeat(least, length))
+            part = (np.cumsum(head) - 1)[at]
+            new = np.r_[True, part[1:] != part[:-1]]
             # in a row of overlapping hits every second one counts, from the left
-            start = np.r_[True, (at[1:] != at[:-1] + 1) | new_word[1:]]
+            start = np.r_[True, (at[1:] != at[:-1] + 1) | new[1:]]
             row = np.maximum.accumulate(np.where(start, np.arange(len(at)), 0))
-            take = (np.arange(len(at)) - row) % 2 == 0
+            even = (np.arange(len(at)) - row) % 2 == 0
+            at, part = at[even], part[even]
+            left = np.ones(len(sym), bool)
             touchy = self.touchy[made[at]]
             if touchy.any():
-                word = np.cumsum(new_word) - 1
-                bad = np.zeros(word[-1] + 1, bool)
-                bad[word[touchy]] = True
-                take &= ~bad[word] | new_word
-            at = at[take]
+                at = self._in_turn(sym, head, made, at, part, touchy)
+                if self.block.any():
+                    at = self._close_runs(sym, head, made, rank, left, at)
             sym[at] = made[at]
-            left = np.ones(len(sym), bool)
             left[at + 1] = False
-            sym, seg, pos, made, rank = (x[left] for x in (sym, seg, pos, made, rank))
+            moved = np.cumsum(left) - 1
+            sym, seg, pos, head, made, rank = (x[left] for x in (sym, seg, pos, head, made, rank))
             # only the pairs that hold a new symbol change
-            at -= np.arange(len(at))
+            at = moved[at]
             near = np.concatenate([at, at[at > 0] - 1])
-            made[near] = self._next(sym, seg, near)
+            after = np.minimum(near + 1, len(sym) - 1)
+            new_made, live = self._look(sym[near], sym[after])
+            live &= (after > near) & ~head[after]
+            made[near] = np.where(live, new_made, -1)
             rank[near] = np.where(made[near] >= 0, self.rank[made[near]], _NO)
-        if not done_sym:
-            return np.zeros(0, np.int64), np.zeros(len(words), np.int64)
+            head[after[~live & (after > near)]] = True
         sym, seg, pos = (np.concatenate(x) for x in (done_sym, done_seg, done_pos))
         order = np.argsort(pos, kind="stable")
         sym, seg = sym[order], seg[order]
         return self._bytes_for_rest(sym, seg, len(words))
 
+    def _in_turn(self, sym: np.ndarray, head: np.ndarray, made: np.ndarray, at: np.ndarray, part: np.ndarray, touchy: np.ndarray) -> np.ndarray:
+        """Of the hits, those that can be merged at once where pieces are touchy.
+
+        From a segment's left up to the first whose new piece makes a pair of no later rank with a neighbour (that pair
+        goes before the next hit), and on, if the cut behind that one is final.
+        """
+        piece, least = made[at], self.rank[made[at]]
+        after = np.minimum(at + 2, len(sym) - 1)
+        edge = (at + 2 >= len(sym)) | head[after]
+        right, live = self._look(piece, sym[after])
+        left = sym[at - 1]
+        close = np.flatnonzero(at[1:] == at[:-1] + 2) + 1
+        left[close] = piece[close - 1]  # the hit before is merged first
+        right_of_left, _ = self._look(left, piece)
+        rank = lambda made_, no: np.where(no | (made_ < 0), _NO, self.rank[made_])
+        reacts = touchy & (np.minimum(rank(right, edge), rank(right_of_left, head[at])) <= least)
+        stop = reacts & live & ~edge
+        stops = np.cumsum(stop) - stop  # those before a hit
+        first = np.r_[True, part[1:] != part[:-1]]
+        before = stops[np.maximum.accumulate(np.where(first, np.arange(len(at)), 0))]
+        return at[stops == before]
+
+    def _close_runs(self, sym: np.ndarray, head: np.ndarray, made: np.ndarray, rank: np.ndarray, left: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Close all full blocks of the runs of one character that hits start, but for the run's end. Returns the other hits."""
+        mine = np.flatnonzero((self.block[np.minimum(sym[at], self.base - 1)] > 0) & (sym[at] < self.base) & (sym[at] == sym[np.minimum(at + 1, len(sym) - 1)]))
+        if not len(mine):
+            return at
+        border = np.flatnonzero(head | np.r_[True, sym[1:] != sym[:-1]])
+        end = np.r_[border, len(sym)][np.searchsorted(border, at[mine], "right")]
+        size = self.block[sym[at[mine]]]
+        blocks = (end - at[mine] - 1) // size
+        mine, size, blocks = (x[blocks > 0] for x in (mine, size, blocks))
+        if not len(mine):
+            return at
+        flat = lambda w: np.arange(w.sum()) - np.repeat(np.cumsum(w) - w, w)
+        starts = np.repeat(at[mine], blocks) + flat(blocks) * np.repeat(size, blocks)
+        width = np.repeat(size, blocks)
+        whole = np.repeat(starts, width) + flat(width)
+        left[whole] = False
+        left[starts] = True
+        sym[starts] = self.block_id[sym[starts]]
+        made[starts], rank[starts] = -1, _NO
+        head[starts], head[starts + width] = True, True
+        before = at[mine] - 1
+        before = before[(before >= 0)]
+        made[before], rank[before] = np.where(head[before + 1], -1, made[before]), np.where(head[before + 1], _NO, rank[before])
+        return np.delete(at, mine)
+
     def _bytes_for_rest(self, sym: np.ndarray, seg: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
         """Symbols without a piece become the pieces of their UTF-8 bytes."""
         odd = np.flatnonzero(sym >= self.n)
@@ -271,9 +358,19 @@ def _text(raw: bytes) -> str:
         return "".join(out)
 
 
-def _shared(df: DataFrame, model_path: str):
+@functools.lru_cache(maxsize=4)
+def _load(model_path: str, changed: int) -> Bpe:
     with open(model_path, "rb") as f:
-        return df.sparkSession.sparkContext.broadcast(f.read())
+        return Bpe(f.read())
+
+
+def load(model_path: str) -> Bpe:
+    """The merge table of a model file (kept while the file is the same)."""
+    return _load(model_path, os.stat(model_path).st_mtime_ns)
+
+
+def _shared(df: DataFrame, model_path: str):
+    return df.sparkSession.sparkContext.broadcast(load(model_path))
 
 
 def encode(df: DataFrame, model_path: str, text_col: str = "text", ids_col: str = "ids", keep: Sequence[str] | None = None) -> DataFrame:
@@ -281,7 +378,7 @@ def encode(df: DataFrame, model_path: str, text_col: str = "text", ids_col: str
     shared = _shared(df, model_path)
 
     def make():
-        enc = Encoder(Bpe(shared.value))
+        enc = Encoder(shared.value)
 
         def f(texts: pa.Array) -> list[pa.Array]:
             ids, offsets = enc.encode(texts.to_pylist())
@@ -297,7 +394,7 @@ def decode(df: DataFrame, model_path: str, ids_col: str = "ids", text_col: str =
     shared = _shared(df, model_path)
 
     def make():
-        dec = Decoder(Bpe(shared.value))
+        dec = Decoder(shared.value)
 
         def f(ids: pa.Array) -> list[pa.Array]:
             full = ids.fill_null([]) if ids.null_count else ids
@@ -315,7 +412,7 @@ def encode_decode(df: DataFrame, model_path: str, text_col: str = "text", ids_co
     shared = _shared(df, model_path)
 
     def make():
-        bpe = Bpe(shared.value)
+        bpe: Bpe = shared.value
         enc, dec = Encoder(bpe), Decoder(bpe)
 
         def f(texts: pa.Array) -> list[pa.Array]:
@@ -333,7 +430,7 @@ def round_trip(df: DataFrame, model_path: str, text_col: str = "text", keep: Seq
     shared = _shared(df, model_path)
 
     def make():
-        bpe = Bpe(shared.value)
+        bpe: Bpe = shared.value
         enc, dec = Encoder(bpe), Decoder(bpe)
         digits = [str(i) for i in range(bpe.n)]
 

@@ -1,5 +1,7 @@
+import base64
 import hashlib
 import random
+import time
 
 import numpy as np
 import pytest
@@ -42,6 +44,26 @@ def test_equals_the_library(bpe, library):
         assert ids[at[i] : at[i + 1]].tolist() == want and back[i] == library.decode(want)
 
 
+def test_very_long_words(bpe, library):
+    rng = random.Random(4)
+    letters = "etaoinshrdlu=-\n"
+    texts = [
+        " " * 1_000_000,
+        *[" " * n + tail for n in (14, 15, 16, 17, 31, 32, 33, 48, 49, 1000) for tail in ("", "a", "the", "\n")],
+        base64.b64encode(rng.randbytes(300_000)).decode(),
+        "\n".join(rng.choice(["the", "transition", "Haus", "être", "señor", "walking", "123"]) for _ in range(100_000)),
+        "".join(chr(rng.randrange(0x4E00, 0x9FFF)) for _ in range(200_000)),
+        *["".join(rng.choice(letters[:k]) for _ in range(100_000)) for k in (2, 5, 9, 12, 15)],
+        *[c * 100_000 for c in ("a", "=", "-", "th", "return", "\t", ".", "abcdefghijklm")],
+    ]
+    began = time.time()
+    ids, at = sp.Encoder(bpe).encode(texts)
+    took = time.time() - began
+    for i, t in enumerate(texts):
+        assert ids[at[i] : at[i + 1]].tolist() == library.encode(t, add_eos=True)
+    assert took < 60  # a quadratic encoder takes hours
+
+
 def test_forgetting_words_changes_nothing(bpe, monkeypatch):
     monkeypatch.setattr(sp, "_MEMO_TOKENS", 50)
     enc, texts = sp.Encoder(bpe), _texts()[:60]

@@ -55,8 +55,36 @@ def test_extra_columns(spark):
 def test_parser_waits_for_whole_records():
     record = b"WARC/1.1\r\nWARC-Type: response\r\nContent-Length: 9\r\n\r\nH: a\r\n\r\nx\r\n\r\n"
     for cut in range(len(record)):
-        got, rest = warc.parse(record[:cut])
-        assert not got and rest == record[:cut]
+        got, rest, need = warc.parse(record[:cut])
+        assert not got and rest == record[:cut] and cut < need <= len(record)
     assert warc.parse(record + record[:5])[0][0][-1] == b"x"
     with pytest.raises(ValueError, match="no record"):
         warc.parse(b"junk\r\n\r\n")
+
+
+def test_repeated_ids_with_different_payloads(spark, tmp_path):
+    other = "<p>" + "another payload " * 20
+    rows = [(1, "u", BIG), (1, "u", other), (2, "u", BIG), (3, "u", other), (1, "u", other)]
+    got = sorted((r.row_id, r.record_type, r.refers_to or "", r.payload_bytes, r.payload_digest) for r in _round(spark, tmp_path, rows)[1])
+    sha = lambda t: (len(t), hashlib.sha256(t.encode()).hexdigest())
+    want = [("1", "response", "", *sha(BIG)), ("1", "response", "", *sha(other)), ("1", "response", "", *sha(other)), ("2", "revisit", "1", *sha(BIG)), ("3", "revisit", "1", *sha(other))]
+    assert got == sorted(want)
+
+
+def test_long_payloads_dates_and_many_repeats(spark, tmp_path):
+    long = "line of a long payload\n" * 200_000
+    rows = [(i, "u", long if i in (3, 9) else BIG) for i in range(40)]
+    df = spark.createDataFrame(rows, PAGES).withColumn("at", F.expr("make_timestamp(2024, 1, 1, 0, 0, page_id)"))
+    path = str(tmp_path / "out")
+    warc.write(df, path, date=F.col("at"))
+    by = {int(r.row_id): r for r in warc.resolved_headers(spark, path).collect()}
+    assert len(by) == 40 and by[9].payload_bytes == by[3].payload_bytes == len(long) and by[9].refers_to == "3" and by[39].refers_to == "0"
+    assert {r.row_id: r.date for r in warc.read(spark, path).collect()}["5"] == "2024-01-01T00:00:05Z"
+
+
+def test_payloads_are_not_shuffled(spark):
+    df = spark.createDataFrame([(1, "u", BIG), (2, "u", BIG)], PAGES)
+    plan = warc.records(warc.resolve(df))._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan
+    salted = warc.resolve(df, small=0)  # the join without broadcast gives the same
+    assert {(r.page_id, r.record_type, r.refers_to_id) for r in salted.collect()} == {(1, "response", None), (2, "revisit", 1)}
