@@ -2,27 +2,29 @@
 
 Generators of high recall propose spans, which may overlap: the base kinds (email, ip, card, phone) by
 their fixed patterns and checks, and credentials (`secret`), identity numbers (`number`) and spelled-out
-addresses (`spelled`) by wide patterns. Base spans that pass their check always stay. The other proposals
-are scored by gradient-boosted trees over binned features of the span's format (length, shares of digits
-and capitals, changes between classes of characters, groups, repeats) and context (characters around it, the word before),
-and a span is selected where it passes the check of its own kind (below) or its score reaches its kind's threshold: the lowest score bin at which, on
-proposals set aside, the share of true ones reaches `precision`.
+addresses (`spelled`) by wide patterns. Base spans that pass their check always stay, those that fail go. The
+other proposals are scored by gradient-boosted trees over binned features of the span's format (length, shares of
+digits and capitals, changes between classes of characters, groups, repeats) and context (characters around it,
+the word before), and a span is selected where it passes the check of its own kind (below) or its score
+reaches its kind's threshold: the lowest score bin at which, on proposals set aside, the share of true ones
+reaches `precision`.
 
 Training needs no span labels. A proposal counts as true if it passes a check of its own kind that is not
-among the features: the base kinds' checks (Luhn, octets, digit counts) for base proposals, a credential
-word right before a `secret`, an identity word before a `number`, a spelled-out form with a known last part
-for `spelled`. Trees grow level by level; each level is one aggregation over the table of distinct feature
-vectors with counts (there are at most as many as combinations of bins), and what comes to the driver
-is one row per tree node, feature and bin. All documents count; every fifth, by hashed id and length of
-text, is set aside for thresholds.
+among the features: a credential word right before a `secret`, an identity word before a `number` or the
+checksum of an account number in it, a spelled-out form with a known or two-letter last part for `spelled`. Trees
+grow level by level; each level is one aggregation over the table of distinct feature vectors with counts (there
+are at most as many as combinations of bins), and what comes to the driver is one row per tree node, feature and
+bin. All documents count; every fifth, by hashed id and length of text, is set aside for thresholds.
 
 Everything runs as DataFrame functions. Patterns are written with possessive repeats and anchored starts,
-so that very long runs take linear time, and give the same matches as the plain ones.
+so that very long runs take linear time, and give the same matches as the plain ones. Texts dense with spans
+take time in proportion to their number, but for the copies that running sums make (in blocks of its root):
+positions and reaches are running sums and maxima, and pieces of text come from blocks of 256 characters.
 
 Defined cases: null text is the empty one, without spans; repeated rows get the same spans; very long texts
-are read whole (positions come from blockwise prefix sums); without proposals nothing is trained and only
-spans that pass their check remain; empty tables give an empty result; extra columns pass through, input columns with the
-name of a result column are replaced.
+are read whole; of equal starts a base span goes before the others, and a proposal that one base span covers adds
+nothing; without proposals nothing is trained and only spans that pass their check remain; empty tables give
+an empty result; extra columns pass through, input columns with the name of a result column are replaced.
 """
 
 from __future__ import annotations
@@ -37,7 +39,8 @@ from pyspark.sql import functions as F
 from .common import materialize, table
 
 BASE = ("email", "ip", "card", "phone")
-KINDS = (*BASE, "secret", "number", "spelled")
+MORE = ("secret", "number", "spelled")
+KINDS = (*BASE, *MORE)
 
 # Fixed patterns. A match of the plain form starts at the first character of a run, or where the last match ended.
 _LOCAL = "A-Za-z0-9._%+-"
@@ -56,40 +59,72 @@ _CREDENTIAL_WORD = r"(?i)(?:token|password|passwd|pwd|secret|api[_-]?key|access[
 _IDENTITY_WORD = r"(?i)(?:ssn|social security|passport|iban|account|acct|tel|phone|fax|mobile)[a-z.:# ]{0,12}$"
 _LAST_PARTS = ("com", "org", "net", "edu", "io", "de", "fr", "es")
 _CONTEXT = 24
+_BLOCK = 256
 
 
-def _scan(sizes: Column, start: Column) -> Column:
-    """For each entry of sizes, start plus the sum of those before it."""
+def _scan(values: Column, start: Column, join) -> Column:
+    """For each entry what start and the entries before it come to."""
     zero = F.struct(start.cast("long").alias("s"), F.array().cast("array<bigint>").alias("a"))
-    return F.aggregate(sizes, zero, lambda acc, x: F.struct((acc["s"] + x).alias("s"), F.array_append(acc["a"], acc["s"]).alias("a")), lambda acc: acc["a"])
+    return F.aggregate(values, zero, lambda acc, x: F.struct(join(acc["s"], x).alias("s"), F.array_append(acc["a"], acc["s"]).alias("a")), lambda acc: acc["a"])
 
 
-def _prefix_sums(sizes: Column) -> Column:
-    """Sums of the entries before each one. In blocks of about the root of their number: appending copies an array."""
-    n = F.size(sizes)
-    step = F.ceil(F.sqrt(n.cast("double"))).cast("int")
-    blocks = F.transform(F.sequence(F.lit(0), F.ceil((n / step).cast("double")).cast("int") - 1), lambda k: F.slice(sizes, k * step + 1, step))
-    starts = _scan(F.transform(blocks, lambda b: F.aggregate(b, F.lit(0).cast("long"), lambda x, y: x + y)), F.lit(0))
-    return F.flatten(F.transform(F.arrays_zip(blocks.alias("b"), starts.alias("s")), lambda z: _scan(z["b"], z["s"])))
+def _running(values: Column, join) -> Column:
+    """For each entry what the entries before it come to (0 at the first), for sums or maxima of longs.
+
+    In blocks of about the root of their number, as appending copies an array. values: a column of its
+    own, since an expression would be evaluated again for each block.
+    """
+    n = F.size(values)
+    step = F.greatest(F.ceil(F.sqrt(n.cast("double"))).cast("int"), F.lit(1))
+    blocks = F.transform(F.sequence(F.lit(0), F.greatest(F.ceil((n / step).cast("double")).cast("int") - 1, F.lit(0))), lambda k: F.slice(values, k * step + 1, step))
+    starts = _scan(F.transform(blocks, lambda b: F.aggregate(b, F.lit(0).cast("long"), join)), F.lit(0), join)
+    return F.flatten(F.transform(F.arrays_zip(blocks.alias("b"), starts.alias("s")), lambda z: _scan(z["b"], z["s"], join)))
+
+
+def _sum(x: Column, y: Column) -> Column:
+    return x + y
+
+
+def _most(x: Column, y: Column) -> Column:
+    return F.greatest(x, y)
+
+
+def _blocks(text: Column, wanted: Column) -> Column:
+    """The text in pieces of 256 characters, where it is wanted."""
+    return F.when(wanted, F.regexp_extract_all(text, F.lit(f"(?s).{{1,{_BLOCK}}}"), F.lit(0))).otherwise(F.array().cast("array<string>"))
+
+
+def _cut(blocks: Column, a: Column, b: Column) -> Column:
+    """The characters from a to before b, from a text's blocks."""
+    at = lambda x: F.floor(x / _BLOCK).cast("int")
+    off = lambda x: (x - at(x) * _BLOCK).cast("int")
+    long = F.concat(
+        F.substring(F.get(blocks, at(a)), off(a) + 1, F.lit(_BLOCK)),
+        F.array_join(F.slice(blocks, at(a) + 2, F.greatest(at(b) - at(a) - 1, F.lit(0))), ""),
+        F.coalesce(F.substring(F.get(blocks, at(b)), F.lit(1), off(b)), F.lit("")),
+    )
+    return F.coalesce(F.when(at(a) == at(b), F.substring(F.get(blocks, at(a)), off(a) + 1, (b - a).cast("int"))).otherwise(long), F.lit(""))
 
 
 def _spans_of(df: DataFrame, kinds: Sequence[str], text: str) -> DataFrame:
-    """Add columns m_<kind>: arrays of (start, end, match), in code points, end exclusive; for each pattern's matches, left to right."""
+    """Add columns __m_<kind>: arrays of (start, end, match), in code points, end exclusive; for each pattern's matches, left to right. And __blocks, the text's blocks where it has matches."""
     none = F.array().cast("array<string>")
     matches = {}
     for k in kinds:
         found = F.regexp_extract_all(F.col(text), F.lit(_PATTERNS[k]), F.lit(0))
-        matches[f"f_{k}"] = F.when(F.contains(F.col(text), F.lit(_NEEDS[k])), found).otherwise(none) if k in _NEEDS else found
+        matches[f"__f_{k}"] = F.when(F.contains(F.col(text), F.lit(_NEEDS[k])), found).otherwise(none) if k in _NEEDS else found
     df = df.withColumns(matches)
-    pieces = {f"p_{k}": F.when(F.size(f"f_{k}") > 0, F.split(F.col(text), _PATTERNS[k], -1)).otherwise(none) for k in kinds}
-    df = df.withColumns(pieces)
+    some = F.greatest(*[F.size(m) for m in matches], F.lit(0)) > 0
+    df = df.withColumns({f"__p_{k}": F.when(F.size(f"__f_{k}") > 0, F.split(F.col(text), _PATTERNS[k], -1)).otherwise(none) for k in kinds} | {"__blocks": _blocks(F.col(text), some)})
+    # each in a column of its own, see _running
+    df = df.withColumns({f"__n_{k}": F.zip_with(F.slice(F.col(f"__p_{k}"), F.lit(1), F.size(f"__f_{k}")), F.col(f"__f_{k}"), lambda p, m: (F.length(p) + F.length(m)).cast("long")) for k in kinds})
     empty = F.array().cast("array<struct<start:bigint,end:bigint,match:string>>")
     out = {}
     for k in kinds:
-        steps = F.zip_with(F.slice(F.col(f"p_{k}"), F.lit(1), F.size(f"f_{k}")), F.col(f"f_{k}"), lambda p, m: (F.length(p) + F.length(m)).cast("long"))
-        spans = F.zip_with(F.zip_with(_prefix_sums(steps), F.col(f"p_{k}"), lambda s, p: s + F.length(p)), F.col(f"f_{k}"), lambda s, m: F.struct(s.alias("start"), (s + F.length(m)).alias("end"), m.alias("match")))
-        out[f"m_{k}"] = F.when(F.size(f"f_{k}") > 0, F.filter(spans, lambda x: x["match"].isNotNull())).otherwise(empty)
-    return df.withColumns(out).drop(*matches, *pieces)
+        starts = F.zip_with(_running(F.col(f"__n_{k}"), _sum), F.slice(F.col(f"__p_{k}"), F.lit(1), F.size(f"__f_{k}")), lambda s, p: s + F.length(p))
+        spans = F.zip_with(starts, F.col(f"__f_{k}"), lambda s, m: F.struct(s.alias("start"), (s + F.length(m)).alias("end"), m.alias("match")))
+        out[f"__m_{k}"] = F.when(F.size(f"__f_{k}") > 0, spans).otherwise(empty)
+    return df.withColumns(out).drop(*matches, *[f"__p_{k}" for k in kinds], *[f"__n_{k}" for k in kinds])
 
 
 def _digits(m: Column) -> Column:
@@ -119,17 +154,29 @@ def _valid(kind: str, m: Column) -> Column:
     return F.lit(True)
 
 
-def _tag(kind: str, text: str) -> Column:
+def _iban(m: Column) -> Column:
+    """Whether a text has the form of an international account number and passes its checksum (mod 97)."""
+    bare = F.regexp_replace(m, " ", "")
+    turned = F.concat(F.substring(bare, 5, 64), F.substring(bare, 1, 4))
+
+    def add(acc: Column, i: Column) -> Column:
+        c = F.ascii(F.substring(turned, i, F.lit(1)))
+        return (acc * F.when(c < 58, 10).otherwise(100) + F.when(c < 58, c - 48).otherwise(c - 55)) % 97
+
+    return F.when(F.rlike(bare, F.lit("^[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}$")), F.aggregate(F.sequence(F.lit(1), F.length(bare)), F.lit(0), add) == 1).otherwise(False)
+
+
+def _tag(kind: str) -> Column:
     """The spans of a kind with what scoring needs: kind number and the text around."""
     return F.transform(
-        F.col(f"m_{kind}"),
+        F.col(f"__m_{kind}"),
         lambda x: F.struct(
             x["start"].alias("start"),
             F.lit(KINDS.index(kind)).alias("kind"),
             x["end"].alias("end"),
             x["match"].alias("match"),
-            F.substring(F.col(text), F.greatest(x["start"] - _CONTEXT, F.lit(0)).cast("int") + 1, F.least(x["start"], F.lit(_CONTEXT)).cast("int")).alias("before"),
-            F.substring(F.col(text), x["end"].cast("int") + 1, F.lit(8)).alias("after"),
+            _cut(F.col("__blocks"), F.greatest(x["start"] - _CONTEXT, F.lit(0)), x["start"]).alias("before"),
+            _cut(F.col("__blocks"), x["end"], x["end"] + 8).alias("after"),
         ),
     )
 
@@ -168,24 +215,25 @@ def feature_columns(c: Column) -> list[Column]:
     ]
 
 
-def _true(c: Column) -> Column:
-    """The check of a tagged span's own kind; none of it is a feature."""
+def _true(kind: str, c: Column) -> Column:
+    """The check of a tagged span of a kind of MORE; none of it is a feature."""
     m = c["match"]
-    out = F.when(c["kind"] == KINDS.index("email"), F.lit(True))
-    for k in BASE[1:]:
-        out = out.when(c["kind"] == KINDS.index(k), _valid(k, m))
-    out = out.when(c["kind"] == KINDS.index("secret"), F.rlike(c["before"], F.lit(_CREDENTIAL_WORD)))
-    out = out.when(c["kind"] == KINDS.index("number"), F.rlike(c["before"], F.lit(_IDENTITY_WORD)))
-    return out.otherwise(F.lower(F.regexp_extract(m, "([A-Za-z]+)$", 1)).isin(*_LAST_PARTS))
+    if kind == "secret":
+        return F.rlike(c["before"], F.lit(_CREDENTIAL_WORD))
+    if kind == "number":
+        return F.rlike(c["before"], F.lit(_IDENTITY_WORD)) | _iban(m)
+    last = F.lower(F.regexp_extract(m, "([A-Za-z]+)$", 1))
+    return last.isin(*_LAST_PARTS) | (F.length(last) == 2)
 
 
 @dataclass
 class Model:
-    """Trees as (feature, cut, left value or subtree, right value or subtree); bias; threshold per kind (missing: only what passes its check is selected)."""
+    """Trees as (feature, cut, left value or subtree, right value or subtree); bias; threshold per kind (missing: only what passes its check is selected) with the share of true proposals above it, and their number."""
 
     bias: float = 0.0
     trees: list = field(default_factory=list)
     thresholds: dict[int, float] = field(default_factory=dict)
+    precisions: dict[int, tuple[float, int]] = field(default_factory=dict)
 
     def margin(self, x: Sequence[Column]) -> Column:
         out = F.lit(self.bias)
@@ -215,7 +263,7 @@ def _grow(t, splits: dict, name: str = "r"):
     return (f, cut, _grow(low, splits, name + "0"), _grow(high, splits, name + "1"))
 
 
-def boost(vectors: DataFrame, rounds: int = 10, depth: int = 3, rate: float = 0.5, l2: float = 1.0, least: float = 5.0) -> Model:
+def boost(vectors: DataFrame, rounds: int = 8, depth: int = 3, rate: float = 0.5, l2: float = 1.0, least: float = 5.0) -> Model:
     """Second-order boosting of logistic loss on rows (x0.., pos, neg): distinct feature vectors with counts."""
     x = [F.col(f"x{i}") for i in range(len(FEATURES))]
     n = vectors.agg(F.sum("pos"), F.sum("neg")).first()
@@ -270,6 +318,7 @@ def calibrate(model: Model, vectors: DataFrame, precision: float = 0.9, least: i
             pos, neg = pos + r.pos, neg + r.neg
             if pos + neg >= least and pos / (pos + neg) >= precision:
                 model.thresholds[kind] = r.bin / 20
+                model.precisions[kind] = (pos / (pos + neg), pos + neg)
     return model
 
 
@@ -277,13 +326,24 @@ def fit(df: DataFrame, text_col: str = "text", id_col: str = "doc_id", precision
     """Train on the proposals of all documents; every fifth document is set aside for thresholds."""
     key = F.concat_ws("|", F.col(f"`{id_col}`").cast("string"), F.length(F.col(f"`{text_col}`")).cast("string"))
     rows = df.select(F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("__t"), F.pmod(F.xxhash64(key, F.lit("aside")), F.lit(5)).alias("__fold"))
-    tagged = _spans_of(rows, KINDS, "__t").select("__fold", F.explode(F.concat(*[_tag(k, "__t") for k in KINDS])).alias("c"))
+    mark = lambda k: F.transform(_tag(k), lambda c: F.struct(c.alias("c"), _true(k, c).alias("y")))
+    tagged = _spans_of(rows, MORE, "__t").select("__fold", F.explode(F.concat(*[mark(k) for k in MORE])).alias("z")).select("__fold", "z.c", "z.y")
     cols = feature_columns(F.col("c"))
-    vectors = tagged.select(*[v.cast("int").alias(f"x{i}") for i, v in enumerate(cols)], (F.col("__fold") == 0).alias("aside"), _true(F.col("c")).cast("int").alias("y"))
     names = [f"x{i}" for i in range(len(cols))]
+    vectors = tagged.select(*[v.cast("int").alias(n) for n, v in zip(names, cols, strict=True)], (F.col("__fold") == 0).alias("aside"), F.col("y").cast("int").alias("y"))
     # one small file: at most as many rows as combinations of bins, read again for each tree level
-    grouped = materialize(vectors.groupBy(*names, "aside").agg(F.sum("y").alias("pos"), F.sum(1 - F.col("y")).alias("neg")).coalesce(1))
-    return calibrate(boost(grouped.filter("not aside")), grouped.filter("aside"), precision)
+    grouped = materialize(vectors.groupBy(*names, "aside").agg(F.sum("y").alias("pos"), F.sum(1 - F.col("y")).alias("neg")).coalesce(1)).persist()
+    model = calibrate(boost(grouped.filter("not aside")), grouped.filter("aside"), precision)
+    grouped.unpersist()
+    return model
+
+
+def _judged(kind: str):
+    return lambda c: F.struct(c["start"].alias("start"), c["end"].alias("end"), _true(kind, c).alias("ok"), F.array(*[v.cast("int") for v in feature_columns(c)]).alias("x"))
+
+
+def _reaches(model: Model, limit: float):
+    return lambda c: c["ok"] | (model.margin([c["x"][j] for j in range(len(FEATURES))]) >= F.lit(limit))
 
 
 def find(df: DataFrame, model: Model, text_col: str = "text", keep: Sequence[str] | None = None) -> DataFrame:
@@ -292,23 +352,26 @@ def find(df: DataFrame, model: Model, text_col: str = "text", keep: Sequence[str
     rows = _spans_of(df.select(*[F.col(f"`{c}`") for c in keep], F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("__t")), KINDS, "__t")
     short = lambda i: lambda x: F.struct(x["start"].alias("start"), F.lit(i).alias("kind"), x["end"].alias("end"))
     passes = lambda k: lambda x: _valid(k, x["match"])
-    # what passes its own check stays, whatever its score: the trees only add
-    reaches = lambda limit: lambda c: _true(c) if limit is None else _true(c) | (model.margin(feature_columns(c)) >= F.lit(limit))
-    base = F.array_sort(F.concat(*[F.transform(F.filter(F.col(f"m_{k}"), passes(k)), short(i)) for i, k in enumerate(BASE)]))
+    base = F.array_sort(F.concat(*[F.transform(F.filter(F.col(f"__m_{k}"), passes(k)), short(i)) for i, k in enumerate(BASE)]))
     chosen = []
-    for i, k in enumerate(KINDS):
-        # base proposals that fail their check are no personal data, whatever their score
-        if i < len(BASE):
-            continue
+    for k in MORE:
+        i = KINDS.index(k)
+        # what passes its own check stays, whatever its score: the trees only add. Features are made once a span
+        made = F.transform(_tag(k), _judged(k))
         t = model.thresholds.get(i)
-        limit = None if t is None else -math.inf if t <= 0 else math.log(min(max(t, 1e-6), 1 - 1e-6) / (1 - min(max(t, 1e-6), 1 - 1e-6)))
-        scored = F.filter(_tag(k, "__t"), reaches(limit))
-        chosen.append(F.when(F.size(f"m_{k}") > 0, F.transform(scored, short(i))).otherwise(F.array().cast("array<struct<start:bigint,kind:int,end:bigint>>")))
-    rows = rows.withColumn("base_spans", base)
-    # a chosen span that a base span covers adds nothing
-    extra = F.filter(F.concat(*chosen), lambda c: ~F.exists(F.col("base_spans"), lambda b: (b["start"] <= c["start"]) & (b["end"] >= c["end"])))
-    rows = rows.withColumn("spans", F.array_sort(F.concat(F.col("base_spans"), extra)))
-    return rows.select(*keep, "base_spans", "spans")
+        if t is None:
+            taken = F.filter(made, lambda c: c["ok"])
+        else:
+            limit = -math.inf if t <= 0 else math.log(min(max(t, 1e-6), 1 - 1e-6) / (1 - min(max(t, 1e-6), 1 - 1e-6)))
+            taken = F.filter(made, _reaches(model, limit))
+        chosen.append(F.when(F.size(f"__m_{k}") > 0, F.transform(taken, short(i))).otherwise(F.array().cast("array<struct<start:bigint,kind:int,end:bigint>>")))
+    rows = rows.select(*[F.col(f"`{c}`") for c in keep], base.alias("base_spans"), F.concat(*chosen).alias("__more"))
+    # a chosen span that a base span covers adds nothing: by start, it ends no later than the furthest base span before it
+    rows = rows.withColumn("__all", F.array_sort(F.concat("base_spans", "__more")))
+    rows = rows.withColumn("__ends", F.transform("__all", lambda x: F.when(x["kind"] < len(BASE), x["end"]).otherwise(F.lit(0).cast("long"))))
+    held = F.zip_with("__all", _running(F.col("__ends"), _most), lambda x, far: F.when((x["kind"] < len(BASE)) | (x["end"] > far), x))
+    spans = F.when(F.size("__more") > 0, F.filter(held, lambda x: x.isNotNull())).otherwise(F.col("base_spans"))
+    return rows.withColumn("spans", spans).select(*[F.col(f"`{c}`") for c in keep], "base_spans", "spans")
 
 
 def span_text(spans: Column) -> Column:
@@ -320,20 +383,14 @@ def span_text(spans: Column) -> Column:
 def redact(df: DataFrame, text_col: str = "text", spans_col: str = "spans") -> DataFrame:
     """Replace each span in the text by its kind in angle brackets; of overlapping spans the first goes on to the end of the last."""
     names = F.array(*[F.lit(f"<{k}>") for k in KINDS])
-    s = F.col(f"`{spans_col}`")
-    zero = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<string>").alias("out"))
-
-    def step(acc: Column, x: Column) -> Column:
-        gap = F.substring(F.col(f"`{text_col}`"), acc["at"].cast("int") + 1, F.greatest(x["start"] - acc["at"], F.lit(0)).cast("int"))
-        return F.when(
-            x["start"] >= acc["at"],
-            F.struct(x["end"].alias("at"), F.array_append(F.array_append(acc["out"], gap), F.element_at(names, x["kind"] + 1)).alias("out")),
-        ).otherwise(F.struct(F.greatest(acc["at"], x["end"]).alias("at"), acc["out"].alias("out")))
-
-    def finish(acc: Column) -> Column:
-        return F.concat(F.array_join(acc["out"], ""), F.substring(F.col(f"`{text_col}`"), acc["at"].cast("int") + 1, F.lit(2**31 - 1) - acc["at"].cast("int") - 1))
-
-    return df.withColumn(text_col, F.when(F.size(s) > 0, F.aggregate(s, zero, step, finish)).otherwise(F.col(f"`{text_col}`")))
+    text = F.col(f"`{text_col}`")
+    rows = df.withColumn("__s", F.array_sort(F.coalesce(F.col(f"`{spans_col}`"), F.array().cast(df.schema[spans_col].dataType))))
+    rows = rows.withColumns({"__ends": F.transform("__s", lambda x: x["end"].cast("long")), "__blocks": _blocks(text, F.size("__s") > 0)})
+    heads = F.filter(F.zip_with("__s", _running(F.col("__ends"), _most), lambda x, far: F.struct(x["start"].alias("start"), x["kind"].alias("kind"), far.alias("far"))), lambda x: x["start"] >= x["far"])
+    parts = F.transform(heads, lambda x: F.concat(_cut(F.col("__blocks"), x["far"], x["start"]), F.element_at(names, x["kind"] + 1)))
+    tail = _cut(F.col("__blocks"), F.array_max("__ends"), F.greatest(F.length(text), F.array_max("__ends")))
+    out = F.when(text.isNotNull() & (F.size("__s") > 0), F.concat(F.array_join(parts, ""), tail)).otherwise(text)
+    return rows.withColumn(text_col, out).drop("__s", "__ends", "__blocks")
 
 
 def op10_pii(spark, sf_dir: str) -> DataFrame:

@@ -1,5 +1,7 @@
+import math
 import random
 import re
+import time
 
 from pyspark.sql import functions as F
 
@@ -102,3 +104,49 @@ def test_rare_kinds_are_masked_without_a_threshold(spark):
     got = {r.doc_id: [(s.kind, texts[r.doc_id][s.start : s.end]) for s in r.spans] for r in pii.find(df, model).collect()}
     kind = pii.KINDS.index
     assert got == {0: [], 1: [(kind("secret"), "b44e15e09fd311c3cf31")], 2: [(kind("number"), "123-45-6789")], 3: [(kind("spelled"), "ann (at) mail (dot) org")], 4: []}
+
+
+def test_account_numbers(spark):
+    rows = [("DE89 3704 0044 0532 0130 00", True), ("GB82WEST12345698765432", True), ("DE88 3704 0044 0532 0130 00", False), ("123-45-6789", False)]
+    df = spark.createDataFrame(rows, "m string, ok boolean")
+    assert all(r.got == r.ok for r in df.withColumn("got", pii._iban(F.col("m"))).collect())
+
+
+def test_texts_dense_with_spans(spark):
+    one = [(1, "an@b.co " * 100_000), (2, "é" * 300 + 'token = "b44e15e09fd311c3cf31" x@y.zz 1.2.3.4 ' * 3000), (3, "q" * 1000)]
+    df = spark.createDataFrame(one, "doc_id long, text string")
+    began = time.time()
+    found = pii.find(df, pii.Model(trees=[(1, 2, 0.5, -0.5)], thresholds={4: 0.5}))
+    got = {r.doc_id: r for r in pii.redact(found).collect()}
+    took = time.time() - began
+    assert len(got[1].base_spans) == 100_000 and got[1].base_spans[-1].start == 799_992 and got[1].text == "<email> " * 100_000
+    assert got[2].text == "é" * 300 + 'token = "<secret>" <email> <ip> ' * 3000 and [s.start for s in got[2].spans] == sorted(s.start for s in got[2].spans)
+    assert got[3].text == one[2][1] and took < 60
+
+
+def test_scores_and_spans_equal_plain_python(spark):
+    """The model's verdict on every proposal, recomputed outside Spark from the features that Spark gives."""
+    rows = _corpus(120)
+    df = odd(spark, rows)
+    model = pii.fit(df)
+    tagged = pii._spans_of(df.withColumn("__t", F.col("text")), pii.MORE, "__t")
+    every = tagged.select("doc_id", F.explode(F.concat(*[F.transform(pii._tag(k), pii._judged(k)) for k in pii.MORE])).alias("z")).select("doc_id", "z.*").collect()
+
+    def leaf(t, x):
+        return t if isinstance(t, float) else leaf(t[2] if x[t[0]] <= t[1] else t[3], x)
+
+    want = set()
+    for r in every:
+        margin = model.bias + sum(leaf(t, r.x) for t in model.trees)
+        limit = model.thresholds.get(r.x[0])
+        if r.ok or (limit is not None and 1 / (1 + math.exp(-margin)) >= limit - 1e-12):
+            want.add((r.doc_id, r.start, r.x[0], r.end))
+    text = {r[0]: r[1] for r in rows}
+    base = {i: brute(t) for i, t in text.items()}
+    want = {w for w in want if not any(b[0] <= w[1] and b[2] >= w[3] for b in base[w[0]])}
+    got = {(r.doc_id, s.start, s.kind, s.end) for r in pii.find(df, model).collect() for s in r.spans if s.kind >= len(pii.BASE)}
+    assert got == want and len(want) >= 120
+    # matches, contexts and positions are those of the text
+    for r in tagged.select("doc_id", F.explode(F.concat(*[pii._tag(k) for k in pii.MORE])).alias("c")).select("doc_id", "c.*").collect():
+        t = text[r.doc_id]
+        assert (r.match, r.before, r.after) == (t[r.start : r.end], t[max(0, r.start - 24) : r.start], t[r.end : r.end + 8])
