@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from stopwise.llm import ann
 
+from .helpers import SF
+
 VECTORS = "vec_id long, embedding array<float>"
 
 
@@ -35,18 +37,45 @@ def test_recall(spark, spread):
         assert all(abs(s - float(x[i] @ x[q])) < 1e-9 for i, s in found)
 
 
-@pytest.mark.parametrize("radius", [0, 9, 30, 128])
-def test_every_code_within_the_radius_is_found(spark, radius):
+@pytest.mark.parametrize("within, radius", [(0, 500), (1, 500), (2, 30), (3, 80)])
+def test_what_is_retrieved_equals_brute_force(spark, within, radius, monkeypatch):
     rng = np.random.default_rng(2)
     x = rng.normal(size=(300, 16))
     rows = ann.usable(_table(spark, x), "vec_id", "embedding")
-    model = ann.fit(rows)
-    index = ann._encode(rows, model, False)
-    queries = ann._encode(rows.filter("id % 30 = 0"), model, True).withColumn("radius", F.lit(radius))
-    found = {(r.q, r.id) for r in ann.search(index, queries, model, 400, block_rows=64, block_queries=4).collect()}
-    bits = lambda rows: {r.id: np.unpackbits(np.array(r.code, np.uint16).view(np.uint8)) for r in rows.collect()}
-    have, ask = bits(index), bits(queries)
-    assert found == {(q, i) for q, a in ask.items() for i, b in have.items() if i != q and (a != b).sum() <= radius}
+    model = ann.fit(rows, 3).first(3, within, radius)
+    queries = rows.filter("id % 30 = 0")
+    found = {(r.q, r.id) for r in ann.search(rows, queries, model, 400, block_queries=4).collect()}
+    v = {r.id: r.v for r in rows.collect()}
+    ids = sorted(v)
+    have = model.codes(np.array([v[i] for i in ids], float))
+    want = set()
+    for q in (i for i in ids if i % 30 == 0):
+        ask = model.codes(np.array([v[q]], float), True)[0]
+        for i, c in zip(ids, have, strict=True):
+            off = [int(a) ^ int(b) for a, b in zip(c, ask, strict=True)]
+            subs = [(o >> (16 * t) & 0xFFFF).bit_count() for o in off for t in range(4)]
+            if i != q and min(subs) <= within and sum(o.bit_count() for o in off) <= radius:
+                want.add((q, i))
+            # the pigeonhole radius of each code is covered
+            assert min(o.bit_count() for o in off) > 4 * within + 3 or min(subs) <= within
+    assert found == want
+
+
+def test_recall_on_the_given_table(spark):
+    """The query's own table and parameters against brute force; and the index saves work where vectors lie in clusters."""
+    got = {}
+    for r in ann.op9_ann(spark, SF).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    rows = {r.vec_id: r.embedding for r in spark.read.parquet(f"{SF}/embeddings.parquet").collect() if r.embedding and all(c is not None and math.isfinite(c) for c in r.embedding) and any(r.embedding)}
+    ids, x = sorted(rows), np.array([rows[i] for i in sorted(rows)], float)
+    hits = [len(got[i] & set(_brute(ids, x, p, 20))) / min(20, len(ids) - 1) for p, i in enumerate(ids) if i % 20 == 0]
+    assert len(hits) == len(got) and np.mean(hits) >= 0.9
+    rng = np.random.default_rng(6)
+    near = np.repeat(rng.normal(size=(40, 32)), 60, axis=0) + 0.1 * rng.normal(size=(2400, 32))
+    table = ann.usable(_table(spark, near), "vec_id", "embedding")
+    model = ann.tune(table, table.filter("id % 20 = 0"), ann.fit(table), 20, 0.94, 200)
+    retrieved, reranked = ann.effort(table, table.filter("id % 20 = 0"), model)
+    assert model.within <= 1 and reranked <= retrieved < 0.2
 
 
 def test_odd_rows(spark):
