@@ -1,17 +1,24 @@
 """Quality rules: plain text rules, then robust multivariate outliers by minimum covariance determinant.
 
-Every document gets a vector of transformed statistics. For each (language, source), and as a fallback for
-each language and for the whole corpus, a minimum-covariance-determinant (MCD) estimate is found by
-concentration steps over ALL rows: distances under the present centre and covariance, a threshold that
-keeps the nearest `alpha` share of the group, moments of that share. The threshold comes from a histogram
-of log distances per group, so a group that holds a third of all rows costs one row per bin and task in
-the shuffle. The estimates stay a table (a row per group), which rows meet in a broadcast if a count
-proves it small and by salted keys if not; nothing is collected to the driver.
+Every document gets a vector of transformed statistics. Each (language, source) has its own
+minimum-covariance-determinant (MCD) estimate, found by concentration steps over ALL rows: distances under the
+present centre and covariance, a threshold that keeps the nearest `alpha` share of the group (rounded down, one row
+at least), moments of that share. The threshold comes from a histogram of log distances per group, so a group that
+holds a third of all rows costs one row per bin and task in the shuffle.
+
+Small groups borrow strength, without any switch by size: a group's centre and scatter are the means of its own and
+its language's, weighted by its number m of kept rows against `centre_rows` and `scatter_rows`; the language's
+lean on the corpus's in the same way. With m far above these a group stands for itself; with few rows its
+own scatter says little and counts little. Where a direction's spread, in units of the floors per statistic,
+is below 1 it is raised to 1, and nothing is added elsewhere.
+
+The estimates stay a table (a row per group), which rows meet in a broadcast if a count proves it small and
+by salted keys if not; nothing is collected to the driver.
 
 Defined cases: null or empty text has zeros in every statistic and fails the base rules; null language or
-source is a group of its own; repeated rows each count; groups below `min_rows` use the estimate of their
-language, then that of the corpus; an empty table gives an empty result; extra columns pass through, and
-input columns with the name of a result column are replaced.
+source is a group of its own; repeated rows each count; ties at the threshold (rows of one bin, a 64th of a doubling)
+all count as near; very long texts are read whole; an empty table gives an empty result; extra columns pass
+through, and input columns with the name of a result column are replaced.
 """
 
 from __future__ import annotations
@@ -22,7 +29,7 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -151,27 +158,36 @@ def _distance(p: int) -> Column:
     return F.greatest(total, F.lit(0.0))
 
 
-_PARAMS = "g string, n long, mu array<double>, prec array<double>"
+def estimate(m: int, sums: Sequence[float], products: Sequence[float], factor: float, parent: tuple[np.ndarray, np.ndarray] | None, centre_rows: float, scatter_rows: float) -> tuple[np.ndarray, np.ndarray]:
+    """Centre and covariance from a group's moments and its parent's estimate; spreads below the floors are raised to them."""
+    p = len(sums)
+    mean = np.asarray(sums, float) / m
+    cov = np.zeros((p, p))
+    cov[np.tril_indices(p)] = np.asarray(products, float) / m
+    cov = factor * (cov + np.tril(cov, -1).T - np.outer(mean, mean))
+    if parent is not None:
+        mean = (m * mean + centre_rows * parent[0]) / (m + centre_rows)
+        cov = (m * cov + scatter_rows * parent[1]) / (m + scatter_rows)
+    floor = np.array(_FLOOR[:p])
+    value, vector = np.linalg.eigh(cov / np.outer(floor, floor))
+    return mean, (vector * np.maximum(value, 1.0)) @ vector.T * np.outer(floor, floor)
 
 
-def _invert(p: int, factor: float):
-    """Per-group moments to centre and inverse covariance; each row is on its own."""
-    floor = np.square(np.array(_FLOOR[:p]))
+def _estimates(factor: float, centre_rows: float, scatter_rows: float):
+    """Moments of a group and of those above it to centre and inverse covariance; each row is on its own."""
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in parts:
             out = []
             for r in pdf.itertuples(index=False):
-                m = max(int(r.m), 1)
-                mean = np.array(r.s, float) / m
-                cov = np.zeros((p, p))
-                cov[np.tril_indices(p)] = np.array(r.q, float) / m
-                cov = cov + np.tril(cov, -1).T - np.outer(mean, mean)
-                cov = factor * cov
-                cov[np.diag_indices(p)] = np.maximum(np.diag(cov), 0) + floor
-                inv = np.linalg.inv(cov)
-                out.append((r.g, r.n, mean.tolist(), ((inv + inv.T) / 2).ravel().tolist()))
-            yield pd.DataFrame(out, columns=["g", "n", "mu", "prec"])
+                got = None
+                for level in (0, 1, 2):
+                    m = getattr(r, f"m{level}")
+                    if m == m and m is not None:
+                        got = estimate(int(m), getattr(r, f"s{level}"), getattr(r, f"q{level}"), factor, got, centre_rows, scatter_rows)
+                inv = np.linalg.inv(got[1])
+                out.append((r.g, got[0].tolist(), ((inv + inv.T) / 2).ravel().tolist()))
+            yield pd.DataFrame(out, columns=["g", "mu", "prec"])
 
     return run
 
@@ -181,37 +197,63 @@ def _group_key(level: int) -> Column:
     return F.concat_ws(":", F.lit(str(level)), *[part(c) for c in ("__lang", "__source")[:level]])
 
 
-def fit_mcd(vectors: DataFrame, alpha: float = 0.75, steps: int = 4) -> DataFrame:
-    """MCD centre and inverse covariance per group key g.
+def _quartiles(slim: DataFrame) -> DataFrame:
+    """Per language and for the corpus: q0.., the quartiles of each component, from histograms a 32nd of its floor wide."""
+    wide = [w / 32 for w in _FLOOR]
+    bins = F.posexplode(F.array(*[F.floor(F.col(f"x{i}") / w).cast("int") for i, w in enumerate(wide)])).alias("i", "bin")
+    by_lang = materialize(slim.select("g0", "g1", bins).groupBy("g0", "g1", "i", "bin").count())
+    every = by_lang.select(F.explode(F.array("g0", "g1")).alias("g"), "i", "bin", "count").groupBy("g", "i", "bin").agg(F.sum("count").alias("count"))
+    part = Window.partitionBy("g", "i")
+    below = F.sum("count").over(part.orderBy("bin").rowsBetween(Window.unboundedPreceding, 0))
+    run = every.withColumns({"below": below, "of": F.sum("count").over(part)})
+    cuts = run.groupBy("g", "i").agg(F.array(*[F.min(F.when(F.col("below") >= F.col("of") * q, F.col("bin"))) for q in (0.25, 0.5, 0.75)]).alias("q"))
+    return cuts.groupBy("g").agg(*[F.transform(F.max(F.when(F.col("i") == i, F.col("q"))), lambda b: (b + 0.5) * _width(i)).alias(f"q{i}") for i in range(_P)])
+
+
+def _width(i: int) -> Column:
+    return F.lit(_FLOOR[i] / 32)
+
 
-    vectors: columns g and x0..x6. Start: medians and interquartile ranges. Then `steps` concentration
-    steps, each two aggregations over all rows: the histogram of log distances (64 bins for each doubling)
-    that gives the threshold, and the moments of the rows up to the threshold's bin.
+def fit_mcd(slim: DataFrame, alpha: float = 0.75, steps: int = 4, centre_rows: float = 7.0, scatter_rows: float = 100.0) -> DataFrame:
+    """MCD centre mu and inverse covariance prec per group key g.
+
+    slim: keys g0 (the corpus), g1 (language), g2 (language and source), and x0..x6. Start: medians and
+    interquartile ranges, a group's being its language's. Then `steps` concentration steps for all three levels, each
+    two aggregations over all rows: the histogram of log distances (64 bins for each doubling) that gives the
+    threshold, and the moments of the rows up to the threshold's bin.
     """
-    p, q = _P, (0.25, 0.5, 0.75)
-    start = vectors.groupBy("g").agg(F.count(F.lit(1)).alias("n"), *[F.percentile_approx(f"x{i}", list(q), 20_000).alias(f"q{i}") for i in range(p)])
+    p = _P
+    xs = [f"x{i}" for i in range(p)]
+    groups = slim.select("g0", "g1", "g2").distinct()
+    level = lambda k, g, lang, top: F.struct(F.lit(k).alias("level"), g.alias("g"), lang.alias("lang"), top.alias("top"))
+    none = F.lit(None).cast("string")
+    chains = F.explode(F.array(level(0, F.col("g0"), none, F.col("g0")), level(1, F.col("g1"), F.col("g1"), F.col("g0")), level(2, F.col("g2"), F.col("g1"), F.col("g0")))).alias("z")
+    tree = materialize(groups.select(chains).select("z.*").distinct())
     sd = [F.greatest((F.col(f"q{i}")[2] - F.col(f"q{i}")[0]) / 1.349, F.lit(_FLOOR[i])) for i in range(p)]
     prec = [F.lit(1.0) / (sd[i] * sd[i]) if i == j else F.lit(0.0) for i in range(p) for j in range(p)]
-    params = materialize(start.select("g", "n", F.array(*[F.col(f"q{i}")[1] for i in range(p)]).alias("mu"), F.array(*prec).alias("prec")))
+    start = materialize(_quartiles(slim).select(F.col("g").alias("of"), F.array(*[F.col(f"q{i}")[1] for i in range(p)]).alias("mu"), F.array(*prec).alias("prec")))
+    params = materialize(join_keyed(tree.withColumn("of", F.coalesce("lang", "top")), start, ["of"]).select("g", "mu", "prec"))
+    vectors = slim.select(F.explode(F.array("g0", "g1", "g2")).alias("g"), *xs)
     factor = _consistency(alpha, p)
+    part = Window.partitionBy("g")
+    below = F.sum("count").over(part.orderBy("bin").rowsBetween(Window.unboundedPreceding, 0))
+    bin_ = F.floor(F.log2(F.greatest(_distance(p), F.lit(1e-9))) * 64).cast("int")
+    sums = [F.sum(x) for x in xs]
+    products = [F.sum(F.col(xs[i]) * F.col(xs[j])) for i in range(p) for j in range(i + 1)]
     for _ in range(steps):
-        far = join_keyed(vectors, params, ["g"]).withColumn("bin", F.floor(F.log2(F.greatest(_distance(p), F.lit(1e-9))) * 64).cast("int"))
-        w = _by_bin()
-        cut = far.groupBy("g", "n", "bin").count().withColumn("below", F.sum("count").over(w)).filter(F.col("below") >= F.col("n") * alpha).groupBy("g").agg(F.min("bin").alias("cut"))
-        near = join_keyed(far, materialize(cut), ["g"]).filter(F.col("bin") <= F.col("cut"))
-        sums = [F.sum(f"x{i}") for i in range(p)]
-        products = [F.sum(F.col(f"x{i}") * F.col(f"x{j}")) for i in range(p) for j in range(i + 1)]
-        moments = near.groupBy("g", "n").agg(F.count(F.lit(1)).alias("m"), F.array(*sums).alias("s"), F.array(*products).alias("q"))
-        params = materialize(moments.mapInPandas(_invert(p, factor), _PARAMS))
+        counts = join_keyed(vectors, params, ["g"]).groupBy("g", bin_.alias("bin")).count().withColumns({"below": below, "of": F.sum("count").over(part)})
+        cut = counts.filter(F.col("below") >= F.greatest(F.floor(F.col("of") * alpha), F.lit(1))).groupBy("g").agg(F.min("bin").alias("cut"))
+        near = join_keyed(vectors, materialize(params.join(cut, "g")), ["g"]).filter(bin_ <= F.col("cut"))
+        moments = materialize(near.groupBy("g").agg(F.count(F.lit(1)).alias("m"), F.array(*sums).alias("s"), F.array(*products).alias("q")))
+        named = lambda rows, k, key: rows.select(F.col("g").alias(key), *[F.col(c).alias(f"{c}{k}") for c in "msq"])
+        above = materialize(moments.join(tree.filter("level < 2").select("g"), "g", "left_semi"))
+        chain = tree.join(named(moments.join(above, "g", "left_anti"), 2, "g"), "g", "left")
+        for k, key in ((1, "lang"), (0, "top")):
+            chain = join_keyed(chain, named(above, k, key), [key], "left")
+        params = materialize(chain.select("g", *[f"{c}{k}" for k in (0, 1, 2) for c in "msq"]).mapInPandas(_estimates(factor, centre_rows, scatter_rows), "g string, mu array<double>, prec array<double>"))
     return params
 
 
-def _by_bin():
-    from pyspark.sql import Window
-
-    return Window.partitionBy("g").orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
-
-
 def quality_rules(
     df: DataFrame,
     text_col: str = "text",
@@ -219,7 +261,8 @@ def quality_rules(
     source_col: str = "source",
     keep: Sequence[str] | None = None,
     alpha: float = 0.75,
-    min_rows: int = 300,
+    centre_rows: float = 7.0,
+    scatter_rows: float = 100.0,
     cutoff_z: float = 3.9,
 ) -> DataFrame:
     """Append STATS, base_failed, distance (squared Mahalanobis; null where base_failed) and kept.
@@ -232,19 +275,12 @@ def quality_rules(
     private = df.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*keep, text_col])], F.col(f"`{lang_col}`").cast("string").alias("__lang"), F.col(f"`{source_col}`").cast("string").alias("__source"))
     stats = with_stats(private, text_col, [*keep, "__lang", "__source"]).withColumn("base_failed", base_failed())
     stats = materialize(stats) if text_col not in keep else stats
-    slim = stats.select("__lang", "__source", "base_failed", *[v.alias(f"x{i}") for i, v in enumerate(_vector())])
+    keys = [_group_key(k).alias(f"g{k}") for k in (0, 1, 2)]
+    slim = stats.filter(~F.col("base_failed")).select(*keys, *[v.alias(f"x{i}") for i, v in enumerate(_vector())])
     slim = slim if text_col not in keep else materialize(slim)
     xs = [f"x{i}" for i in range(_P)]
-    vectors = slim.filter(~F.col("base_failed")).select(F.explode(F.array(*[_group_key(k) for k in (0, 1, 2)])).alias("g"), *xs)
-    params = fit_mcd(vectors, alpha)
-    # one row per (language, source), with the deepest estimate that enough rows back
-    groups = slim.select("__lang", "__source").distinct()
-    best = groups
-    for k in (2, 1, 0):
-        fit = params.filter((F.col("n") >= min_rows) | F.lit(k == 0)).select(F.col("g").alias(f"g{k}"), F.struct("mu", "prec").alias(f"fit{k}"))
-        best = best.withColumn(f"g{k}", _group_key(k)).join(fit, f"g{k}", "left")
-    best = best.select("g2", F.coalesce("fit2", "fit1", "fit0").alias("fit")).select("g2", "fit.*")
-    judged = join_keyed(stats.withColumn("g2", _group_key(2)), materialize(best), ["g2"], "left")
+    params = fit_mcd(slim, alpha, centre_rows=centre_rows, scatter_rows=scatter_rows)
+    judged = join_keyed(stats.withColumn("g2", _group_key(2)), params.withColumnRenamed("g", "g2"), ["g2"], "left")
     for i, v in enumerate(_vector()):
         judged = judged.withColumn(f"x{i}", v)
     limit = chi2_quantile(cutoff_z, _P)

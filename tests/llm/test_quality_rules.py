@@ -1,3 +1,4 @@
+import math
 import random
 import re
 from collections import Counter
@@ -8,7 +9,7 @@ from hypothesis import strategies as st
 
 from stopwise.llm import quality_rules as q
 
-from .helpers import ODD, empty, odd, prose
+from .helpers import ODD, SF, empty, odd, prose
 
 
 def brute(text):
@@ -55,7 +56,7 @@ def test_planted_outliers_go_and_clean_ones_stay(spark):
         clean = i % 10 > 1
         body = prose(i, rng.randint(60, 300))
         rows.append((i, body if clean else " ".join(w + "%%%" for w in body.split()), "en" if i % 3 else "de", f"s{i % 2}", 0))
-    got = {r.doc_id: r.kept for r in q.quality_rules(odd(spark, rows), min_rows=100).collect()}
+    got = {r.doc_id: r.kept for r in q.quality_rules(odd(spark, rows)).collect()}
     assert all(got[i] == (i % 10 > 1) for i in got)
 
 
@@ -63,9 +64,70 @@ def test_fit_is_near_the_clean_moments(spark):
     rng = np.random.default_rng(5)
     clean = rng.multivariate_normal(np.zeros(7), np.diag([1, 0.04, 0.04, 0.25, 0.25, 0.01, 0.01]), 3000)
     bad = rng.normal(8, 0.1, (500, 7))
-    df = spark.createDataFrame([("g", *map(float, x)) for x in np.vstack([clean, bad])], "g string, " + ", ".join(f"x{i} double" for i in range(7)))
-    fit = q.fit_mcd(df).first()
-    assert np.abs(np.array(fit.mu)).max() < 0.1 and fit.n == 3500
+    df = spark.createDataFrame([("0", "1", "2", *map(float, x)) for x in np.vstack([clean, bad])], "g0 string, g1 string, g2 string, " + ", ".join(f"x{i} double" for i in range(7)))
+    fit = {r.g: r for r in q.fit_mcd(df).collect()}
+    assert np.abs(np.array(fit["2"].mu)).max() < 0.1 and set(fit) == {"0", "1", "2"}
+
+
+def _vector(text):
+    n, chars, symbols, dup, repeat, lines, upper, marks = q.text_stats(text)
+    n, chars, lines = max(n, 1), max(chars, 1), max(lines, 1)
+    return [math.log(n), math.log(chars / n), *[math.sqrt(a / b) for a, b in ((symbols, chars), (dup, lines), (repeat, n), (upper, chars), (marks, chars))]]
+
+
+def brute_mcd(rows, alpha=0.75, steps=4, centre_rows=7.0, scatter_rows=100.0):
+    """Squared distances by id, group by group in plain numpy: rows (id, language, source, vector)."""
+    x = np.array([r[3] for r in rows])
+    floor = np.array(q._FLOOR)
+    members = {}
+    for i, (_, lang, source, _v) in enumerate(rows):
+        for g in ((), (lang,), (lang, source)):
+            members.setdefault(g, []).append(i)
+    fit = {}
+    for g, at in members.items():
+        own = x[members[g[:1]]]
+        bins = np.sort(np.floor(own / (floor / 32)), axis=0)
+        low, mid, high = ((bins[math.ceil(len(own) * p) - 1] + 0.5) * floor / 32 for p in (0.25, 0.5, 0.75))
+        fit[g] = mid, np.diag(np.maximum((high - low) / 1.349, floor) ** 2)
+    factor = q._consistency(alpha, 7)
+    far = lambda g, at: np.maximum(np.einsum("ij,jk,ik->i", x[at] - fit[g][0], np.linalg.inv(fit[g][1]), x[at] - fit[g][0]), 0)
+    for _ in range(steps):
+        moments = {}
+        for g, at in members.items():
+            bins = np.floor(np.log2(np.maximum(far(g, at), 1e-9)) * 64)
+            h = max(int(len(at) * alpha), 1)
+            near = x[at][bins <= np.sort(bins)[h - 1]]
+            moments[g] = len(near), near.mean(0), factor * np.cov(near.T, bias=True)
+        for g in sorted(members, key=len):
+            m, mean, cov = moments[g]
+            if g:
+                mean = (m * mean + centre_rows * fit[g[:-1]][0]) / (m + centre_rows)
+                cov = (m * cov + scatter_rows * fit[g[:-1]][1]) / (m + scatter_rows)
+            value, vector = np.linalg.eigh(cov / np.outer(floor, floor))
+            fit[g] = mean, vector @ np.diag(np.maximum(value, 1)) @ vector.T * np.outer(floor, floor)
+    return {rows[i][0]: d for g, at in members.items() if len(g) == 2 for i, d in zip(at, far(g, at), strict=True)}
+
+
+def test_verdict_equals_brute_force(spark):
+    rows = [tuple(r) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang", "source", "n_chars").collect()]
+    rows += [(100_000 + i, prose(i, 60 + i % 90) + " %%% ## $$" * (i % 7 == 0) * 20, None if i % 2 else "en", f"s{i % 3}", 0) for i in range(150)]
+    got = {r.doc_id: r for r in q.quality_rules(odd(spark, rows)).collect()}
+    fine = [(i, lang, source, _vector(text)) for i, text, lang, source, _ in rows if not got[i].base_failed]
+    want = brute_mcd(fine)
+    limit = q.chi2_quantile(3.9, 7)
+    assert len(want) == len(fine) > 200
+    for i, d in want.items():
+        assert abs(got[i].distance - d) <= 1e-6 * max(1, d) and got[i].kept == (d <= limit)
+    assert all(r.distance is None and not r.kept for r in got.values() if r.base_failed)
+    assert any(not r.kept for i, r in got.items() if i in want)
+
+
+def test_outliers_in_tiny_groups_go(spark):
+    """Every (language, source) has 2 to 4 rows, one of the larger ones bad."""
+    rows = [(i, prose(i, 80), "en", f"s{i % 30}", 0) for i in range(100)]
+    rows = [(i, " ".join(w + "%%%" for w in t.split()) if i in (5, 9) else t, lang, s, n) for i, t, lang, s, n in rows]
+    got = {r.doc_id: r.kept for r in q.quality_rules(odd(spark, rows)).collect()}
+    assert {i for i, kept in got.items() if not kept} == {5, 9}
 
 
 def test_consistency_factor():
