@@ -114,13 +114,14 @@ def join_keyed(df: DataFrame, side: DataFrame, keys: Sequence[str], how: str = "
     return rows.join(copies, [*keys, "__salt"], how).drop("__salt")
 
 
-def join_counted(rows: DataFrame, side: DataFrame, key: str, n_col: str, busy: int = 100_000) -> DataFrame:
+def join_counted(rows: DataFrame, side: DataFrame, keys: Sequence[str], n_col: str, busy: int = 100_000) -> DataFrame:
     """Join rows to a written table with one row per key that knows in n_col how many rows have the key (n_col is dropped).
 
     Keys of more than `busy` rows (few, as each stands for that many) go apart, by broadcast or salted; all others by a plain join.
     """
+    keys = list(keys)
     hot = side.filter(F.col(n_col) > busy)
     if hot.isEmpty():
-        return rows.join(side.drop(n_col), key)
-    names = hot.select(key)
-    return join_keyed(rows, hot.drop(n_col), [key]).unionByName(join_keyed(rows, names, [key], "left_anti").join(side.filter(F.col(n_col) <= busy).drop(n_col), key))
+        return rows.join(side.drop(n_col), keys)
+    cold = join_keyed(rows, hot.select(*keys), keys, "left_anti").join(side.filter(F.col(n_col) <= busy).drop(n_col), keys)
+    return join_keyed(rows, hot.drop(n_col), keys).unionByName(cold)

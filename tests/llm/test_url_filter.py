@@ -1,7 +1,12 @@
+import random
+from collections import Counter
+
 from pyspark.sql import functions as F
 
 from stopwise.llm import url_filter as u
 
+from .helpers import SF
+
 PAGES = "page_id long, url string, good boolean"
 
 
@@ -54,3 +59,92 @@ def test_odd_tables(spark):
     df = spark.createDataFrame(rows, PAGES).withColumns({"Host": F.lit("old"), "verdict": F.lit("old"), "mine": F.lit(1)})
     out = u.judge(df, "good").collect()
     assert len(out) == 5 and {r.mine for r in out} == {1} and {r.verdict for r in out} == {"allow"}
+
+
+def brute_tree(rows, min_support=8, min_share=0.01, merge_z=1.96, strength=2.0, z=2.33):
+    """Verdicts and purities by row, in plain Python: rows (url, good)."""
+    parts = [brute_parts(u) for u, _ in rows]
+    seg = [[s for s in p.split("/") if s] for _, p in parts]
+    template = [() for _ in rows]
+    for level in range(max(map(len, seg), default=0)):
+        count, of = Counter(), Counter()
+        for (h, _), s, t in zip(parts, seg, template, strict=True):
+            if len(s) > level:
+                count[h, t, s[level]] += 1
+                of[h, t] += 1
+        ok = {k for k, n in count.items() if n >= min_support and n >= of[k[:2]] * min_share}
+        template = [t + (("=" + s[level] if (h, t, s[level]) in ok else "*"),) if len(s) > level else t for (h, _), s, t in zip(parts, seg, template, strict=True)]
+    nodes = [(h, t) for (h, _), t in zip(parts, template, strict=True)]
+    stat = {k: [0, 0] for k in nodes}
+    for k, (_, good) in zip(nodes, rows, strict=True):
+        stat[k][0] += good is not None
+        stat[k][1] += good is True
+    branch = {k: k for k in stat}
+    for level in range(max((len(t) for _, t in stat), default=0) - 1, -1, -1):
+        total = {}
+        for k, b in branch.items():
+            v = total.setdefault(b, [0, 0])
+            v[0] += stat[k][0]
+            v[1] += stat[k][1]
+        families = {}
+        for (h, b), (n, g) in total.items():
+            if n and len(b) > level and b[level].startswith("="):
+                families.setdefault((h, b[:level], b[level + 1 :]), []).append(((g + 1) / (n + 2), b[level], n, g))
+        for (h, low, high), all_ in families.items():
+            groups = []
+            for _, at, n, g in sorted(all_):
+                if groups:
+                    N, G = groups[-1][1:]
+                    pooled, gap = (G + g) / (N + n), abs(g / n - G / N)
+                    if not (gap > 0 and gap >= merge_z * (pooled * (1 - pooled) * (1 / n + 1 / N)) ** 0.5):
+                        groups[-1] = (groups[-1][0] + [at], N + n, G + g)
+                        continue
+                groups.append(([at], n, g))
+            for ats, _, _ in groups:
+                if len(ats) > 1:
+                    for k, (bh, b) in branch.items():
+                        if bh == h and len(b) > level and b[:level] == low and b[level + 1 :] == high and b[level] in ats:
+                            branch[k] = (h, (*low, ("merged", tuple(sorted(ats))), *high))
+    labelled, good = (sum(v[i] for v in stat.values()) for i in (0, 1))
+    prior = good / labelled if labelled else 1.0
+    out = {}
+    for k, (h, b) in branch.items():
+        purity = prior
+        for level in range(len(b) + 1):
+            under = [o for o, (oh, ob) in branch.items() if oh == h and ob[:level] == b[:level]]
+            around = [stat[o] for o in under if level == len(b) or branch[o][1][: level + 1] != b[: level + 1]]
+            n, g = sum(v[0] for v in around), sum(v[1] for v in around)
+            purity = (g + strength * purity) / (n + strength)
+        out[k] = purity, purity + z * (purity * (1 - purity) / (n + strength)) ** 0.5 < prior
+    return [out[k] for k in nodes]
+
+
+def _same_as_brute(spark, rows):
+    got = _judge(spark, [(i, u_, g) for i, (u_, g) in enumerate(rows)], rules=())
+    want = brute_tree(rows)
+    for i, (purity, bad) in enumerate(want):
+        assert abs(got[i].purity - purity) < 1e-9 and got[i].verdict == ("block" if bad else "allow"), rows[i]
+    return sum(bad for _, bad in want)
+
+
+def test_tree_equals_brute_force(spark):
+    pages = spark.read.parquet(f"{SF}/pages.parquet")
+    given = [(r.url, r.good) for r in u.labelled_pages(pages.select("page_id", "url"), spark.read.parquet(f"{SF}/labels.parquet")).collect()]
+    assert len(given) == pages.count()
+    rng = random.Random(2)
+    planted = []
+    for i in range(1500):
+        host, top, low = rng.choice(["a.net", "b.net"]), rng.choice(["x", "y", "*", "{x|y}", "q|r"]), rng.choice(["new", "old", "tag"])
+        bad = {"old": 0.9, "tag": 0.4}.get(low, 0.1) if host == "a.net" else 0.1
+        deep = "/".join(["d"] * rng.choice([0, 0, 9]))
+        planted.append((f"http://{host}/{top}/{i}/{low}/{deep}", rng.random() > bad if rng.random() < 0.4 else None))
+    planted += [(f"http://c.net/ads/{i}", False if i < 4 else None) for i in range(20)] + [(f"http://c.net/fine/{i}", None) for i in range(20)]
+    _same_as_brute(spark, given)
+    assert _same_as_brute(spark, planted) > 100
+
+
+def test_unlabelled_siblings_of_bad_ones_stay(spark):
+    rows = [(i, f"http://h.net/{'bad' if i % 2 else 'new'}/{i}", False if i % 2 else None) for i in range(100)]
+    rows += [(1000 + i, f"http://g.net/{i}", True) for i in range(400)]
+    got = _judge(spark, rows)
+    assert {got[i].verdict for i in range(1, 100, 2)} == {"block"} and {got[1000 + i].verdict for i in range(400)} == {"allow"}
