@@ -1,19 +1,21 @@
 """Mixing sources to target weights by capped water-filling, then seeded whole and fractional repetitions.
 
 All sources together keep the corpus size. A source's target is its share by weight, but at most
-max_epochs times its size; what is cut off goes to the others by weight until none is above: target =
-min(cap, level x weight), with the level from the sources ordered by cap / weight (one row per source).
+max_epochs times its size; what is cut off goes to the others by weight until none is above: each round is one
+sum over the sources, which clamps those that the present level takes above their cap and shares out the rest.
 
 A source whose target is e times its size takes every document floor(e) times. For the fraction left, its
 documents stand in the order of a seeded hash and are taken until the target is met as nearly as whole
 documents allow. The place of the cut is found in two steps, so that no source is ever in one task: sums by
 hash range (about the root of the document count, per source), then the documents of the one range that
-holds the cut. What returns to the rows is one hash per source, and each row decides alone.
+holds the cut. What returns to the rows is one hash per source, and each row decides alone. Where more
+sources than can be broadcast meet the rows, those with very many rows go apart from the others.
 
 Everything is DataFrame functions. Defined cases: null text has size 0; null sources form a source, last in
 order; sources without words have target 0; a document without words is taken as often as the others
-around it, at 0 words; rows that agree in id and text share their fate; empty tables give an empty result;
-extra columns pass through, input columns with the name of a result column are replaced.
+around it, at 0 words; very long texts are counted whole; rows that agree in id and text share their fate (as do
+ties in the hash); empty tables give an empty result; extra columns pass through, input columns with the name
+of a result column are replaced.
 """
 
 from __future__ import annotations
@@ -23,10 +25,10 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, materialize, shared_if_small, table
+from .common import WORD, join_counted, materialize, shared_if_small, table
 
 
-#: So many sources are broadcast (a row each); more meet their rows in a shuffle.
+#: So many sources are broadcast (a row each); more meet their rows in a shuffle, the large ones salted.
 _FEW = 20_000
 
 
@@ -44,52 +46,78 @@ def cyclic_weights(rank: Column) -> Column:
     return (F.pmod(rank - 1, F.lit(3)) + 1).cast("long")
 
 
+def ranked(sources: DataFrame) -> DataFrame:
+    """Append rank (from 1) by code point of source, null last: sorted by ranges, so no task holds all sources."""
+    cut = sources.repartitionByRange(8, F.col("source").asc_nulls_last()).withColumn("__pid", F.spark_partition_id())
+    cut = materialize(cut)  # ranges are drawn anew in each run of a plan
+    sizes = cut.groupBy("__pid").count().withColumn("__before", F.sum("count").over(Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, 0)) - F.col("count"))
+    own = F.row_number().over(Window.partitionBy("__pid").orderBy(F.col("source").asc_nulls_last()))
+    return cut.join(F.broadcast(sizes.drop("count")), "__pid").withColumn("rank", F.col("__before") + own).drop("__pid", "__before")
+
+
 def water_fill(sources: DataFrame, max_epochs: int) -> DataFrame:
-    """Append target to rows (source, source_size, weight, ...): one row per source."""
+    """Append target to a written table (source, source_size, weight, ...): one row per source."""
     cap = F.lit(max_epochs) * F.col("source_size")
-    w = Window.orderBy((cap / F.col("weight")).asc(), F.col("source").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
-    every = Window.partitionBy()
-    full = lambda c: F.coalesce(F.sum(c).over(w), F.lit(0).cast("long"))
-    level = (F.sum("source_size").over(every) - full(cap)) / (F.sum("weight").over(every) - full(F.col("weight")))
-    out = sources.withColumn("__cap", cap).withColumn("__k", F.row_number().over(Window.orderBy((cap / F.col("weight")).asc(), F.col("source").asc_nulls_last()))).withColumn("__level", level)
-    # the first place where the next source is no longer above its cap fixes the level
-    out = out.withColumn("__level", F.min(F.when(F.col("__level") * F.col("weight") <= F.col("__cap"), F.struct("__k", "__level"))).over(every)["__level"])
-    return out.withColumn("target", F.least(F.col("__cap").cast("double"), F.coalesce(F.col("__level") * F.col("weight"), F.col("__cap").cast("double")))).drop("__cap", "__k", "__level")
+    level, clamped = None, -1
+    while True:
+        over = F.lit(False) if level is None else cap.cast("double") < F.lit(level) * F.col("weight")
+        pick = lambda c: F.sum(F.when(over, c).otherwise(F.lit(0)))  # noqa: B023, E731
+        r = sources.agg(F.sum("source_size"), F.sum("weight"), pick(cap), pick(F.col("weight")), F.count(F.when(over, 1))).first()
+        if r[0] is None or r[4] == clamped:
+            break
+        clamped, left = r[4], r[1] - r[3]
+        level = float(r[0] - r[2]) / float(left) if left else None
+        if level is None:
+            break
+    share = cap.cast("double") if level is None else F.lit(level) * F.col("weight")
+    return sources.withColumn("target", F.least(cap.cast("double"), share))
+
+
+def _key(source: Column) -> Column:
+    return F.coalesce(F.concat(F.lit("s"), source.cast("string")), F.lit("n"))
+
+
+def _meet(rows: DataFrame, side: DataFrame) -> DataFrame:
+    """Join rows to a written table with a row per source (__k) and its number of rows (__n)."""
+    if side.limit(_FEW + 1).count() <= _FEW:
+        return rows.join(F.broadcast(side.drop("__n")), "__k")
+    return join_counted(rows, side, ["__k"], "__n")
 
 
 def plan(slim: DataFrame, max_epochs: int = 3, weights: Callable[[Column], Column] | DataFrame = cyclic_weights) -> DataFrame:
-    """Per source: source_size, target, whole (repetitions of all) and cut (the last hash that is taken once more; null: none).
+    """Per source (__k), with its number of rows (__n): source_size, target, whole (repetitions of all) and cut (the last hash that is taken once more; null: none).
 
     slim: columns source, size, key. weights: by rank in code-point order, or a table (source, weight).
     """
-    sums = slim.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n"))
+    slim = slim.withColumn("__k", _key(F.col("source")))
+    sums = slim.groupBy("__k").agg(F.first("source").alias("source"), F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("__n"))
     if isinstance(weights, DataFrame):
-        named = weights.select(F.col("source").alias("__s"), F.col("weight"))
-        sums = sums.join(named, F.col("source").eqNullSafe(F.col("__s")), "left").drop("__s").withColumn("weight", F.coalesce("weight", F.lit(0)))
+        named = weights.select(_key(F.col("source")).alias("__k"), F.col("weight"))
+        sums = materialize(sums.join(named, "__k", "left").withColumn("weight", F.coalesce("weight", F.lit(0))))
     else:
-        sums = sums.withColumn("weight", weights(F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last()))))
+        sums = materialize(ranked(sums).withColumn("weight", weights(F.col("rank"))).drop("rank"))
     goal = water_fill(sums, max_epochs)
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0)).cast("long")
     goal = goal.withColumn("whole", whole).withColumn("rest", F.col("target") - F.col("whole") * F.col("source_size"))
-    goal = materialize(goal.withColumn("parts", F.ceil(F.sqrt("n")).cast("long")))
+    goal = materialize(goal.withColumn("parts", F.ceil(F.sqrt("__n")).cast("long")))
     head = F.conv(F.substring("key", 1, 8), 16, 10).cast("long")
-    same = F.col("source").eqNullSafe(F.col("__s"))
-    joined = slim.join(shared_if_small(goal.select(F.col("source").alias("__s"), "rest", "parts"), _FEW), same).drop("__s").withColumn("part", F.shiftright(head * F.col("parts"), 32))
-    by_part = Window.partitionBy("source").orderBy("part")
-    ranges = joined.groupBy("source", "part", "rest").agg(F.sum("size").alias("sum")).withColumn("upto", F.sum("sum").over(by_part))
+    joined = _meet(slim.drop("source"), goal.select("__k", "__n", "rest", "parts")).withColumn("part", F.shiftright(head * F.col("parts"), 32))
+    by_part = Window.partitionBy("__k").orderBy("part")
+    ranges = joined.groupBy("__k", "part", "rest").agg(F.sum("size").alias("sum")).withColumn("upto", F.sum("sum").over(by_part))
     # the first range that goes over what is left holds the cut; one more range shows the last taken hash before it
-    edge = ranges.filter(F.col("upto") > F.col("rest")).groupBy("source").agg(F.min_by(F.struct("part", (F.col("upto") - F.col("sum")).alias("before")), "part").alias("edge")).select(F.col("source").alias("__s"), "edge.*")
-    edge = edge.select("__s", F.col("part").alias("__part"), "before")
-    inside = joined.join(shared_if_small(materialize(edge), _FEW), same & (F.col("part") == F.col("__part")))
-    one = inside.groupBy("source", "key", "rest", "before").agg(F.sum("size").alias("size"))
-    so_far = F.sum("size").over(Window.partitionBy("source").orderBy("key").rowsBetween(Window.unboundedPreceding, 0))
+    edge = ranges.filter(F.col("upto") > F.col("rest")).groupBy("__k").agg(F.min_by(F.struct("part", (F.col("upto") - F.col("sum")).alias("before")), "part").alias("edge")).select("__k", "edge.*")
+    edge = materialize(edge)
+    # a range of a source holds about the root of its rows
+    inside = joined.join(shared_if_small(edge, _FEW), ["__k", "part"])
+    one = inside.groupBy("__k", "key", "rest", "before").agg(F.sum("size").alias("size"))
+    so_far = F.sum("size").over(Window.partitionBy("__k").orderBy("key").rowsBetween(Window.unboundedPreceding, 0))
     taken = one.withColumn("so_far", F.col("before") + so_far).filter(F.lit(2) * F.col("so_far") - F.col("size") <= F.lit(2) * F.col("rest"))
-    cut = taken.groupBy("source").agg(F.max("key").alias("last")).withColumnRenamed("source", "__s")
-    out = goal.join(edge.withColumnRenamed("__s", "__e"), F.col("source").eqNullSafe(F.col("__e")), "left").join(cut, same, "left")
+    cut = taken.groupBy("__k").agg(F.max("key").alias("last"))
+    out = goal.join(edge.withColumn("__e", F.lit(True)), "__k", "left").join(cut, "__k", "left")
     # without an edge all are taken; with one but no hash inside it, all ranges before it
-    low = F.lower(F.lpad(F.hex(F.ceil(F.col("__part") * F.lit(float(1 << 32)) / F.col("parts")).cast("long")), 8, "0"))
-    last = F.when(F.col("__e").isNull() & F.col("__part").isNull(), F.lit("g")).otherwise(F.coalesce("last", F.when(F.col("__part") > 0, low)))
-    return materialize(out.select("source", "source_size", "target", "whole", last.alias("cut")))
+    low = F.lower(F.lpad(F.hex(F.ceil(F.col("part") * F.lit(float(1 << 32)) / F.col("parts")).cast("long")), 8, "0"))
+    last = F.when(F.col("__e").isNull(), F.lit("g")).otherwise(F.coalesce("last", F.when(F.col("part") > 0, low)))
+    return materialize(out.select("__k", "__n", "source_size", "target", "whole", last.alias("cut")))
 
 
 def mix(df: DataFrame, text_col: str = "text", id_col: str = "doc_id", source_col: str = "source", seed: int = 7, max_epochs: int = 3, weights: Callable[[Column], Column] | DataFrame = cyclic_weights, keep: Sequence[str] | None = None) -> DataFrame:
@@ -102,8 +130,7 @@ def mix(df: DataFrame, text_col: str = "text", id_col: str = "doc_id", source_co
     else:
         rows = materialize(rows)
         slim = rows.select(F.col("__source").alias("source"), "size", F.col("__key").alias("key"))
-    goal = shared_if_small(plan(slim, max_epochs, weights).withColumnRenamed("source", "__s"), _FEW)
-    out = rows.join(goal, F.col("__source").eqNullSafe(F.col("__s")))
+    out = _meet(rows.withColumn("__k", _key(F.col("__source"))), plan(slim, max_epochs, weights))
     copies = F.col("whole") + F.when(F.col("__key") <= F.col("cut"), 1).otherwise(0)
     return out.withColumn("copies", copies.cast("long")).withColumn("taken", F.col("copies") * F.col("size")).select(*keep, *made)
 

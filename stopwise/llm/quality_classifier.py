@@ -9,9 +9,11 @@ Language, source, id and labels are no inputs.
 Training (AdaGrad on small batches) runs in one task over at most `max_train` labelled rows chosen by
 hashed id; the model has (1 + rank) x (2^bits + structure) floats whatever the input, and is broadcast.
 
-Defined cases: null and empty texts have the structure of an empty text; repeated rows score alike; rows
-with null ids are scored and never trained on; without labels of both classes the score is the label seen
-(or 0.5 with none); extra columns pass through, input columns with the name of a result column are replaced.
+Defined cases: null and empty texts have the structure of an empty text; very long texts are read whole;
+repeated rows score alike; of an id's different texts that of the least hash is trained on, of its different
+labels the least; a score at the threshold counts as good; rows with null ids are scored and never trained on;
+without labels of both classes the score is the label seen (or 0.5 with none); an empty table gives an empty
+result; extra columns pass through, input columns with the name of a result column are replaced.
 """
 
 from __future__ import annotations
@@ -103,9 +105,10 @@ def train_fm(rows: Sequence[tuple[np.ndarray, np.ndarray]], y: np.ndarray, size:
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", meta_col: str = "n_chars", bits: int = 15, rank: int = 8, max_train: int = 10_000, epochs: int = 3, rate: float = 0.1, l2: float = 1e-5) -> Model:
-    marked = labels.select(F.col(f"`{id_col}`").alias("__id"), F.col(f"`{label_col}`").cast("int").alias("__y")).filter(F.col("__y").isin(0, 1) & ~held_out("__id")).dropDuplicates(["__id"])
+    marked = labels.select(F.col(f"`{id_col}`").alias("__id"), F.col(f"`{label_col}`").cast("int").alias("__y")).filter(F.col("__y").isin(0, 1) & ~held_out("__id")).groupBy("__id").agg(F.min("__y").alias("__y"))
     meta = F.col(f"`{meta_col}`").cast("long") if meta_col in docs.columns else F.lit(None).cast("long")
-    rows = docs.select(F.col(f"`{id_col}`").alias("__id"), F.col(f"`{text_col}`").alias("__t"), meta.alias("__n")).join(F.broadcast(bounded_sample(marked, F.col("__id"), max_train)), "__id").dropDuplicates(["__id"])
+    rows = docs.select(F.col(f"`{id_col}`").alias("__id"), F.col(f"`{text_col}`").alias("__t"), meta.alias("__n")).join(F.broadcast(bounded_sample(marked, F.col("__id"), max_train)), "__id")
+    rows = rows.groupBy("__id", "__y").agg(F.min_by(F.struct("__t", "__n"), F.xxhash64("__t", "__n")).alias("r")).select("__id", "__y", "r.*")
 
     def make():
         hasher = WordHasher()

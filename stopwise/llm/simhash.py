@@ -23,7 +23,8 @@ near copies gives fewer than 4m rows, not m^2. Components come from min-label ro
 
 Defined cases: null and empty texts have fingerprint zero and link like any other; rows with a null id take
 no part in naming components (component_id is the smallest id that is not null; null if there is none);
-repeated rows share a component; an empty table gives an empty result; extra columns pass through, input
+repeated rows share a component; very long texts are read whole; ties can't arise (a component has one smallest id);
+an empty table gives an empty result; extra columns pass through, input
 columns with the name of a result column are replaced.
 """
 
@@ -38,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import add_columns, join_keyed, materialize, shared_if_small, table
+from .common import add_columns, join_counted, join_keyed, materialize, shared_if_small, table
 
 RADIUS = 3
 SIMILARITY = 0.8
@@ -302,15 +303,15 @@ def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
 
 
 def _named(slim: DataFrame) -> DataFrame:
-    """Rows (__fp, component_id, __root) for all fingerprints of slim (__id, __fp)."""
-    nodes = materialize(slim.groupBy(F.col("__fp").alias("fp")).agg(F.min("__id").alias("low")))
+    """Rows (__fp, component_id, __root, __n) for all fingerprints of slim (__id, __fp), __n the rows that have it."""
+    nodes = materialize(slim.groupBy(F.col("__fp").alias("fp")).agg(F.min("__id").alias("low"), F.count(F.lit(1)).alias("n")))
     return _named_by(nodes, components(near_links(nodes)))
 
 
 def _named_by(nodes: DataFrame, roots: DataFrame) -> DataFrame:
-    member = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    least = member.groupBy("root").agg(F.min("low").alias("component_id"))
-    return member.join(least, "root").select(F.col("fp").alias("__fp"), "component_id", F.col("root").alias("__root"))
+    member = materialize(nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp")))
+    least = materialize(member.groupBy("root").agg(F.min("low").alias("component_id"), F.count(F.lit(1)).alias("members")))
+    return join_counted(member, least, ["root"], "members").select(F.col("fp").alias("__fp"), "component_id", F.col("root").alias("__root"), F.col("n").alias("__n"))
 
 
 def _slim(df: DataFrame, text_col: str, id_col: str) -> DataFrame:
@@ -319,12 +320,7 @@ def _slim(df: DataFrame, text_col: str, id_col: str) -> DataFrame:
 
 def _join_least(edges: DataFrame, low: DataFrame, busy: int = 100_000) -> DataFrame:
     """Join edges (a, b) with low (a, m, n: the number of edges): nodes with very many edges apart from the others, salted or broadcast."""
-    low = materialize(low)
-    hot = low.filter(F.col("n") > busy)
-    if hot.isEmpty():
-        return edges.join(low.drop("n"), "a")
-    busy_part = join_keyed(edges, hot.drop("n"), ["a"])
-    return busy_part.unionByName(join_keyed(edges, hot.select("a"), ["a"], "left_anti").join(low.drop("n"), "a"))
+    return join_counted(edges, materialize(low), ["a"], "n", busy)
 
 
 def shingles(text: str | None, width: int = WORDS) -> np.ndarray:
@@ -536,9 +532,9 @@ def _slim_and_named(df: DataFrame, text_col: str, id_col: str, similarity: float
         return slim, materialize(_named(slim))
     rows = df.select(F.col(f"`{id_col}`").alias("__id"), F.col(f"`{text_col}`").alias("__t"), F.xxhash64(f"`{text_col}`").alias("__text"))
     rows = materialize(_with_set(rows, "__t", ["__id", "__text"], bands=True))
-    nodes = materialize(rows.groupBy("__fp").agg(F.min("__id").alias("low"), F.min("__text").alias("__text"), F.first("__n").alias("__n"), F.first("__bands").alias("__bands")))
+    nodes = materialize(rows.groupBy("__fp").agg(F.min("__id").alias("low"), F.min("__text").alias("__text"), F.first("__n").alias("__n"), F.first("__bands").alias("__bands"), F.count(F.lit(1)).alias("n")))
     roots = components(similar_links(df, nodes, text_col, similarity))
-    return rows.select("__id", "__fp"), materialize(_named_by(nodes.select(F.col("__fp").alias("fp"), "low"), roots))
+    return rows.select("__id", "__fp"), materialize(_named_by(nodes.select(F.col("__fp").alias("fp"), "low", "n"), roots))
 
 
 def near_duplicates(df: DataFrame, text_col: str = "text", id_col: str = "doc_id", keep: Sequence[str] | None = None, similarity: float | None = SIMILARITY) -> DataFrame:
@@ -549,14 +545,14 @@ def near_duplicates(df: DataFrame, text_col: str = "text", id_col: str = "doc_id
     keep = [c for c in (df.columns if keep is None else keep) if c.lower() not in ("fingerprint", "component_id")]
     if similarity is not None:
         rows = _with_set(with_fingerprint(df.withColumn("__id", F.col(f"`{id_col}`")), text_col, "__print", [*dict.fromkeys([*keep, text_col])]), text_col, [*keep, "__print"])
-        out = rows.join(_slim_and_named(df, text_col, id_col, similarity)[1], "__fp")
+        out = join_counted(rows, _slim_and_named(df, text_col, id_col, similarity)[1], ["__fp"], "__n")
         return out.withColumn("fingerprint", F.lower(F.lpad(F.hex("__print"), 16, "0"))).select(*[F.col(f"`{c}`") for c in keep], "fingerprint", "component_id")
     rows = with_fingerprint(df.withColumn("__id", F.col(f"`{id_col}`")), text_col, "__fp", [*keep, "__id"])
     if text_col in keep:  # texts are not written again: fingerprints are computed once for the search and once for the result
         slim = _slim(df, text_col, id_col)
     else:
         rows = slim = materialize(rows)
-    out = rows.join(materialize(_named(slim)), "__fp")
+    out = join_counted(rows, materialize(_named(slim)), ["__fp"], "__n")
     return out.withColumn("fingerprint", F.lower(F.lpad(F.hex("__fp"), 16, "0"))).select(*keep, "fingerprint", "component_id")
 
 
@@ -566,10 +562,10 @@ def keep_one(df: DataFrame, text_col: str = "text", id_col: str = "doc_id", smal
     repeated = slim.groupBy("__id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1 or __id is null")
     if repeated.isEmpty():
         # ids name rows, so only the ids that go meet the texts
-        gone = materialize(slim.join(named, "__fp").filter("__id <> component_id").select(F.col("__id").alias("__gone")))
+        gone = materialize(join_counted(slim, named, ["__fp"], "__n").filter("__id <> component_id").select(F.col("__id").alias("__gone")))
         return df.join(shared_if_small(gone, small), F.col(f"`{id_col}`") == F.col("__gone"), "left_anti")
     rows = with_fingerprint(df, text_col, "__fp") if similarity is None else _with_set(df, text_col)
-    rows = rows.join(named, "__fp").filter(F.col(f"`{id_col}`").eqNullSafe(F.col("component_id")))
+    rows = join_counted(rows, named, ["__fp"], "__n").filter(F.col(f"`{id_col}`").eqNullSafe(F.col("component_id")))
     return rows.dropDuplicates(["__root"]).select(*[F.col(f"`{c}`") for c in df.columns])
 
 

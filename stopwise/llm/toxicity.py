@@ -7,9 +7,10 @@ it runs in one task over at most `max_train` labelled rows (a documented bound;
 hashed id). The nonzero weights are the model: their number is bounded by 2^bits, and they go to the
 scoring tasks as one broadcast of at most 2^bits floats.
 
-Defined cases: null and empty texts have the score of the intercept alone; repeated rows score alike; rows
-with null ids are scored and never trained on; without labels of both classes every score is 0; extra
-columns pass through, and input columns with the name of a result column are replaced.
+Defined cases: null and empty texts have the score of the intercept alone; very long texts are read whole;
+repeated rows score alike; of an id's different texts that of the least hash is trained on, of its different
+labels the least; a score at the threshold counts as toxic; rows with null ids are scored and never trained on;
+without labels of both classes every score is 0; an empty table gives an empty result; extra columns pass through, and input columns with the name of a result column are replaced.
 """
 
 from __future__ import annotations
@@ -95,8 +96,9 @@ def ftrl(rows: Sequence[np.ndarray], labels: Sequence[int], bits: int, alpha: fl
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", bits: int = 20, max_train: int = 12_000, alpha: float = 1.0, beta: float = 1.0, l1: float = 5.0, l2: float = 0.2, epochs: int = 8) -> Model:
     """Train on labelled rows whose id is not held out, at most about max_train of them."""
-    marked = labels.select(F.col(f"`{id_col}`").alias("__id"), F.col(f"`{label_col}`").cast("int").alias("__y")).filter(F.col("__y").isin(0, 1) & ~held_out("__id")).dropDuplicates(["__id"])
-    rows = docs.select(F.col(f"`{id_col}`").alias("__id"), F.col(f"`{text_col}`").alias("__t")).join(F.broadcast(bounded_sample(marked, F.col("__id"), max_train)), "__id").dropDuplicates(["__id"])
+    marked = labels.select(F.col(f"`{id_col}`").alias("__id"), F.col(f"`{label_col}`").cast("int").alias("__y")).filter(F.col("__y").isin(0, 1) & ~held_out("__id")).groupBy("__id").agg(F.min("__y").alias("__y"))
+    rows = docs.select(F.col(f"`{id_col}`").alias("__id"), F.col(f"`{text_col}`").alias("__t")).join(F.broadcast(bounded_sample(marked, F.col("__id"), max_train)), "__id")
+    rows = rows.groupBy("__id", "__y").agg(F.min_by(F.struct("__t"), F.xxhash64("__t")).alias("r")).select("__id", "__y", "r.*")
     feats = add_columns(rows, [T.StructField("x", T.ArrayType(T.IntegerType()))], ["__t"], _features(bits), keep=["__id", "__y"])
 
     def train(_key, pdf):
