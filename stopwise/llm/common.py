@@ -36,7 +36,7 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def slices(batches: Iterator[pa.RecordBatch], rows: int = 512, size: int = 1 << 23) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 512, size: int = 1 << 21) -> Iterator[pa.RecordBatch]:
     """The rows of Arrow batches in smaller ones: at most so many rows and, but for a single row, so many bytes.
 
     Spark bounds a batch by bytes (64 MB by default); what is computed from a batch is larger than the

@@ -38,7 +38,9 @@ from .common import add_columns, table
 SPACE = "▁"
 _NO = np.int64(1) << 40
 #: Ids of words remembered by a task.
-_MEMO_TOKENS = 1_500_000
+_MEMO_TOKENS = 1_000_000
+#: Characters of words that are encoded together (more only for one longer word).
+_TOGETHER = 300_000
 
 
 class Bpe:
@@ -267,6 +269,13 @@ class Bpe:
         return sym, np.bincount(seg, minlength=n)
 
 
+def _portions(words: Sequence[str]) -> list[Sequence[str]]:
+    """Words in runs of about _TOGETHER characters, which bounds the arrays of a round."""
+    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)))
+    cuts = [0, *(np.flatnonzero(np.diff(ends // _TOGETHER)) + 1).tolist(), len(words)]
+    return [words[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+
+
 class Encoder:
     """Encodes batches; remembers words, in a table bounded by its number of ids."""
 
@@ -304,7 +313,8 @@ class Encoder:
         memo = self.memo
         fresh = list(set().union(*cut).difference(memo))
         if fresh:
-            ids, counts = self.bpe.encode_words(fresh)
+            done = [self.bpe.encode_words(part) for part in _portions(fresh)]
+            ids, counts = (np.concatenate(x) for x in zip(*done, strict=True))
             for w in fresh:
                 memo[w] = len(memo)
             self.start = np.r_[self.start, len(self.ids) + np.cumsum(counts) - counts]
