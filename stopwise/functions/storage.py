@@ -9,8 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """A new folder below spark.checkpoint.dir, or, where that is unset (tests), below a temporary folder."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.gettempdir()}/stopwise-checkpoints"
+    """A new folder below spark.checkpoint.dir. Where that is unset, a session of one machine takes a temporary folder; a cluster gets an error."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not spark.conf.get("spark.master", "").startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        root = f"file://{tempfile.gettempdir()}/stopwise-checkpoints"
     return f"{root.rstrip('/')}/stopwise-{uuid.uuid4().hex}"
 
 

@@ -52,16 +52,24 @@ def match_daily_schedule(events: DataFrame, stops: DataFrame, slice_width: float
     stops = stops.withColumn("scheduled_tt", F.col("arrival_time") - F.min("arrival_time").over(Window.partitionBy(*trip)))
     events = events.drop("scheduled_tt").withColumn("branch", trip_branch(trip, ["event_type", "stop_sequence", "event_time"]))
     events = events.withColumn("arrival_time", tu.elapsed_since_midnight(F.col("event_time"), F.col("service_date")))
-    by = ["service_date", *_KEYS, "branch"]
-    starts = first_events(events, trip, "event_time", ["stop_sequence", "stop_id"]).select(*by, "trip_id", "arrival_time")
-    candidates = stops.select(*by, "arrival_time", F.col("trip_id").alias("scheduled_trip_id")).distinct()
-    trips = asof_join(starts, candidates, "arrival_time", by, ["scheduled_trip_id"], "nearest", tie_break=["scheduled_trip_id"], slice_width=slice_width)
-    events = events.join(trips.select(*trip, "scheduled_trip_id"), trip, "left")
-    visits = stops.select("service_date", F.col("trip_id").alias("scheduled_trip_id"), "stop_id", "scheduled_tt")
-    events = events.join(visits, ["service_date", "scheduled_trip_id", "stop_id"], "left")
+    events = match_trips(events, stops, ["service_date", *_KEYS, "branch"], "event_time", "arrival_time", ["stop_sequence", "stop_id"], slice_width)
     return fill_travel_time(events, stops).select(*S.DAILY_OUTPUT)
 
 
+def match_trips(events: DataFrame, stops: DataFrame, by: Sequence[str], time: str, seconds: str, ties: Sequence[str], slice_width: float | None = None) -> DataFrame:
+    """Append scheduled_trip_id, of the scheduled arrival nearest to the trip's first event, and that trip's scheduled_tt at the stop.
+
+    Trips are named by service_date and trip_id on both sides. time, ties: what makes an event the first; seconds: where arrivals stand.
+    """
+    trip = ["service_date", "trip_id"]
+    starts = first_events(events, trip, time, list(ties)).select(*by, "trip_id", seconds)
+    candidates = stops.select(*by, seconds, F.col("trip_id").alias("scheduled_trip_id")).distinct()
+    found = asof_join(starts, candidates, seconds, by, ["scheduled_trip_id"], "nearest", tie_break=["scheduled_trip_id"], slice_width=slice_width)
+    events = events.join(found.select(*trip, "scheduled_trip_id"), trip, "left")
+    visits = stops.select("service_date", F.col("trip_id").alias("scheduled_trip_id"), "stop_id", "scheduled_tt")
+    return events.join(visits, ["service_date", "scheduled_trip_id", "stop_id"], "left")
+
+
 def fill_travel_time(events: DataFrame, stops: DataFrame, keys: Sequence[str] = ("service_date", *S.ROUTE_DIRECTION_STOP), seconds: str = "arrival_time", value: str = "scheduled_tt") -> DataFrame:
     """Where value is null, the median of the schedule's values in the same half hour under the same keys."""
     usual = stops.withColumn("__bucket", tu.bucket_of(F.col(seconds))).groupBy(*keys, "__bucket").agg(F.median(value).alias("__usual"))

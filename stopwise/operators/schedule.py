@@ -84,11 +84,12 @@ def first_events(events: DataFrame, trip_keys: list[str], time: str, ties: list[
     return usable.groupBy(*[F.col(k).alias(f"__{k}") for k in trip_keys]).agg(F.min_by(row, F.struct(time, *ties)).alias("r")).select("r.*")
 
 
-def add_schedule(events: DataFrame, days: DataFrame, stops: DataFrame, on_missing: str = "keep", slice_width: float | None = None) -> DataFrame:
+def add_schedule(events: DataFrame, days: DataFrame, stops: DataFrame, on_missing: str = "keep", slice_width: float | None = 7200.0) -> DataFrame:
     """Append arrival_time (seconds), scheduled_headway, scheduled_trip_id, trip_id_gtfs and scheduled_tt to historic events.
 
     events: service_date (date), route, direction, stop, trip, event_time (wall clock). days, stops: from expand().
     on_missing: events of dates without schedule, or with a null key or time, are kept with nulls ("keep") or dropped ("drop").
+    slice_width: seconds of the day that one task takes of a key (a key holds all dates of its variant); None: all.
     A trip that visits a stop twice in the schedule gives one row for each visit.
     """
     if on_missing not in ("keep", "drop"):
@@ -105,7 +106,7 @@ def add_schedule(events: DataFrame, days: DataFrame, stops: DataFrame, on_missin
     final = asof_join(usable, timed.select(*by, "arrival_time", "scheduled_headway", "trip_id"), "arrival_time", by, ["scheduled_headway"], tie_break=["trip_id"], slice_width=slice_width)
     starts = first_events(usable, ["service_date", "trip_id"], "event_time", ["stop_id"]).select("service_date", *by, "trip_id", "arrival_time")
     scheduled = timed.select(*by, "arrival_time", F.col("trip_id").alias("scheduled_trip_id"))
-    matched = asof_join(starts, scheduled, "arrival_time", by, ["scheduled_trip_id"], "nearest", tie_break=["scheduled_trip_id"])
+    matched = asof_join(starts, scheduled, "arrival_time", by, ["scheduled_trip_id"], "nearest", tie_break=["scheduled_trip_id"], slice_width=slice_width)
     final = final.join(matched.select("service_date", "trip_id", "scheduled_trip_id"), ["service_date", "trip_id"], "left")
     visits = timed.select(*by, F.col("trip_id").alias("scheduled_trip_id"), "scheduled_tt", F.col("trip_id").alias("trip_id_gtfs"))
     final = final.join(visits, [*by, "scheduled_trip_id"], "left")

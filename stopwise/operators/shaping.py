@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from itertools import chain
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..functions import timeutil as tu
+from ..functions.joins import join_checked
 from .asof import asof_join
 
 
@@ -24,6 +25,11 @@ def drop_non_revenue(df: DataFrame, trip: str = "trip_id", date: str = "service_
     return df.filter(~(F.col(trip).startswith(prefix) & (F.col(date) < F.lit(cutoff).cast(df.schema[date].dataType))))
 
 
+def with_stop(df: DataFrame, stop: str = "stop_id") -> DataFrame:
+    """Rows that name a stop."""
+    return df.filter(F.col(stop).isNotNull())
+
+
 def in_date_range(df: DataFrame, date: str = "service_date", start: str | None = None, end: str | None = None) -> DataFrame:
     """Rows from start to end inclusive; either may be open."""
     if start is not None:
@@ -95,14 +101,15 @@ def clean_bus(df: DataFrame, routes: Sequence[str] | None = None, file: str | No
     """
     df = df.filter(F.col("actual").isNotNull())
     df = only_routes(df, routes).withColumn("stop_id", F.col("stop_id").cast("string")).withColumn("service_date", F.to_date("service_date"))
-    group = [F.col(file)] if file else [F.lit(0)]
-    first = F.min("service_date").over(Window.partitionBy(*group))
-    df = df.withColumn("__utc", first >= F.lit("2024-06-01").cast("date"))
+    df = df.withColumn("__file", F.coalesce(F.col(file), F.lit("")) if file else F.lit(""))
+    # one row per file, combined before the shuffle: no task holds a file
+    first = df.groupBy("__file").agg((F.min("service_date") >= F.lit("2024-06-01").cast("date")).alias("__utc"))
+    df = join_checked(df, first, ["__file"])
     for c in ("scheduled", "actual"):
         moved = tu.placeholder_time(F.col("service_date"), _clock(F.col(c)))
         eastern = F.from_utc_timestamp(moved.cast("timestamp"), S.ZONE).cast("timestamp_ntz")
         df = df.withColumn(c, F.when(F.col("__utc"), eastern).otherwise(moved))
-    return df.drop("__utc").withColumn("direction_id", map_values(F.col("direction_id"), S.BUS_DIRECTIONS, keep_others=False))
+    return df.drop("__utc", "__file").withColumn("direction_id", map_values(F.col("direction_id"), S.BUS_DIRECTIONS, keep_others=False))
 
 
 def _clock(c: Column) -> Column:

@@ -20,7 +20,7 @@ def daily_events(records: DataFrame, stops: DataFrame, metrics: Observation | No
     events = shaping.shape_daily(records)
     if metrics is not None:
         events = events.observe(metrics, F.count(F.lit(1)).alias("events"), F.count_if(F.col("stop_id").isNull()).alias("without_stop"))
-    events = events.filter(F.col("stop_id").isNotNull())
+    events = shaping.with_stop(events)
     return enrich.smooth_headways(enrich.match_daily_schedule(events, stops))
 
 

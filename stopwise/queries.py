@@ -12,12 +12,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from . import schemas as S
 from .functions import timeutil as tu
 from .functions.storage import materialize, shared_dir
 from .operators import enrich, paths, schedule, shaping
 from .operators.asof import asof_join
 from .plans import jobs
 from .sources import readers, writers
+from .streaming import refresh
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -197,12 +199,7 @@ def _scheduled(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     e = stop_records(spark, sf_dir)
     seen = e.filter("not is_scheduled")
     stops = e.filter("is_scheduled").withColumn("scheduled_tt", F.col("secs") - F.min("secs").over(Window.partitionBy("service_date", "trip_id")))
-    starts = schedule.first_events(seen, ["service_date", "trip_id"], "ts", ["event_id"])
-    right = stops.select(*_BY, "secs", F.col("trip_id").alias("scheduled_trip_id"))
-    matched = asof_join(starts.select(*_BY, "trip_id", "secs"), right, "secs", _BY, ["scheduled_trip_id"], "nearest", tie_break=["scheduled_trip_id"])
-    seen = seen.join(matched.select("service_date", "trip_id", "scheduled_trip_id"), ["service_date", "trip_id"], "left")
-    visits = stops.select("service_date", F.col("trip_id").alias("scheduled_trip_id"), "stop_id", "scheduled_tt")
-    return seen.join(visits, ["service_date", "scheduled_trip_id", "stop_id"], "left"), stops
+    return enrich.match_trips(seen, stops, _BY, "ts", "secs", ["event_id"]), stops
 
 
 @query(f"{_MATCH} SELECT event_id, scheduled_trip_id, scheduled_tt FROM x")
@@ -294,6 +291,86 @@ def schedule_expansion(spark, sf_dir):
     return stops.groupBy("variant", "route_id", "direction_id").agg(F.count(F.lit(1)).alias("stops"), F.sum("arrival_time").alias("seconds"))
 
 
+def _write_feeds(root: str, **tables: DataFrame) -> None:
+    """Timetable tables as text below root/feed/name.txt."""
+    for name, df in tables.items():
+        for feed in [r[0] for r in df.select("feed_id").distinct().collect()]:
+            df.filter(F.col("feed_id") == feed).drop("feed_id").write.option("header", True).csv(f"{root}/{feed}/{name}.txt")
+
+
+def _write_index(spark: SparkSession, feeds: list[tuple], path: str) -> None:
+    rows = [(a.replace("-", ""), b.replace("-", ""), f"https://feeds/{i}.zip") for i, a, b, _ in feeds]
+    spark.createDataFrame(rows, "feed_start_date string, feed_end_date string, archive_url string").coalesce(1).write.option("header", True).csv(path)
+
+
+@query(ORACLE_SQL["schedule_expansion"])
+def schedule_from_files(spark, sf_dir):
+    """The same from timetable files: feed index and the text tables of three feeds, written, read and expanded."""
+    root = shared_dir(spark)
+    orders, lines = _table(spark, sf_dir, "orders"), _table(spark, sf_dir, "lineitem")
+    feed = lambda key: F.concat(F.lit("f"), (F.col(key) % 3 + 1).cast("string")).alias("feed_id")
+    number = lambda c: F.date_format(F.col(c).cast("date"), "yyyyMMdd").alias(c)
+    trips = orders.select(feed("o_orderkey"), F.concat(F.lit("R"), (F.col("o_custkey") % 5).cast("string")).alias("route_id"), F.when(F.col("o_orderkey") % 2 == 0, "week").otherwise("daily").alias("service_id"), F.col("o_orderkey").alias("trip_id"), (F.col("o_custkey") % 2).alias("direction_id"))
+    text = F.concat_ws(":", (F.col("l_linenumber") * 4).cast("string"), F.lit("00"), F.lpad((F.col("l_linenumber") * 10).cast("string"), 2, "0"))
+    stop_times = lines.select(feed("l_orderkey"), F.col("l_orderkey").alias("trip_id"), F.col("l_suppkey").alias("stop_id"), text.alias("arrival_time"), text.alias("departure_time"))
+    calendar = spark.createDataFrame(_CALENDAR, ", ".join(["feed_id string", "service_id string", *[f"{w} int" for w in _WEEK], "start_date string", "end_date string"]))
+    calendar = calendar.select("feed_id", "service_id", *_WEEK, number("start_date"), number("end_date"))
+    changes = spark.createDataFrame(_CHANGES, "feed_id string, service_id string, date string, exception_type int").select("feed_id", "service_id", number("date"), "exception_type")
+    _write_feeds(f"{root}/gtfs", trips=trips, stop_times=stop_times, calendar=calendar, calendar_dates=changes)
+    _write_index(spark, _FEEDS, f"{root}/index")
+    tables, feeds = readers.gtfs(spark, f"{root}/gtfs"), readers.feed_index(spark, f"{root}/index")
+    dates = schedule.feed_of_dates(orders.select(F.col("o_orderdate").cast("date").alias("service_date")).distinct(), feeds)
+    services = schedule.active_services(dates.filter("feed_id is not null"), tables["calendar"], tables["calendar_dates"])
+    _, stops = schedule.expand(services, tables["trips"], tables["stop_times"])
+    return stops.groupBy("variant", "route_id", "direction_id").agg(F.count(F.lit(1)).alias("stops"), F.sum("arrival_time").alias("seconds"))
+
+
+_INGEST = _MATCH.replace("s AS (SELECT * FROM e WHERE is_scheduled)", "s AS (SELECT * FROM e WHERE is_scheduled AND trip_id IN (SELECT trip_id FROM o))").replace("o AS (SELECT * FROM e WHERE NOT is_scheduled)", "o AS (SELECT * FROM e WHERE NOT is_scheduled AND stop_id <> 'error')").replace("ORDER BY ts, event_id) AS n FROM o)", "ORDER BY date_trunc('second', ts), event_id % 1000, stop_id) AS n FROM o)")
+
+
+@query(f"""{_INGEST}, u AS (SELECT service_date, route_id, direction_id, stop_id, secs // 1800 AS bucket, median(scheduled_tt) AS usual FROM v GROUP BY ALL)
+SELECT x.event_id, x.stop_id, coalesce(x.scheduled_tt::DOUBLE, u.usual) AS scheduled_tt,
+  round_even(avg(CASE WHEN x.event_id % 4 <> 0 THEN (x.event_id % 997)::DOUBLE END) OVER (PARTITION BY x.service_date, x.route_id, x.direction_id, x.stop_id, x.secs // 1800), -1)::DOUBLE AS scheduled_headway
+FROM x LEFT JOIN u ON u.service_date = x.service_date AND u.route_id = x.route_id AND u.direction_id = x.direction_id AND u.stop_id = x.stop_id AND u.bucket = x.secs // 1800""")
+def daily_ingest(spark, sf_dir):
+    """Daily parquet of all dates and a timetable, ingested twice by the backfill of their range and read back from the sink."""
+    root = shared_dir(spark)
+    e = stop_records(spark, sf_dir)
+    observed = e.filter("not is_scheduled")
+    none = lambda c: F.lit(None).cast(S.DAILY_TYPES[c]).alias(c)
+    have = {
+        "service_date": F.date_format("service_date", "yyyyMMdd").cast("long"),
+        "route_id": F.col("route_id"),
+        "trip_id": F.col("trip_id"),
+        "stop_id": F.nullif("stop_id", F.lit("error")),
+        "direction_id": F.col("direction_id").cast("smallint"),
+        "stop_sequence": (F.col("event_id") % 1000).cast("smallint"),
+        "vehicle_id": F.lit("v"),
+        "vehicle_label": F.col("event_id").cast("string"),
+        "stop_timestamp": F.unix_timestamp(F.to_utc_timestamp(F.date_trunc("second", "ts").cast("timestamp"), S.ZONE)),
+        "scheduled_headway_trunk": F.when(F.col("event_id") % 4 != 0, F.col("event_id") % 997),
+    }
+    records = observed.select(F.col("service_date").alias("d"), *[have[c].alias(c) if c in have else none(c) for c in S.DAILY_INPUT])
+    records.repartition("d").write.partitionBy("d").parquet(f"{root}/daily")
+    stops = e.filter("is_scheduled")
+    clock = F.concat_ws(":", F.floor(F.col("secs") / 3600).cast("string"), *[F.lpad(c.cast("string"), 2, "0") for c in (F.floor(F.col("secs") / 60) % 60, F.col("secs") % 60)])
+    feed = F.lit("all").alias("feed_id")
+    trips = stops.select(feed, "route_id", F.lit("s").alias("service_id"), "trip_id", "direction_id").distinct()
+    _write_feeds(
+        f"{root}/gtfs",
+        trips=trips,
+        stop_times=stops.select(feed, "trip_id", "stop_id", clock.alias("arrival_time"), clock.alias("departure_time")),
+        calendar=stops.limit(1).select(feed, F.lit("s").alias("service_id"), *[F.lit(1).alias(w) for w in _WEEK], F.lit("19900101").alias("start_date"), F.lit("20991231").alias("end_date")),
+        calendar_dates=stops.limit(1).select(feed, F.lit("t").alias("service_id"), F.lit("19900101").alias("date"), F.lit(2).alias("exception_type")),
+    )
+    _write_index(spark, [("all", "1990-01-01", "2099-12-31", 0)], f"{root}/index")
+    first, last = observed.agg(F.min("service_date"), F.max("service_date")).first()
+    for _ in range(2):  # a second run leaves the same
+        refresh.backfill(spark, f"{root}/daily", f"{root}/gtfs", f"{root}/index", f"{root}/out", first, last, path_of=lambda at, d: f"{at}/d={d}")
+    back = spark.read.option("header", True).csv(f"{root}/out")
+    return back.select(F.col("vehicle_label").cast("long").alias("event_id"), "stop_id", *[F.col(c).cast("double").alias(c) for c in ("scheduled_tt", "scheduled_headway")])
+
+
 @query("""SELECT l.l_orderkey AS trip_id, l.l_suppkey AS stop_id, (l.l_linenumber * 600)::BIGINT AS arrival_time, 'R' || (o_custkey % 5) AS route_id, (o_custkey % 2)::INT AS direction_id
 FROM lineitem l JOIN orders ON o_orderkey = l.l_orderkey WHERE o_orderkey IN (SELECT event_id FROM events)""")
 def scheduled_stops_of_trips(spark, sf_dir):
@@ -331,7 +408,7 @@ def stop_alias(spark, sf_dir):
 
 @query(f"{_E}, {_RECORDS} SELECT event_id, nullif(stop_id, 'error') AS stop_id FROM r WHERE nullif(stop_id, 'error') IS NOT NULL")
 def null_stop_filter(spark, sf_dir):
-    return stop_records(spark, sf_dir).select("event_id", F.nullif("stop_id", F.lit("error")).alias("stop_id")).filter(F.col("stop_id").isNotNull())
+    return shaping.with_stop(stop_records(spark, sf_dir).select("event_id", F.nullif("stop_id", F.lit("error")).alias("stop_id")))
 
 
 @query("SELECT o_orderkey, CASE o_orderstatus WHEN 'O' THEN 0 WHEN 'F' THEN 1 END AS direction_id FROM orders")
@@ -597,10 +674,7 @@ def source_filename_key(spark, sf_dir):
     path = shared_dir(spark)
     segments, _ = _network(spark, sf_dir)
     segments.select("color", F.concat_ws("_", "from_stop", "to_stop").alias("pair"), "service_date", F.col("p50").alias("50%")).repartition("color", "pair").write.partitionBy("color", "pair").option("header", True).option("compression", "gzip").csv(path)
-    rows = spark.read.option("header", True).option("recursiveFileLookup", True).csv(path)
-    where = F.col("_metadata.file_path")
-    pair = F.regexp_extract(where, r"pair=([^/]+)/", 1)
-    out = rows.select(F.regexp_extract(where, r"color=([^/]+)/", 1).alias("color"), F.regexp_extract(pair, "^([^_]+)_(.+)$", 1).alias("from_stop"), F.regexp_extract(pair, "^([^_]+)_(.+)$", 2).alias("to_stop"), "service_date", F.col("`50%`").try_cast("double").alias("p50"))
+    out = readers.pair_percentiles(spark, path, r"color=([^/]+)/pair=([^_/]+)_([^/]+)/[^/]+$")
     return out.select("color", "from_stop", "to_stop", F.col("service_date").cast("string").alias("service_date"), "p50")
 
 

@@ -30,18 +30,18 @@ def csv(spark: SparkSession, paths: str | Sequence[str], recursive: bool = False
 def csv_by_header(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """All rows of files with different headers, matched by column name, with the file of each row as source_file.
 
-    One reader takes one header for all its files, so files are read in groups of equal headers. Only first
-    lines are read to group them; there are as many groups as headers in use.
+    One reader takes one header for all its files, so files are read in groups of equal headers. The first lines
+    are found in one job over all files; what comes to the driver is the names of the files, by header.
     """
-    found = spark.read.format("binaryFile").load(paths if isinstance(paths, str) else list(paths)).select("path")
-    groups: dict[tuple[str, ...], list[str]] = {}
-    for row in found.sort("path").toLocalIterator():
-        names = tuple(spark.read.option("header", True).csv(row.path).columns)
-        if names:
-            groups.setdefault(names, []).append(row.path)
+    lines = spark.read.text(paths if isinstance(paths, str) else list(paths)).filter("trim(value) <> ''")
+    begins = lines.filter(F.col("_metadata.file_block_start") == 0).select("value", F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("place"))
+    firsts = begins.groupBy("file").agg(F.min_by("value", "place").alias("header"))
+    groups = [(r.header, sorted(r.files)) for r in firsts.groupBy("header").agg(F.collect_list("file").alias("files")).collect()]
     out = None
-    for names, files in groups.items():
-        df = csv(spark, files).select(*[F.col(f"`{c}`").alias(c.lstrip("\ufeff").strip()) for c in names], F.col("_metadata.file_path").alias("source_file"))
+    for _, files in sorted(groups, key=lambda g: g[1]):
+        df = csv(spark, files)
+        names = df.columns
+        df = df.select(*[F.col(f"`{c}`").alias(c.lstrip("\ufeff").strip()) for c in names], F.col("_metadata.file_path").alias("source_file"))
         out = df if out is None else out.unionByName(df, allowMissingColumns=True)
     return out if out is not None else spark.createDataFrame([], "source_file string")
 
@@ -83,7 +83,7 @@ def gtfs_table(spark: SparkSession, root: str, name: str, types: Mapping[str, st
     """A timetable table of all feeds below root (root/feed/name.txt), with feed_id from the folder."""
     df = csv_by_header(spark, f"{root.rstrip('/')}/*/{name}.txt")
     cell = lambda c, t: (F.col(f"`{c}`") if c in df.columns else F.lit(None)).try_cast(t).alias(c)
-    return df.select(*[cell(c, t) for c, t in types.items()], F.regexp_extract("source_file", r"([^/]+)/[^/]+$", 1).alias("feed_id"))
+    return df.select(*[cell(c, t) for c, t in types.items()], F.regexp_extract("source_file", rf"([^/]+)/{name}\.txt(?:/[^/]*)?$", 1).alias("feed_id"))
 
 
 def gtfs(spark: SparkSession, root: str) -> dict[str, DataFrame]:
@@ -102,7 +102,8 @@ def gtfs(spark: SparkSession, root: str) -> dict[str, DataFrame]:
 
 def feed_index(spark: SparkSession, path: str) -> DataFrame:
     """Feed versions in file order: feed_id (from the archive's name), start, end, position."""
-    df = csv(spark, path).withColumn("position", F.monotonically_increasing_id())
+    # partitions need not follow the file, lines within a block do
+    df = csv(spark, path).withColumn("position", F.struct(F.col("_metadata.file_path"), F.col("_metadata.file_block_start"), F.monotonically_increasing_id().alias("line")))
     dates = {new: tu.to_date_from_int(F.col(old)) for new, old in (("start", "feed_start_date"), ("end", "feed_end_date"))}
     return df.select(F.regexp_extract("archive_url", r"([^/]+?)(?:\.zip)?$", 1).alias("feed_id"), *[c.alias(n) for n, c in dates.items()], "position")
 
@@ -114,17 +115,22 @@ def scheduled_stops(stop_times: DataFrame, trips: DataFrame, trip_ids: DataFrame
     return stop_times.select("trip_id", "stop_id", seconds.cast("bigint").alias("arrival_time")).join(wanted.select("trip_id", "route_id", "direction_id"), "trip_id")
 
 
-def pair_percentiles(spark: SparkSession, root: str) -> DataFrame:
+#: Folder, stop and stop of a percentile file's path.
+PAIR_FILE = r"([^/]+)/([^_/]+)_([^/]+)\.csv\.gz$"
+
+
+def pair_percentiles(spark: SparkSession, root: str, pattern: str = PAIR_FILE) -> DataFrame:
     """Daily p50 of stop pairs below root/color/from_to.csv.gz: color, from_stop, to_stop, service_date, p50, file.
 
-    Other files, files without a name on both sides of the first underscore and values that are no numbers are left out.
+    pattern: where color, from_stop and to_stop stand in a path, for other layouts. Other files, files without a name on
+    both sides of the first underscore and values that are no numbers are left out.
     """
-    df = spark.read.option("header", True).option("pathGlobFilter", "*.csv.gz").csv(f"{root.rstrip('/')}/*")
+    df = spark.read.option("header", True).option("pathGlobFilter", "*.csv.gz").option("recursiveFileLookup", True).csv(root)
     if not {"service_date", "50%"} <= set(df.columns):
         return spark.createDataFrame([], "color string, from_stop string, to_stop string, service_date date, p50 double, file string")
-    name = F.col("_metadata.file_name")
-    pattern = r"^([^_]+)_(.+)\.csv\.gz$"
-    out = df.select(F.regexp_extract("_metadata.file_path", r"([^/]+)/[^/]+$", 1).alias("color"), F.regexp_extract(name, pattern, 1).alias("from_stop"), F.regexp_extract(name, pattern, 2).alias("to_stop"), F.col("service_date").try_cast("date").alias("service_date"), F.col("`50%`").try_cast("double").alias("p50"), name.alias("file"))
+    part = lambda i: F.regexp_extract("_metadata.file_path", pattern, i)
+    file = F.regexp_extract("_metadata.file_path", pattern, 0)
+    out = df.select(part(1).alias("color"), part(2).alias("from_stop"), part(3).alias("to_stop"), F.col("service_date").try_cast("date").alias("service_date"), F.col("`50%`").try_cast("double").alias("p50"), F.substring_index(file, "/", -1).alias("file"))
     return out.filter("from_stop <> '' AND to_stop <> '' AND p50 IS NOT NULL AND service_date IS NOT NULL")
 
 

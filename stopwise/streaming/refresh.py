@@ -10,7 +10,9 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date, timedelta
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from ..functions import timeutil as tu
 from ..plans import jobs
@@ -26,9 +28,20 @@ def dates_between(start: date, end: date) -> list[date]:
 
 
 def existing(spark: SparkSession, paths: list[str]) -> list[str]:
-    """Those paths that are there, whatever file system they name."""
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    return [p for p in paths if (h := jvm.org.apache.hadoop.fs.Path(p)).getFileSystem(conf).exists(h)]
+    """Those paths that are there, files or folders, whatever file system they name; each parent folder is listed once."""
+    parents: dict[str, list[str]] = {}
+    for p in paths:
+        parents.setdefault(p.rstrip("/").rpartition("/")[0], []).append(p)
+    out = set()
+    for parent, mine in parents.items():
+        try:
+            files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(parent).select("path")
+        except AnalysisException:  # no such folder
+            continue
+        name = F.substring_index(F.substring_index("path", f"{parent.rpartition(':')[2].rstrip('/')}/", -1), "/", 1)
+        there = {r[0] for r in files.select(name).distinct().collect()}  # a name per day
+        out |= {p for p in mine if p.rstrip("/").rpartition("/")[2] in there}
+    return [p for p in paths if p in out]
 
 
 def backfill(spark: SparkSession, root: str, gtfs_root: str, feed_index: str, output: str, start: date, end: date, path_of: Callable[[str, str], str] | None = None) -> list[str]:
