@@ -35,7 +35,7 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -383,17 +383,18 @@ def _set_column(df: DataFrame, text_col: str, keep: Sequence[str]) -> DataFrame:
 _BUCKETS = "kind int, a long, b long, n int, place int"
 
 
-def _first_pairs(small: int, cap: int, similarity: float, most: int):
-    """Over a partition that holds whole buckets in order: all pairs (kind 0) of buckets of up to `small` sets; else the sets (key, set) with their place (kind 1; above `cap` kind 2, and the first set with each)."""
+def _first_pairs(small: int, cap: int, most_words: int, similarity: float, most: int):
+    """Over a partition that holds whole buckets in order: all pairs (kind 0) of buckets of up to `small` sets; else the sets (key, set) with their place (kind 1; above `cap` sets or most_words shingles kind 2, and the first set with each)."""
 
     def solve(pdf: pd.DataFrame) -> pd.DataFrame:
         key, fp, n = pdf["key"].to_numpy(), pdf["fp"].to_numpy(), pdf["n"].to_numpy()
         first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
         size = np.diff(np.r_[first, len(key)])
+        large = np.repeat((size > small) & ((size > cap) | (np.add.reduceat(n.astype(np.int64), first) > most_words)), size)
         start, size = np.repeat(first, size), np.repeat(size, size)
         at = np.arange(len(key))
         place = at - start
-        left, right = [start[(size > cap) & (place > 0)]], [at[(size > cap) & (place > 0)]]
+        left, right = [start[large & (place > 0)]], [at[large & (place > 0)]]
         for d in range(1, small):
             j = at[(size <= small) & (place >= d)]
             left.append(j - d)
@@ -402,7 +403,7 @@ def _first_pairs(small: int, cap: int, similarity: float, most: int):
         ok = np.minimum(n[i], n[j]) >= similarity * np.maximum(n[i], n[j]) - 1e-9
         pairs = pd.DataFrame({"kind": 0, "a": fp[i[ok]], "b": fp[j[ok]], "n": 0, "place": 0}).drop_duplicates()
         big = size > small
-        return pd.concat([pairs, pd.DataFrame({"kind": np.where(size[big] > cap, 2, 1), "a": key[big], "b": fp[big], "n": n[big], "place": place[big]})], ignore_index=True)
+        return pd.concat([pairs, pd.DataFrame({"kind": np.where(large[big], 2, 1), "a": key[big], "b": fp[big], "n": n[big], "place": place[big]})], ignore_index=True)
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: list[pd.DataFrame] = []
@@ -484,21 +485,46 @@ def _verified(pairs: DataFrame, sets: DataFrame, similarity: float, busy: int =
     return materialize(met.filter(both >= F.lit(similarity) * (F.size("__sa") + F.size("__sb") - both) - 1e-9).select("a", "b"))
 
 
-def similar_links(df: DataFrame, nodes: DataFrame, text_col: str, similarity: float = SIMILARITY, small: int = 8, cap: int = 2048) -> DataFrame:
+def _crowded(keyed: DataFrame, cap: int, one_in: int) -> DataFrame:
+    """Keys (key) of buckets far above cap, told by one set in one_in (only how a bucket is dealt hangs on this, not what is found in it)."""
+    some = keyed.filter(F.pmod("fp", F.lit(one_in)) == 0)
+    return materialize(some.groupBy("key").agg(F.count(F.lit(1)).alias("seen")).filter(F.col("seen") * one_in > 2 * cap).select("key"))
+
+
+def _placed(rows: DataFrame) -> DataFrame:
+    """Append place (from 0, in the order of fp) to the rows of large buckets: sorted by ranges, so a bucket spreads over tasks."""
+    cut = materialize(rows.repartitionByRange("key", "fp").withColumn("pid", F.spark_partition_id()))
+    sizes = cut.groupBy("key", "pid").count()
+    sizes = materialize(sizes.withColumn("before", F.sum("count").over(Window.partitionBy("key").orderBy("pid")) - F.col("count")).drop("count"))
+    own = F.row_number().over(Window.partitionBy("key", "pid").orderBy("fp")) - 1
+    return materialize(join_keyed(cut.withColumn("own", own), sizes, ["key", "pid"]).select("key", "fp", "n", (F.col("before") + F.col("own")).alias("place")))
+
+
+def similar_links(df: DataFrame, nodes: DataFrame, text_col: str, similarity: float = SIMILARITY, small: int = 8, cap: int = 2048, most_words: int = 1 << 22, one_in: int = 32) -> DataFrame:
     """Links (a, b: hashes of sets) that connect all distinct sets of shingles with a Jaccard similarity of `similarity` (0.8 at least).
 
     nodes: __fp, __n, __bands, __text (a hash of a text with that set). Sets that agree in a band of min-hashes share
     a bucket; candidates are verified on the whole sets: pairs of buckets of up to `small` sets by joins, buckets of
-    up to `cap` sets within a task, which sends a spanning forest. Larger buckets go on in rounds, each
+    up to `cap` sets and most_words shingles within a task, which sends a spanning forest. Larger buckets, of which those far
+    above `cap` are never in one task, go on in rounds, each
     with twice as many further members held against all later ones, but only where these are not in one
     component yet: a family of m near copies gives rows in proportion to m, and no pair of two components is left out.
     """
     if similarity < 0.8:
         raise ValueError("the bands find links of a similarity of 0.8 or more")
     keyed = nodes.select(F.col("__fp").alias("fp"), F.col("__n").alias("n"), F.explode("__bands").alias("key"))
-    found = materialize(keyed.repartition("key").sortWithinPartitions("key", "fp").mapInPandas(_first_pairs(small, cap, similarity, 200_000), _BUCKETS))
-    pairs = materialize(found.filter("kind = 0").select("a", "b").distinct())
+    crowded = _crowded(keyed, cap, one_in)
+    crowd = None if crowded.isEmpty() else _placed(join_keyed(keyed, crowded, ["key"]))
+    others = keyed if crowd is None else join_keyed(keyed, crowded, ["key"], "left_anti")
+    found = materialize(others.repartition("key").sortWithinPartitions("key", "fp").mapInPandas(_first_pairs(small, cap, most_words, similarity, 200_000), _BUCKETS))
+    pairs = found.filter("kind = 0").select("a", "b")
     many = found.filter("kind > 0").select("kind", F.col("a").alias("key"), F.col("b").alias("fp"), "n", "place")
+    if crowd is not None:
+        heads = materialize(crowd.filter("place = 0").select("key", F.col("fp").alias("a"), F.col("n").alias("na")))
+        near = F.least("n", "na") >= F.lit(similarity) * F.greatest("n", "na") - 1e-9
+        pairs = pairs.unionByName(join_keyed(crowd.filter("place > 0"), heads, ["key"]).filter(near).select("a", F.col("fp").alias("b")))
+        many = many.unionByName(crowd.select(F.lit(2).alias("kind"), "key", "fp", "n", "place"))
+    pairs = materialize(pairs.distinct())
     big = many.filter("kind = 2").drop("kind")
     # sets are made again from the texts, and only those that any candidate needs
     wanted = pairs.select(F.col("a").alias("__fp")).unionByName(pairs.select(F.col("b").alias("__fp"))).unionByName(many.select(F.col("fp").alias("__fp"))).distinct()

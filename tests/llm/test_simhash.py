@@ -143,10 +143,11 @@ def test_large_buckets_lose_no_link(spark):
     rows = s._with_set(df.withColumn("__text", F.xxhash64("text")), "text", ["doc_id", "__text"], bands=True)
     fps = {r.doc_id: r["__fp"] for r in rows.collect()}
     want = brute_similar(texts)
-    for small, cap in ((2, 2), (8, 8), (8, 2048)):
+    # buckets within a task, by sets and by words too large for one, and dealt by ranges from the start
+    for small, cap, most_words, one_in in ((2, 2, 1 << 22, 32), (8, 8, 1 << 22, 32), (8, 2048, 1 << 22, 32), (8, 2048, 100, 32), (8, 8, 1 << 22, 1)):
         # one bucket holds all sets
         one = rows.withColumn("__bands", F.array(F.lit(1).cast("long")))
-        root = {r.node: r.root for r in s.components(s.similar_links(df, one, "text", small=small, cap=cap)).collect()}
+        root = {r.node: r.root for r in s.components(s.similar_links(df, one, "text", small=small, cap=cap, most_words=most_words, one_in=one_in)).collect()}
         got = [root.get(fps[i], fps[i]) for i in range(len(texts))]
         assert len(set(want)) == len(set(got)) == len(set(zip(want, got, strict=True)))
     with pytest.raises(ValueError):
