@@ -506,7 +506,7 @@ def similar_links(df: DataFrame, nodes: DataFrame, text_col: str, similarity: fl
     nodes: __fp, __n, __bands, __text (a hash of a text with that set). Sets that agree in a band of min-hashes share
     a bucket; candidates are verified on the whole sets: pairs of buckets of up to `small` sets by joins, buckets of
     up to `cap` sets and most_words shingles within a task, which sends a spanning forest. Larger buckets, of which those far
-    above `cap` are never in one task, go on in rounds, each
+    above `cap` are dealt by ranges over tasks, go on in rounds, each
     with twice as many further members held against all later ones, but only where these are not in one
     component yet: a family of m near copies gives rows in proportion to m, and no pair of two components is left out.
     """
