@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ann, conversations, divergence, mixing, pii, quality_classifier, quality_rules, sentencepiece_bpe, simhash, toxicity, url_filter, warc
+from . import ann, conversations, divergence, jaccard_join, mixing, pii, quality_classifier, quality_rules, sentencepiece_bpe, simhash, toxicity, url_filter, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": quality_rules.op1_quality_rules,
@@ -19,6 +19,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc": warc.op8_warc,
     "op9_ann": ann.op9_ann,
     "op10_pii": pii.op10_pii,
+    "op11_jaccard_join": jaccard_join.op11_jaccard_join,
     "op12_source_divergence": divergence.op12_source_divergence,
     "op13_conversation_repair": conversations.op13_conversation_repair,
 }
