@@ -2,7 +2,7 @@
 
 Indexing. A task reads its documents once and counts terms in memory, by language and source: occurrences and
 documents that have the term. When the block holds `most` entries it is spilled: for every hash shard of terms and
-every (language, source) one run of terms in order, with their numbers, goes to the shuffle, and a new block begins.
+every language one run of terms in order, with their sources' numbers, goes to the shuffle, and a new block begins.
 A task that owns a shard merges the shard's runs of a language through a heap, so equal terms of all sources
 and blocks come together, keeps those in at least `least` documents of the language, and sends one row a term. Shards
 are as many as the corpus's bytes ask for, so a shard's runs stay small whatever the corpus.
@@ -23,6 +23,7 @@ from __future__ import annotations
 import heapq
 from collections import Counter
 from collections.abc import Iterator
+from itertools import count, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -34,9 +35,9 @@ from .common import join_keyed, materialize, slices, table
 SCALE = 1_000_000_000
 LEAST, TOP = 3, 200
 #: Entries (term of a source) that a block holds before it is spilled.
-MOST = 300_000
+MOST = 500_000
 #: Bytes of text for each shard of terms.
-SHARD_BYTES = 4 << 20
+SHARD_BYTES = 8 << 20
 #: A-Z lower-cased, other ASCII that is no letter made a space; bytes of other characters stay.
 _FOLD = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or 97 <= c <= 122 else 32 for c in range(256))
 
@@ -46,96 +47,126 @@ def terms(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").translate(_FOLD).split() if text else []
 
 
-_RUNS = "shard int, lang string, source string, terms binary, counts binary, docs binary"
+_RUNS = "shard int, lang string, sources array<string>, terms binary, lens binary, owners binary, numbers binary"
+#: A number holds documents above this many bits, and occurrences below.
+_BITS = 40
 
 
 def _index(shards: int, most: int):
-    """Documents to term-sorted runs by shard, language and source. A group's first run of a task may be without terms: it says that the group occurs."""
+    """Documents to runs: for a shard and a language the terms in order, how many sources of the block have each, and these sources with their numbers.
+
+    A language's first run of a task may be without terms: its sources are those that occur.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zlib
 
-        block: dict[tuple[str, str], tuple[Counter, Counter]] = {}
+        block: dict[str, dict[str, dict[bytes, int]]] = {}
         said: set[tuple[str, str]] = set()
+        one = 1 << _BITS
 
         def spill() -> Iterator[pa.RecordBatch]:
-            for (lang, source), (counts, docs) in block.items():
-                parts: dict[int, list[bytes]] = {}
-                for term in counts:
-                    parts.setdefault(zlib.crc32(term) % shards, []).append(term)
-                rows = []
-                for shard, own in parts.items():
-                    own.sort()
-                    rows.append((shard, b" ".join(own), np.array([counts[t] for t in own], np.int64).tobytes(), np.array([docs[t] for t in own], np.int64).tobytes()))
-                if not rows and (lang, source) not in said:
-                    rows.append((zlib.crc32(f"{lang} {source}".encode("utf-8", "surrogatepass")) % shards, b"", b"", b""))
-                said.add((lang, source))
+            for lang, by_source in block.items():
+                names, rows = list(by_source), []
+                if new := [s for s in names if (lang, s) not in said]:
+                    said.update((lang, s) for s in new)
+                    rows.append((0, new, b"", b"", b"", b""))
+                found = sorted(set().union(*by_source.values()))
+                rank = {t: i for i, t in enumerate(found)}
+                shard = np.array([zlib.crc32(t) for t in found], np.int64) % shards
+                term = np.concatenate([np.fromiter(map(rank.__getitem__, d), np.int64, len(d)) for d in by_source.values()])
+                number = np.concatenate([np.fromiter(d.values(), np.int64, len(d)) for d in by_source.values()])
+                owner = np.repeat(np.arange(len(names)), [len(d) for d in by_source.values()])
+                # shard by shard, within one in the order of terms
+                order = np.argsort(shard, kind="stable")
+                place = np.empty_like(order)
+                place[order] = np.arange(len(order))
+                way = np.argsort(place[term], kind="stable")
+                term, number, owner = place[term[way]], number[way], owner[way]
+                lens = np.bincount(term, minlength=len(found))
+                ends = np.cumsum(lens)
+                cut = np.searchsorted(shard[order], np.arange(shards + 1))
+                for k in np.flatnonzero(np.diff(cut)).tolist():
+                    lo, hi = int(cut[k]), int(cut[k + 1])
+                    some = slice(int(ends[lo] - lens[lo]), int(ends[hi - 1]))
+                    used, own = np.unique(owner[some], return_inverse=True)
+                    rows.append((k, [names[i] for i in used.tolist()], b" ".join([found[i] for i in order[lo:hi].tolist()]), lens[lo:hi].astype(np.uint32).tobytes(), own.astype(np.uint32).tobytes(), number[some].tobytes()))
                 if rows:
-                    n = len(rows)
-                    shard, own, count, doc = zip(*rows, strict=True)
-                    yield pa.RecordBatch.from_arrays([pa.array(shard, pa.int32()), pa.array([lang] * n), pa.array([source] * n), pa.array(own, pa.binary()), pa.array(count, pa.binary()), pa.array(doc, pa.binary())], names=["shard", "lang", "source", "terms", "counts", "docs"])
+                    shard_, *rest = zip(*rows, strict=True)
+                    types = [pa.list_(pa.string()), *[pa.binary()] * 4]
+                    yield pa.RecordBatch.from_arrays([pa.array(shard_, pa.int32()), pa.array([lang] * len(rows)), *[pa.array(c, t) for c, t in zip(rest, types, strict=True)]], names=["shard", "lang", "sources", "terms", "lens", "owners", "numbers"])
             block.clear()
 
         for part in slices(batches):
             for lang, source, text in zip(*[part.column(c).to_pylist() for c in ("lang", "source", "text")], strict=True):
-                counts, docs = block.setdefault((lang, source), (Counter(), Counter()))
-                seen = Counter(terms(text))
-                counts.update(seen)
-                docs.update(seen.keys())
-            if sum(len(c) for c, _ in block.values()) > most:
+                own = block.setdefault(lang, {}).setdefault(source, {})
+                get = own.get
+                for t, n in Counter(terms(text)).items():
+                    own[t] = get(t, 0) + n + one
+            if sum(len(d) for x in block.values() for d in x.values()) > most:
                 yield from spill()
         yield from spill()
 
     return run
 
 
-def _entries(source: str, words: bytes, counts: bytes, docs: bytes) -> Iterator[tuple[bytes, str, int, int]]:
-    yield from zip(words.split(b" "), [source] * (len(counts) // 8), np.frombuffer(counts, np.int64).tolist(), np.frombuffer(docs, np.int64).tolist(), strict=False)
+def _merged(lang: str, runs: list[tuple], least: int) -> pa.RecordBatch:
+    """Runs of one shard and language to its kept terms, with the sources that have each and how often."""
+    heap = heapq.merge(*[zip(words.split(b" "), repeat(i), count()) for i, (_, words, *_) in enumerate(runs)])
+    found: list[bytes] = []
+    term, run, at = [], [], []
+    now = None
+    for t, i, k in heap:
+        if t != now:
+            found.append(t)
+            now = t
+        term.append(len(found) - 1)
+        run.append(i)
+        at.append(k)
+    names = sorted(set().union(*[r[0] for r in runs]))
+    number_of = {s: i for i, s in enumerate(names)}
+    lens = [np.frombuffer(r[2], np.uint32).astype(np.int64) for r in runs]
+    owners = np.concatenate([np.array([number_of[s] for s in r[0]], np.int64)[np.frombuffer(r[3], np.uint32)] for r in runs])
+    numbers = np.concatenate([np.frombuffer(r[4], np.int64) for r in runs])
+    first = np.cumsum([0, *[len(x) for x in lens]])[:-1]
+    lens = np.concatenate(lens)
+    starts = np.cumsum(lens) - lens
+    entry = first[np.array(run)] + np.array(at)
+    w = lens[entry]
+    place = np.repeat(starts[entry] - (np.cumsum(w) - w), w) + np.arange(int(w.sum()))
+    key = np.repeat(np.array(term, np.int64), w) * len(names) + owners[place]
+    order = np.argsort(key, kind="stable")
+    key, number = key[order], numbers[place][order]
+    cut = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+    key = key[cut]
+    counts = np.add.reduceat(number & ((1 << _BITS) - 1), cut)
+    docs = np.add.reduceat(number >> _BITS, cut)
+    term = key // len(names)
+    begin = np.flatnonzero(np.r_[True, term[1:] != term[:-1]])
+    enough = np.add.reduceat(docs, begin) >= least
+    each = np.repeat(enough, np.diff(np.r_[begin, len(term)]))
+    offsets = np.r_[0, np.cumsum(np.diff(np.r_[begin, len(term)])[enough])].astype(np.int32)
+    sources = pa.array(names, pa.string()).take(pa.array(key[each] % len(names)))
+    kept = [found[i].decode("utf-8", "surrogatepass") for i in np.flatnonzero(enough).tolist()]
+    lists = [pa.ListArray.from_arrays(pa.array(offsets), x) for x in (sources, pa.array(counts[each], pa.int64()))]
+    return pa.RecordBatch.from_arrays([pa.array([lang] * len(kept), pa.string()), pa.array(kept, pa.string()), *lists], names=["lang", "term", "sources", "counts"])
 
 
 def _merge(least: int):
-    """Runs, ordered by shard and language, to kept terms: term, the sources that have it and how often."""
-
-    def kept(lang: str, runs: list[tuple]) -> Iterator[tuple[str, str, list[str], list[int]]]:
-        now, by_source, docs = None, {}, 0
-        for term, source, n, d in heapq.merge(*[_entries(*r) for r in runs]):
-            if term != now:
-                if docs >= least:
-                    yield lang, now.decode("utf-8", "surrogatepass"), list(by_source), list(by_source.values())
-                now, by_source, docs = term, {}, 0
-            by_source[source] = by_source.get(source, 0) + n
-            docs += d
-        if docs >= least:
-            yield lang, now.decode("utf-8", "surrogatepass"), list(by_source), list(by_source.values())
+    """Runs, ordered by shard and language, to kept terms."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        types = [pa.string(), pa.string(), pa.list_(pa.string()), pa.list_(pa.int64())]
-        done: list[tuple] = []
         now, runs = None, []
-
-        def batch() -> pa.RecordBatch:
-            out = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*done, strict=True), types, strict=True)], names=["lang", "term", "sources", "counts"])
-            done.clear()
-            return out
-
         for part in slices(batches):
-            for shard, lang, *one in zip(*[part.column(c).to_pylist() for c in ("shard", "lang", "source", "terms", "counts", "docs")], strict=True):
+            for shard, lang, *one in zip(*[part.column(c).to_pylist() for c in ("shard", "lang", "sources", "terms", "lens", "owners", "numbers")], strict=True):
                 if (shard, lang) != now:
                     if runs:
-                        for row in kept(now[1], runs):
-                            done.append(row)
-                            if len(done) >= 8192:
-                                yield batch()
+                        yield _merged(now[1], runs, least)
                     now, runs = (shard, lang), []
                 if one[1]:
                     runs.append(tuple(one))
         if runs:
-            for row in kept(now[1], runs):
-                done.append(row)
-                if len(done) >= 8192:
-                    yield batch()
-        if done:
-            yield batch()
+            yield _merged(now[1], runs, least)
 
     return run
 
@@ -147,7 +178,7 @@ def frequencies(df: DataFrame, least: int = LEAST, most: int = MOST, shard_bytes
     shards = max(16, size // shard_bytes)
     runs = materialize(docs.mapInArrow(_index(shards, most), _RUNS))
     own = runs.repartition(min(shards, max(16, shards // 4)), "shard").sortWithinPartitions("shard", "lang")
-    return materialize(runs.select("lang", "source").distinct()), materialize(own.mapInArrow(_merge(least), "lang string, term string, sources array<string>, counts array<bigint>"))
+    return materialize(runs.filter("terms = X''").select("lang", F.explode("sources").alias("source")).distinct()), materialize(own.mapInArrow(_merge(least), "lang string, term string, sources array<string>, counts array<bigint>"))
 
 
 def _share(count: Column, n: Column, v: Column) -> Column:
