@@ -1,4 +1,4 @@
-"""Intermediate tables in the folder that driver and executors share."""
+"""Intermediate tables in the folder that driver and executors share, and single steps on files."""
 
 from __future__ import annotations
 
@@ -23,3 +23,26 @@ def materialize(df: DataFrame) -> DataFrame:
     path = shared_dir(df.sparkSession)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """True if there is a file or folder of that name, in whatever file system the path names; nothing is listed."""
+    there = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return there.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(there)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder with all it holds."""
+    there = spark._jvm.org.apache.hadoop.fs.Path(path)
+    there.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(there, True)
+
+
+#: Characters that Spark writes as %XX in the names of partition folders, beside control characters; the folder of null and empty values.
+_ESCAPED = "\"#%'*/:=?\\\x7f{[]^"
+_NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+
+
+def key_folder(names: list[str], values: list) -> str:
+    """The folder of a key below a partitioned table: name=value/.."""
+    text = lambda v: "".join(f"%{ord(c):02X}" if c in _ESCAPED or ord(c) < 32 else c for c in str(v))
+    return "/".join(f"{n}={_NO_VALUE if v is None or v == '' else text(v)}" for n, v in zip(names, values, strict=True))

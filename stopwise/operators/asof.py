@@ -5,7 +5,8 @@ a sort, whatever the number of matches, and a partition spills where it doesn't
 
 Hot keys: with slice_width the order axis is cut into slices and the partition is (keys, slice). The last
 right row before each slice (and the first after it, for nearest) is carried in from an aggregate of one
-row per key and slice, so a key that holds a third of all rows spreads over its slices.
+row per key and slice, so a key that holds a third of all rows spreads over its slices. With slice_rows only keys of
+more rows are cut, where a histogram of their rows over the axis says.
 """
 
 from __future__ import annotations
@@ -15,7 +16,12 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.joins import join_checked
+from ..functions.storage import materialize
+
 _FIRST, _SECOND = 0, 1
+#: Rows of a key that a task takes, where jobs cut busy keys.
+SLICE_ROWS = 1_000_000
 
 
 def asof_join(
@@ -28,12 +34,15 @@ def asof_join(
     allow_exact: bool = True,
     tie_break: Sequence[str] = (),
     slice_width: float | None = None,
+    slice_rows: int | None = None,
 ) -> DataFrame:
     """Append right_cols (names, or old name -> new name) of the matching right row to every left row.
 
     Every left row comes out once; nulls if nothing matches. Null keys match null keys. Of right rows at
     one place the last in the order of tie_break is taken going backward, the first going forward. For
     `nearest`, equal distances prefer backward and an exact match counts as backward. Left rows whose `on` is null match nothing.
+    slice_width: cut all keys into slices of this width. slice_rows: cut keys of more rows, where their rows lie; slice_width
+    is then the width of the histogram's bins (60 by default). Both sides are read once more for the histogram.
     """
     if direction not in ("backward", "nearest"):
         raise ValueError(f"unknown direction {direction!r}")
@@ -49,7 +58,13 @@ def asof_join(
     r = right.filter(F.col(on).isNotNull()).select(*keys, place.alias("__at"), F.lit(right_side).alias("__side"), *[F.col(c).alias(t) for c, t in zip(tie_break, ties, strict=True)], found.alias("__r"))
     tie_types = dict(r.dtypes)
     l = left.select(*keys, place.alias("__at"), F.lit(1 - right_side).alias("__side"), *[F.lit(None).cast(tie_types[t]).alias(t) for t in ties], F.struct(*[F.col(f"`{c}`") for c in left.columns]).alias("__l"))
-    if slice_width is not None:
+    if slice_rows is not None:
+        cuts = _cuts(l, r, key_names, slice_width or 60.0, slice_rows)
+        if not cuts.isEmpty():
+            l, r = (_sliced(side, cuts, key_names, slice_width or 60.0) for side in (l, r))
+            r = _carried(l, r, key_names, ties, direction)
+            key_names = [*key_names, "__slice"]
+    elif slice_width is not None:
         cut = F.floor(F.col("__at").cast("double") / slice_width)
         l, r = l.withColumn("__slice", cut), r.withColumn("__slice", cut)
         r = _carried(l, r, key_names, ties, direction)
@@ -86,3 +101,25 @@ def _carried(l: DataFrame, r: DataFrame, keys: list[str], ties: list[str], direc
     carried = ends.select("__slice", F.explode(around).alias("c")).filter("c is not null")
     moved = carried.select(*[F.col("__slice") if c == "__slice" else F.col("c")[c].alias(c) for c in r.columns])
     return r.unionByName(moved)
+
+
+def _bin(keys: list[str], width: float) -> list[Column]:
+    """A hash of the keys (nulls included; keys that share one are cut at the same places, which harms nothing) and the bin of the order axis."""
+    return [F.xxhash64(*keys).alias("__hash"), F.floor(F.col("__at").cast("double") / width).alias("__bin")]
+
+
+def _cuts(l: DataFrame, r: DataFrame, keys: list[str], width: float, most: int) -> DataFrame:
+    """The slice of each bin of the keys that have more than `most` rows, as a written table (__hash, __bin, __slice)."""
+    rows = l.select(*_bin(keys, width)).unionByName(r.select(*_bin(keys, width))).filter("__bin is not null")
+    counts = materialize(rows.groupBy("__hash", "__bin").agg(F.count(F.lit(1)).alias("__n")))
+    busy = counts.groupBy("__hash").agg(F.sum("__n").alias("__all")).filter(F.col("__all") > most).select("__hash")
+    before = F.sum("__n").over(Window.partitionBy("__hash").orderBy("__bin")) - F.col("__n")
+    cut = join_checked(counts, materialize(busy), ["__hash"], "left_semi").withColumn("__slice", F.floor(before / most))
+    return materialize(cut.select("__hash", "__bin", "__slice"))
+
+
+def _sliced(side: DataFrame, cuts: DataFrame, keys: list[str], width: float) -> DataFrame:
+    """Append __slice: 0 for keys that are not cut, null where there is no place."""
+    rows = side.select("*", *_bin(keys, width))
+    met = join_checked(rows, cuts, ["__hash", "__bin"], "left")
+    return met.withColumn("__slice", F.when(F.col("__at").isNotNull(), F.coalesce("__slice", F.lit(0)))).select(*side.columns, "__slice")

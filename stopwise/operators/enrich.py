@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..functions import timeutil as tu
-from .asof import asof_join
+from ..functions.storage import materialize
+from .asof import SLICE_ROWS, asof_join
 from .schedule import first_events
 
 _KEYS = list(S.ROUTE_DIRECTION_STOP)
@@ -36,14 +37,15 @@ def trip_branch(trip_keys: Sequence[str], order: Sequence[str], route: str = "ro
     return out.otherwise(first)
 
 
-def match_daily_schedule(events: DataFrame, stops: DataFrame, slice_width: float | None = None) -> DataFrame:
+def match_daily_schedule(events: DataFrame, stops: DataFrame, slice_rows: int | None = SLICE_ROWS, flags: bool = False) -> DataFrame:
     """Replace scheduled_tt by the matched scheduled trip's.
 
     events: S.DAILY_OUTPUT, event_time an instant. stops: service_date, trip_id, stop_id, arrival_time
     (seconds), route_id, direction_id: the day's scheduled stop events, of which only trips seen that day are
     candidates. A trip's first event is matched to the nearest scheduled arrival of its route, direction,
     stop and branch; travel times are then looked up by scheduled trip and stop, and where that trip doesn't
-    stop there, the median of the half hour at the route, direction and stop stands in.
+    stop there, the median of the half hour at the route, direction and stop stands in. slice_rows: see asof_join.
+    flags: append scheduled_trip_id, and filled where that median was taken.
     """
     seen = events.select("service_date", "trip_id").distinct()
     stops = stops.join(seen, ["service_date", "trip_id"], "left_semi").withColumn("direction_id", F.col("direction_id").cast("smallint"))
@@ -52,11 +54,12 @@ def match_daily_schedule(events: DataFrame, stops: DataFrame, slice_width: float
     stops = stops.withColumn("scheduled_tt", F.col("arrival_time") - F.min("arrival_time").over(Window.partitionBy(*trip)))
     events = events.drop("scheduled_tt").withColumn("branch", trip_branch(trip, ["event_type", "stop_sequence", "event_time"]))
     events = events.withColumn("arrival_time", tu.elapsed_since_midnight(F.col("event_time"), F.col("service_date")))
-    events = match_trips(events, stops, ["service_date", *_KEYS, "branch"], "event_time", "arrival_time", ["stop_sequence", "stop_id"], slice_width)
-    return fill_travel_time(events, stops).select(*S.DAILY_OUTPUT)
+    events = match_trips(events, stops, ["service_date", *_KEYS, "branch"], "event_time", "arrival_time", ["stop_sequence", "stop_id"], slice_rows)
+    events = fill_travel_time(events.withColumn("filled", F.col("scheduled_tt").isNull()), stops).withColumn("filled", F.col("filled") & F.col("scheduled_tt").isNotNull())
+    return events.select(*S.DAILY_OUTPUT, *(("scheduled_trip_id", "filled") if flags else ()))
 
 
-def match_trips(events: DataFrame, stops: DataFrame, by: Sequence[str], time: str, seconds: str, ties: Sequence[str], slice_width: float | None = None) -> DataFrame:
+def match_trips(events: DataFrame, stops: DataFrame, by: Sequence[str], time: str, seconds: str, ties: Sequence[str], slice_rows: int | None = None) -> DataFrame:
     """Append scheduled_trip_id, of the scheduled arrival nearest to the trip's first event, and that trip's scheduled_tt at the stop.
 
     Trips are named by service_date and trip_id on both sides. time, ties: what makes an event the first; seconds: where arrivals stand.
@@ -64,7 +67,9 @@ def match_trips(events: DataFrame, stops: DataFrame, by: Sequence[str], time: st
     trip = ["service_date", "trip_id"]
     starts = first_events(events, trip, time, list(ties)).select(*by, "trip_id", seconds)
     candidates = stops.select(*by, seconds, F.col("trip_id").alias("scheduled_trip_id")).distinct()
-    found = asof_join(starts, candidates, seconds, by, ["scheduled_trip_id"], "nearest", tie_break=["scheduled_trip_id"], slice_width=slice_width)
+    if slice_rows is not None:  # the histogram reads them, too
+        starts, candidates = materialize(starts), materialize(candidates)
+    found = asof_join(starts, candidates, seconds, by, ["scheduled_trip_id"], "nearest", tie_break=["scheduled_trip_id"], slice_rows=slice_rows)
     events = events.join(found.select(*trip, "scheduled_trip_id"), trip, "left")
     visits = stops.select("service_date", F.col("trip_id").alias("scheduled_trip_id"), "stop_id", "scheduled_tt")
     return events.join(visits, ["service_date", "scheduled_trip_id", "stop_id"], "left")

@@ -2,11 +2,14 @@
 
 Two phases: all simple paths are enumerated on the network's topology alone (edges per colour, a small
 graph whatever the number of days), then one join brings the daily values of all path components
-together. Path enumeration is a loop of frontier joins, each written before the next.
+together.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,10 +22,60 @@ def edges(segments: DataFrame, color: str = "color", start: str = "from_stop", e
     return segments.filter(F.col(value).isNotNull()).select(F.col(color).alias("color"), F.col(start).alias("from_stop"), F.col(end).alias("to_stop")).distinct()
 
 
-def simple_paths(edge: DataFrame, max_length: int = 200) -> DataFrame:
-    """Rows (color, path): every path of at least one edge that visits no stop twice, as an array of stops."""
+def simple_paths(edge: DataFrame, max_length: int = 200, small: int = 20_000) -> DataFrame:
+    """Rows (color, path): every path of at least one edge that visits no stop twice, as an array of stops.
+
+    A network of up to `small` edges (counted) goes to all tasks, and each follows the paths that begin with its edges: one job
+    whatever the lengths. A larger one is walked in rounds of joins. A path of more than max_length edges is an error.
+    """
     edge = materialize(edge.select("color", "from_stop", "to_stop").distinct())
-    frontier = edge.filter("from_stop <> to_stop").select("color", F.array("from_stop", "to_stop").alias("path"))
+    first = edge.filter("from_stop <> to_stop")
+    known = edge.limit(small + 1).collect() if small else []
+    if 0 < len(known) <= small:
+        onward: dict[tuple[str, str], list[str]] = {}
+        for r in known:
+            onward.setdefault((r.color, r.from_stop), []).append(r.to_stop)
+        return first.repartition("color", "from_stop", "to_stop").mapInArrow(_walks(onward, max_length), "color string, path array<string>")
+    return _rounds(edge, first, max_length)
+
+
+def _walks(onward: dict[tuple[str, str], list[str]], max_length: int, rows: int = 10_000):
+    """First edges to all simple paths that begin with them, depth first; a task holds one path and a batch of results."""
+
+    def paths(color: str, *first: str) -> Iterator[list[str]]:
+        path, ways = list(first), [iter(onward.get((color, first[-1]), ()))]
+        yield path
+        while ways:
+            stop = next(ways[-1], None)
+            if stop is None:
+                ways.pop()
+                path.pop()
+            elif stop not in path:
+                path.append(stop)
+                if len(path) > max_length + 1:
+                    raise ValueError(f"a path has more than {max_length} edges")
+                yield path
+                ways.append(iter(onward.get((color, stop), ())))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        colors, found = [], []
+        batch = lambda: pa.RecordBatch.from_arrays([pa.array(colors, pa.string()), pa.array(found, pa.list_(pa.string()))], names=["color", "path"])
+        for part in batches:
+            for color, a, b in zip(*[part.column(c).to_pylist() for c in ("color", "from_stop", "to_stop")], strict=True):
+                for path in paths(color, a, b):
+                    colors.append(color)
+                    found.append(list(path))
+                    if len(found) >= rows:
+                        yield batch()
+                        colors, found = [], []
+        yield batch()
+
+    return run
+
+
+def _rounds(edge: DataFrame, frontier: DataFrame, max_length: int) -> DataFrame:
+    """A join for each length, the paths of one length written before the next."""
+    frontier = frontier.select("color", F.array("from_stop", "to_stop").alias("path"))
     found = []
     for _ in range(max_length):
         frontier = materialize(frontier)

@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..functions import timeutil as tu
-from .asof import asof_join
+from ..functions.storage import materialize
+from .asof import SLICE_ROWS, asof_join
 
 _KEYS = list(S.ROUTE_DIRECTION_STOP)
 
@@ -35,9 +36,12 @@ def active_services(dates: DataFrame, calendar: DataFrame, calendar_dates: DataF
     calendar_dates: feed_id, service_id, date, exception_type (1: added, 2: removed). An addition wins over a removal.
     """
     days = F.explode(F.array(*[F.when(F.col(d) == 1, F.lit(d)) for d in S.WEEKDAYS])).alias("weekday")
-    runs = calendar.select("feed_id", "service_id", "start_date", "end_date", days).filter("weekday is not null")
-    today = dates.withColumn("weekday", tu.weekday(F.col(date)))
-    regular = today.join(runs, ["feed_id", "weekday"]).filter(F.col(date).between(F.col("start_date"), F.col("end_date"))).select(date, "feed_id", "service_id").distinct()
+    months = F.explode(F.sequence(F.trunc("start_date", "month"), F.trunc("end_date", "month"), F.expr("INTERVAL 1 MONTH")))
+    runs = calendar.filter("start_date <= end_date").select("feed_id", "service_id", "start_date", "end_date", days).filter("weekday is not null").select("*", months.alias("month"))
+    # a run is met by the dates of its own months alone, and its range is tested within the join
+    today = dates.select(F.col(date).alias("__day"), F.col("feed_id").alias("__feed"), tu.weekday(F.col(date)).alias("__weekday"), F.trunc(date, "month").alias("__month"))
+    met = (F.col("__feed") == F.col("feed_id")) & (F.col("__weekday") == F.col("weekday")) & (F.col("__month") == F.col("month")) & F.col("__day").between(F.col("start_date"), F.col("end_date"))
+    regular = today.join(runs, met).select(F.col("__day").alias(date), "feed_id", "service_id").distinct()
     changes = dates.join(calendar_dates.withColumnRenamed("date", date), ["feed_id", date]).select(date, "feed_id", "service_id", "exception_type")
     keys = [date, "feed_id", "service_id"]
     removed = changes.filter("exception_type = 2").select(*keys)
@@ -84,29 +88,30 @@ def first_events(events: DataFrame, trip_keys: list[str], time: str, ties: list[
     return usable.groupBy(*[F.col(k).alias(f"__{k}") for k in trip_keys]).agg(F.min_by(row, F.struct(time, *ties)).alias("r")).select("r.*")
 
 
-def add_schedule(events: DataFrame, days: DataFrame, stops: DataFrame, on_missing: str = "keep", slice_width: float | None = 7200.0) -> DataFrame:
+def add_schedule(events: DataFrame, days: DataFrame, stops: DataFrame, on_missing: str = "keep", slice_rows: int | None = SLICE_ROWS) -> DataFrame:
     """Append arrival_time (seconds), scheduled_headway, scheduled_trip_id, trip_id_gtfs and scheduled_tt to historic events.
 
     events: service_date (date), route, direction, stop, trip, event_time (wall clock). days, stops: from expand().
     on_missing: events of dates without schedule, or with a null key or time, are kept with nulls ("keep") or dropped ("drop").
-    slice_width: seconds of the day that one task takes of a key (a key holds all dates of its variant); None: all.
+    slice_rows: rows that one task takes of a key (a key holds all dates of its variant), see asof_join; None: all.
     A trip that visits a stop twice in the schedule gives one row for each visit.
     """
     if on_missing not in ("keep", "drop"):
         raise ValueError("on_missing is keep or drop")
     events = events.join(days, "service_date", "left").withColumn("direction_id", F.col("direction_id").cast("int"))
-    events = events.withColumn("arrival_time", tu.wall_seconds(F.col("event_time"), F.col("service_date")))
+    # several joins read the events and the timetable
+    events = materialize(events.withColumn("arrival_time", tu.wall_seconds(F.col("event_time"), F.col("service_date"))))
     clean = F.col("variant").isNotNull() & F.col("arrival_time").isNotNull()
     for k in _KEYS:
         clean = clean & F.col(k).isNotNull()
     usable, others = events.filter(clean), events.filter(~clean)
     timed = stops.withColumn("scheduled_headway", scheduled_headway(stops, ("variant",))).withColumn("scheduled_tt", scheduled_travel_time(("variant",)))
-    timed = timed.dropna(subset=[*_KEYS, "arrival_time"])
+    timed = materialize(timed.dropna(subset=[*_KEYS, "arrival_time"]))
     by = ["variant", *_KEYS]
-    final = asof_join(usable, timed.select(*by, "arrival_time", "scheduled_headway", "trip_id"), "arrival_time", by, ["scheduled_headway"], tie_break=["trip_id"], slice_width=slice_width)
+    final = asof_join(usable, timed.select(*by, "arrival_time", "scheduled_headway", "trip_id"), "arrival_time", by, ["scheduled_headway"], tie_break=["trip_id"], slice_rows=slice_rows)
     starts = first_events(usable, ["service_date", "trip_id"], "event_time", ["stop_id"]).select("service_date", *by, "trip_id", "arrival_time")
     scheduled = timed.select(*by, "arrival_time", F.col("trip_id").alias("scheduled_trip_id"))
-    matched = asof_join(starts, scheduled, "arrival_time", by, ["scheduled_trip_id"], "nearest", tie_break=["scheduled_trip_id"], slice_width=slice_width)
+    matched = asof_join(starts, scheduled, "arrival_time", by, ["scheduled_trip_id"], "nearest", tie_break=["scheduled_trip_id"], slice_rows=slice_rows)
     final = final.join(matched.select("service_date", "trip_id", "scheduled_trip_id"), ["service_date", "trip_id"], "left")
     visits = timed.select(*by, F.col("trip_id").alias("scheduled_trip_id"), "scheduled_tt", F.col("trip_id").alias("trip_id_gtfs"))
     final = final.join(visits, [*by, "scheduled_trip_id"], "left")

@@ -20,9 +20,14 @@ def map_values(c: Column, mapping: Mapping, keep_others: bool = True) -> Column:
     return F.coalesce(found, c) if keep_others else found
 
 
+def non_revenue(trip: Column, date: Column, prefix: str = S.NON_REVENUE_PREFIX, cutoff: str = S.NON_REVENUE_CUTOFF) -> Column:
+    """True for trips with the prefix before the cutoff (null for a trip without id before it)."""
+    return trip.startswith(prefix) & (date < F.lit(cutoff).cast("date"))
+
+
 def drop_non_revenue(df: DataFrame, trip: str = "trip_id", date: str = "service_date", prefix: str = S.NON_REVENUE_PREFIX, cutoff: str = S.NON_REVENUE_CUTOFF) -> DataFrame:
     """Drop trips with the prefix before the cutoff (a trip without id before it goes, too)."""
-    return df.filter(~(F.col(trip).startswith(prefix) & (F.col(date) < F.lit(cutoff).cast(df.schema[date].dataType))))
+    return df.filter(~non_revenue(F.col(trip), F.col(date).cast("date"), prefix, cutoff))
 
 
 def with_stop(df: DataFrame, stop: str = "stop_id") -> DataFrame:

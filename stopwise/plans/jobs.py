@@ -6,22 +6,44 @@ timetable keep their events with empty schedule columns, and other dates are not
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
+from datetime import date
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from .. import schemas as S
+from ..functions.storage import materialize
 from ..operators import enrich, paths, schedule, shaping
 from ..sources import readers, writers
 
 
-def daily_events(records: DataFrame, stops: DataFrame, metrics: Observation | None = None) -> DataFrame:
-    """Daily stop records and the dates' scheduled stop events (service_date, trip, stop, arrival, route, direction) to finished events."""
-    events = shaping.shape_daily(records)
-    if metrics is not None:
-        events = events.observe(metrics, F.count(F.lit(1)).alias("events"), F.count_if(F.col("stop_id").isNull()).alias("without_stop"))
-    events = shaping.with_stop(events)
-    return enrich.smooth_headways(enrich.match_daily_schedule(events, stops))
+#: What a run of the daily job counts.
+COUNTS = ("rows", "non_revenue", "without_stop", "unmatched", "filled")
+
+
+def daily_events(records: DataFrame, stops: DataFrame, counts: dict[str, Observation] | None = None) -> DataFrame:
+    """Daily stop records and the dates' scheduled stop events (service_date, trip, stop, arrival, route, direction) to finished events.
+
+    counts gets an Observation for each plan node that counts (see `count_row`). The shaped events are written once, as matching reads them several times.
+    """
+    seen = {} if counts is None else counts
+    seen |= {k: Observation(f"{k}-{uuid.uuid4().hex}") for k in ("records", "shaped", "matched")}
+    gone = F.coalesce(shaping.non_revenue(F.col("trip_id"), shaping.tu.to_date_from_int(F.col("service_date"))), F.lit(True))
+    records = records.observe(seen["records"], F.count(F.lit(1)).alias("rows"), F.count_if(gone).alias("non_revenue"))
+    events = shaping.shape_daily(records).observe(seen["shaped"], F.count_if(F.col("stop_id").isNull()).alias("without_stop"))
+    matched = enrich.match_daily_schedule(materialize(shaping.with_stop(events)), stops, flags=True)
+    unmatched, filled = F.col("scheduled_trip_id").isNull(), F.col("filled")
+    matched = matched.observe(seen["matched"], F.count_if(unmatched).alias("unmatched"), F.count_if(filled).alias("filled"))
+    return enrich.smooth_headways(matched.select(*S.DAILY_OUTPUT))
+
+
+def count_row(spark: SparkSession, counts: dict[str, Observation]) -> DataFrame:
+    """One row (run_at and COUNTS) of what the Observations saw, once the events of daily_events have been written."""
+    seen = {k: v for o in counts.values() for k, v in o.get.items()}
+    row = spark.createDataFrame([tuple(seen[c] for c in COUNTS)], ", ".join(f"{c} long" for c in COUNTS))
+    return row.select(F.current_timestamp().alias("run_at"), *COUNTS)
 
 
 def dated_stops(seen: DataFrame, tables: dict[str, DataFrame], feeds: DataFrame) -> DataFrame:
@@ -32,11 +54,15 @@ def dated_stops(seen: DataFrame, tables: dict[str, DataFrame], feeds: DataFrame)
     return stops.join(trips.join(seen, ["feed_id", "trip_id"]), ["feed_id", "trip_id"]).drop("feed_id")
 
 
-def run_daily(spark: SparkSession, inputs: Sequence[str], gtfs_root: str, feed_index: str, output: str) -> None:
+def run_daily(spark: SparkSession, inputs: Sequence[str], gtfs_root: str, feed_index: str, output: str, dates: Sequence[date] = ()) -> None:
+    """Ingest daily files: events by stop and day below output, a row of counts in output/_counts. dates: those recomputed, beside the ones that have records."""
     records = readers.daily_records(spark, inputs)
-    seen = records.select(shaping.tu.to_date_from_int(F.col("service_date")).alias("service_date"), "trip_id").distinct()
+    seen = materialize(records.select(shaping.tu.to_date_from_int(F.col("service_date")).alias("service_date"), "trip_id").distinct())
     stops = dated_stops(seen, readers.gtfs(spark, gtfs_root), readers.feed_index(spark, feed_index))
-    writers.write_daily(daily_events(records, stops), output)
+    scope = seen.select("service_date").unionByName(spark.createDataFrame([(d,) for d in dates], "service_date date")).distinct()
+    counts: dict[str, Observation] = {}
+    writers.write_daily(daily_events(records, stops, counts), output, scope)
+    count_row(spark, counts).coalesce(1).write.mode("append").parquet(f"{output.rstrip('/')}/_counts")
 
 
 def with_schedule(events: DataFrame, tables: dict[str, DataFrame], feeds: DataFrame, on_missing: str = "keep") -> DataFrame:

@@ -328,15 +328,8 @@ def schedule_from_files(spark, sf_dir):
 _INGEST = _MATCH.replace("s AS (SELECT * FROM e WHERE is_scheduled)", "s AS (SELECT * FROM e WHERE is_scheduled AND trip_id IN (SELECT trip_id FROM o))").replace("o AS (SELECT * FROM e WHERE NOT is_scheduled)", "o AS (SELECT * FROM e WHERE NOT is_scheduled AND stop_id <> 'error')").replace("ORDER BY ts, event_id) AS n FROM o)", "ORDER BY date_trunc('second', ts), event_id % 1000, stop_id) AS n FROM o)")
 
 
-@query(f"""{_INGEST}, u AS (SELECT service_date, route_id, direction_id, stop_id, secs // 1800 AS bucket, median(scheduled_tt) AS usual FROM v GROUP BY ALL)
-SELECT x.event_id, x.stop_id, coalesce(x.scheduled_tt::DOUBLE, u.usual) AS scheduled_tt,
-  round_even(avg(CASE WHEN x.event_id % 4 <> 0 THEN (x.event_id % 997)::DOUBLE END) OVER (PARTITION BY x.service_date, x.route_id, x.direction_id, x.stop_id, x.secs // 1800), -1)::DOUBLE AS scheduled_headway
-FROM x LEFT JOIN u ON u.service_date = x.service_date AND u.route_id = x.route_id AND u.direction_id = x.direction_id AND u.stop_id = x.stop_id AND u.bucket = x.secs // 1800""")
-def daily_ingest(spark, sf_dir):
-    """Daily parquet of all dates and a timetable, ingested twice by the backfill of their range and read back from the sink."""
-    root = shared_dir(spark)
-    e = stop_records(spark, sf_dir)
-    observed = e.filter("not is_scheduled")
+def daily_files(spark: SparkSession, e: DataFrame, root: str) -> tuple[Callable[[object], str], str, str]:
+    """Daily parquet of the observed records and a timetable of the scheduled ones below root: (path of a date, timetable, index). The dates of each month's second half hold direction_id as a boolean."""
     none = lambda c: F.lit(None).cast(S.DAILY_TYPES[c]).alias(c)
     have = {
         "service_date": F.date_format("service_date", "yyyyMMdd").cast("long"),
@@ -350,8 +343,10 @@ def daily_ingest(spark, sf_dir):
         "stop_timestamp": F.unix_timestamp(F.to_utc_timestamp(F.date_trunc("second", "ts").cast("timestamp"), S.ZONE)),
         "scheduled_headway_trunk": F.when(F.col("event_id") % 4 != 0, F.col("event_id") % 997),
     }
-    records = observed.select(F.col("service_date").alias("d"), *[have[c].alias(c) if c in have else none(c) for c in S.DAILY_INPUT])
-    records.repartition("d").write.partitionBy("d").parquet(f"{root}/daily")
+    records = e.filter("not is_scheduled").select(F.col("service_date").alias("d"), *[have[c].alias(c) if c in have else none(c) for c in S.DAILY_INPUT])
+    for half, kind in ((F.dayofmonth("d") < 16, "smallint"), (F.dayofmonth("d") >= 16, "boolean")):
+        some = records.filter(half).withColumn("direction_id", F.col("direction_id").cast(kind))
+        some.repartition("d").write.mode("append").partitionBy("d").parquet(f"{root}/daily")
     stops = e.filter("is_scheduled")
     clock = F.concat_ws(":", F.floor(F.col("secs") / 3600).cast("string"), *[F.lpad(c.cast("string"), 2, "0") for c in (F.floor(F.col("secs") / 60) % 60, F.col("secs") % 60)])
     feed = F.lit("all").alias("feed_id")
@@ -364,9 +359,21 @@ def daily_ingest(spark, sf_dir):
         calendar_dates=stops.limit(1).select(feed, F.lit("t").alias("service_id"), F.lit("19900101").alias("date"), F.lit(2).alias("exception_type")),
     )
     _write_index(spark, [("all", "1990-01-01", "2099-12-31", 0)], f"{root}/index")
-    first, last = observed.agg(F.min("service_date"), F.max("service_date")).first()
+    return lambda d: f"{root}/daily/d={d}", f"{root}/gtfs", f"{root}/index"
+
+
+@query(f"""{_INGEST}, u AS (SELECT service_date, route_id, direction_id, stop_id, secs // 1800 AS bucket, median(scheduled_tt) AS usual FROM v GROUP BY ALL)
+SELECT x.event_id, x.stop_id, coalesce(x.scheduled_tt::DOUBLE, u.usual) AS scheduled_tt,
+  round_even(avg(CASE WHEN x.event_id % 4 <> 0 THEN (x.event_id % 997)::DOUBLE END) OVER (PARTITION BY x.service_date, x.route_id, x.direction_id, x.stop_id, x.secs // 1800), -1)::DOUBLE AS scheduled_headway
+FROM x LEFT JOIN u ON u.service_date = x.service_date AND u.route_id = x.route_id AND u.direction_id = x.direction_id AND u.stop_id = x.stop_id AND u.bucket = x.secs // 1800""")
+def daily_ingest(spark, sf_dir):
+    """Daily parquet of all dates, of two types of direction, and a timetable, ingested twice by the backfill of their range and read back from the sink."""
+    root = shared_dir(spark)
+    e = stop_records(spark, sf_dir)
+    path_of, *feeds = daily_files(spark, e, root)
+    first, last = e.filter("not is_scheduled").agg(F.min("service_date"), F.max("service_date")).first()
     for _ in range(2):  # a second run leaves the same
-        refresh.backfill(spark, f"{root}/daily", f"{root}/gtfs", f"{root}/index", f"{root}/out", first, last, path_of=lambda at, d: f"{at}/d={d}")
+        refresh.backfill(spark, f"{root}/daily", *feeds, f"{root}/out", first, last, path_of=lambda _, d: path_of(d))
     back = spark.read.option("header", True).csv(f"{root}/out")
     return back.select(F.col("vehicle_label").cast("long").alias("event_id"), "stop_id", *[F.col(c).cast("double").alias(c) for c in ("scheduled_tt", "scheduled_headway")])
 
@@ -380,12 +387,18 @@ def scheduled_stops_of_trips(spark, sf_dir):
     return readers.scheduled_stops(stop_times, trips, wanted).select("trip_id", "stop_id", "arrival_time", "route_id", "direction_id")
 
 
-@query(f"""{_MATCH.replace("row_number() OVER (PARTITION BY service_date, trip_id ORDER BY ts, event_id) AS n FROM o", "row_number() OVER (PARTITION BY service_date, trip_id ORDER BY date_trunc('second', ts), stop_id, event_id) AS n FROM o")},
+def historic_sql(keep: str) -> str:
+    """The observed events for which `keep` holds, matched to the day's scheduled ones."""
+    match = _MATCH.replace("ORDER BY ts, event_id) AS n FROM o", "ORDER BY date_trunc('second', ts), stop_id, event_id) AS n FROM o").replace("WHERE NOT is_scheduled", f"WHERE NOT is_scheduled AND {keep}")
+    return f"""{match},
 h AS (SELECT service_date, route_id, direction_id, stop_id, secs, trip_id, (secs - lag(secs) OVER (PARTITION BY service_date, route_id, direction_id, stop_id ORDER BY secs, trip_id)) % 86400 AS headway FROM s),
 b AS (SELECT o.event_id, s.headway, row_number() OVER (PARTITION BY o.event_id ORDER BY s.secs DESC, s.trip_id DESC) AS n FROM o LEFT JOIN h s ON {_SAME} AND s.secs <= o.secs),
 y AS (SELECT o.event_id, m.scheduled_trip_id, v.scheduled_tt FROM o LEFT JOIN m USING (service_date, trip_id)
       LEFT JOIN v ON v.service_date = o.service_date AND v.trip_id = m.scheduled_trip_id AND v.stop_id = o.stop_id AND v.route_id = o.route_id AND v.direction_id = o.direction_id)
-SELECT y.event_id, b.headway AS scheduled_headway, y.scheduled_trip_id, y.scheduled_tt FROM y JOIN b ON b.event_id = y.event_id AND b.n = 1""")
+SELECT y.event_id, b.headway AS scheduled_headway, y.scheduled_trip_id, y.scheduled_tt FROM y JOIN b ON b.event_id = y.event_id AND b.n = 1"""
+
+
+@query(historic_sql("true"))
 def historic_enrichment(spark, sf_dir):
     e = stop_records(spark, sf_dir)
     events = e.filter("not is_scheduled").withColumn("event_time", F.date_trunc("second", "ts").cast("timestamp_ntz"))

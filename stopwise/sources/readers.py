@@ -6,12 +6,19 @@ CSV columns are chosen by header name and cast with try_cast, so a bad value is
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from csv import reader as csv_lines
+from functools import reduce
+from itertools import chain, islice
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..functions import timeutil as tu
+from ..functions.joins import join_checked
+from ..functions.storage import shared_dir
 
 
 def typed(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
@@ -27,29 +34,85 @@ def csv(spark: SparkSession, paths: str | Sequence[str], recursive: bool = False
     return reader.csv(paths if isinstance(paths, str) else list(paths))
 
 
+def heads(spark: SparkSession, paths: str | Sequence[str], at_once: int = 100) -> DataFrame:
+    """The first line that isn't blank of each file, as a written table (file, header). Of a file no more than its beginning is read, which a limit for each file ensures; many files go in one job."""
+    own = spark.newSession()  # a split for each whole file, without touching the settings of the caller's session
+    own.conf.set("spark.sql.files.maxPartitionBytes", str(1 << 50))
+    files = own.read.format("binaryFile").load(paths if isinstance(paths, str) else list(paths)).select("path", F.col("_metadata.file_path").alias("file"))
+    path = shared_dir(spark)
+    spark.createDataFrame([], "file string, header string").write.parquet(path)
+    names = files.toLocalIterator()
+    while some := list(islice(names, at_once)):
+        first = [own.read.text(r.path).filter("trim(value) <> ''").limit(1).select(F.lit(r.file).alias("file"), F.col("value").alias("header")) for r in some]
+        reduce(DataFrame.unionByName, first).write.mode("append").parquet(path)
+    return spark.read.schema("file string, header string").parquet(path)
+
+
 def csv_by_header(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """All rows of files with different headers, matched by column name, with the file of each row as source_file.
 
-    One reader takes one header for all its files, so files are read in groups of equal headers. The first lines
-    are found in one job over all files; what comes to the driver is the names of the files, by header.
+    One scan takes all files by position; a table of files and headers tells which position a column has. What comes
+    to the driver is the distinct headers.
     """
-    lines = spark.read.text(paths if isinstance(paths, str) else list(paths)).filter("trim(value) <> ''")
-    begins = lines.filter(F.col("_metadata.file_block_start") == 0).select("value", F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("place"))
-    firsts = begins.groupBy("file").agg(F.min_by("value", "place").alias("header"))
-    groups = [(r.header, sorted(r.files)) for r in firsts.groupBy("header").agg(F.collect_list("file").alias("files")).collect()]
-    out = None
-    for _, files in sorted(groups, key=lambda g: g[1]):
-        df = csv(spark, files)
-        names = df.columns
-        df = df.select(*[F.col(f"`{c}`").alias(c.lstrip("\ufeff").strip()) for c in names], F.col("_metadata.file_path").alias("source_file"))
-        out = df if out is None else out.unionByName(df, allowMissingColumns=True)
-    return out if out is not None else spark.createDataFrame([], "source_file string")
+    table = heads(spark, paths)
+    kinds = [r[0] for r in table.select("header").distinct().collect()]
+    names = {h: [c.strip() for c in next(csv_lines([h.lstrip("\ufeff")]))] for h in sorted(kinds)}
+    if not names:
+        return spark.createDataFrame([], "source_file string")
+    width = max(map(len, names.values()))
+    rows = spark.read.schema(", ".join(f"_c{i} string" for i in range(width))).option("header", True).csv(paths if isinstance(paths, str) else list(paths))
+    rows = rows.select("*", F.col("_metadata.file_path").alias("source_file"))
+    if len(names) > 1:
+        number = F.create_map(*chain.from_iterable((F.lit(h), F.lit(i)) for i, h in enumerate(names)))[F.col("header")]
+        rows = join_checked(rows, table.select(F.col("file").alias("source_file"), number.alias("__kind")), ["source_file"])
+    out = []
+    spelled = {c.lower(): c for c in reversed([*chain.from_iterable(names.values())])}  # names that differ by case are one, as Spark has them
+    for key, c in reversed(spelled.items()):
+        at = [(i, [x.lower() for x in cols].index(key)) for i, cols in enumerate(names.values()) if key in map(str.lower, cols)]
+        places = {p for _, p in at}
+        if len(at) == len(names) and len(places) == 1:
+            out.append(F.col(f"_c{places.pop()}").alias(c))
+        else:
+            out.append(F.coalesce(*[F.when(F.col("__kind") == i, F.col(f"_c{p}")) for i, p in at]).alias(c))
+    return rows.select(*out, "source_file")
+
+
+def by_schema(spark: SparkSession, paths: Sequence[str], columns: Sequence[str]) -> list[list[str]]:
+    """Paths of parquet in groups whose files agree on the types of the columns.
+
+    Footers are read by Spark's schema merge, many at a time; where that fails the paths are halved, so few odd files cost few more jobs.
+    A path whose own files differ gives way to its files.
+    """
+    groups: dict[str, list[str]] = {}
+
+    def add(some: list[str]) -> None:
+        try:
+            schema = spark.read.option("mergeSchema", True).parquet(*some).schema
+        except (PySparkException, Py4JJavaError) as e:
+            if "CANNOT_MERGE_SCHEMAS" not in str(e):
+                raise
+            if len(some) == 1:
+                files = [r[0] for r in spark.read.format("binaryFile").option("recursiveFileLookup", True).load(some[0]).select("path").toLocalIterator() if r[0].endswith(".parquet")]
+                if len(files) < 2:
+                    raise
+                some = sorted(files)
+            add(some[: len(some) // 2])
+            add(some[len(some) // 2 :])
+        else:
+            groups.setdefault(str([schema[c].dataType if c in schema.names else None for c in columns]), []).extend(some)
+
+    add(list(paths))
+    return list(groups.values())
 
 
 def daily_records(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """Daily stop records of any number of dates: the used columns only, nullable types."""
-    df = spark.read.parquet(*([paths] if isinstance(paths, str) else paths)).select(*S.DAILY_INPUT)
-    return df.select(*[F.col(c).cast("smallint" if c == "direction_id" else S.DAILY_TYPES[c]).alias(c) for c in S.DAILY_INPUT])
+    """Daily stop records of any number of dates: the used columns only, nullable types. Files may hold direction_id as a boolean or as a number: a scan for each kind."""
+    out = None
+    for some in by_schema(spark, [paths] if isinstance(paths, str) else paths, S.DAILY_INPUT):
+        df = spark.read.parquet(*some).select(*S.DAILY_INPUT)
+        df = df.select(*[F.col(c).cast(S.DAILY_TYPES[c]).alias(c) for c in S.DAILY_INPUT])
+        out = df if out is None else out.unionByName(df)
+    return out
 
 
 def daily_path(root: str, date: str, suffix: str = "subway-on-time-performance-v1.parquet") -> str:
@@ -130,7 +193,7 @@ def pair_percentiles(spark: SparkSession, root: str, pattern: str = PAIR_FILE) -
         return spark.createDataFrame([], "color string, from_stop string, to_stop string, service_date date, p50 double, file string")
     part = lambda i: F.regexp_extract("_metadata.file_path", pattern, i)
     file = F.regexp_extract("_metadata.file_path", pattern, 0)
-    out = df.select(part(1).alias("color"), part(2).alias("from_stop"), part(3).alias("to_stop"), F.col("service_date").try_cast("date").alias("service_date"), F.col("`50%`").try_cast("double").alias("p50"), F.substring_index(file, "/", -1).alias("file"))
+    out = df.select(part(1).alias("color"), part(2).alias("from_stop"), part(3).alias("to_stop"), F.col("service_date").try_cast("date").alias("service_date"), F.col("`50%`").try_cast("double").alias("p50"), file.alias("file"))
     return out.filter("from_stop <> '' AND to_stop <> '' AND p50 IS NOT NULL AND service_date IS NOT NULL")
 
 

@@ -1,8 +1,8 @@
 """Refresh of service dates: each run recomputes whole dates and replaces their folders.
 
 Matches to the nearest scheduled arrival and branches of trips change until a day is over, so a day is
-computed anew instead of being kept as stream state; a rerun with late rows leaves what one run with all
-rows would.
+computed anew instead of being kept as stream state; a rerun leaves what one run with the rows as they are now
+would: late rows come in, and folders of stops that have no rows any more are cleared.
 """
 
 from __future__ import annotations
@@ -10,11 +10,10 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date, timedelta
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
 
 from ..functions import timeutil as tu
+from ..functions.storage import exists
 from ..plans import jobs
 
 
@@ -28,28 +27,16 @@ def dates_between(start: date, end: date) -> list[date]:
 
 
 def existing(spark: SparkSession, paths: list[str]) -> list[str]:
-    """Those paths that are there, files or folders, whatever file system they name; each parent folder is listed once."""
-    parents: dict[str, list[str]] = {}
-    for p in paths:
-        parents.setdefault(p.rstrip("/").rpartition("/")[0], []).append(p)
-    out = set()
-    for parent, mine in parents.items():
-        try:
-            files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(parent).select("path")
-        except AnalysisException:  # no such folder
-            continue
-        name = F.substring_index(F.substring_index("path", f"{parent.rpartition(':')[2].rstrip('/')}/", -1), "/", 1)
-        there = {r[0] for r in files.select(name).distinct().collect()}  # a name per day
-        out |= {p for p in mine if p.rstrip("/").rpartition("/")[2] in there}
-    return [p for p in paths if p in out]
+    """Those paths that are there, files or folders, whatever file system they name. Each wanted name is asked for; nothing beside it is listed."""
+    return [p for p in paths if exists(spark, p)]
 
 
 def backfill(spark: SparkSession, root: str, gtfs_root: str, feed_index: str, output: str, start: date, end: date, path_of: Callable[[str, str], str] | None = None) -> list[str]:
     """Ingest all dates of a range in one plan; missing days are left out. Returns the inputs used."""
     from ..sources.readers import daily_path
 
-    found = existing(spark, [(path_of or daily_path)(root, d.isoformat()) for d in dates_between(start, end)])
+    days = {(path_of or daily_path)(root, d.isoformat()): d for d in dates_between(start, end)}
+    found = existing(spark, list(days))
     if found:
-        jobs.run_daily(spark, found, gtfs_root, feed_index, output)
+        jobs.run_daily(spark, found, gtfs_root, feed_index, output, [days[p] for p in found])
     return found
-

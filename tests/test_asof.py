@@ -2,7 +2,9 @@ import random
 
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
+from stopwise.operators import asof
 from stopwise.operators.asof import asof_join
 
 
@@ -72,3 +74,21 @@ def test_one_exchange(spark):
     l, r = _frames(spark, [(1, "a", 1)], RIGHT)
     plan = asof_join(l, r, "t", ["k"], ["v"], "nearest")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_busy_keys_are_cut_where_their_rows_lie(spark):
+    """A key of a third of all rows comes in many slices, the others whole; the result is that without slices."""
+    rng = random.Random(3)
+    key = lambda: rng.choice(["hot", f"k{rng.randrange(60)}", f"k{rng.randrange(60)}"])
+    at = lambda: int(rng.gauss(40_000, 3_000))
+    left = spark.createDataFrame([(key(), at(), i) for i in range(6000)] + [(None, 5, -1), ("hot", None, -2)], "k string, t long, i long")
+    right = spark.createDataFrame([(key(), at(), i) for i in range(3000)] + [(None, 3, -1)], "k string, t long, m long")
+    plain, cut = (asof_join(left, right, "t", ["k"], ["m"], "nearest", tie_break=["m"], slice_rows=n) for n in (None, 200))
+    assert sorted((r.i, r.m) for r in plain.collect() if r.m is not None) == sorted((r.i, r.m) for r in cut.collect() if r.m is not None)
+    assert cut.count() == 6002
+    cuts = asof._cuts(*[d.select(F.col("k").alias("__k0"), F.col("t").alias("__at")) for d in (left, right)], ["__k0"], 60.0, 200)
+    assert cuts.select("__hash").distinct().count() == 1  # only the busy key
+    sliced = asof._sliced(left.select(F.col("k").alias("__k0"), F.col("t").alias("__at")), cuts, ["__k0"], 60.0)
+    sizes = {(r["__k0"], r["__slice"]): r["count"] for r in sliced.groupBy("__k0", "__slice").count().collect()}
+    assert max(n for (k, _), n in sizes.items() if k == "hot") < 300 and len([1 for k, _ in sizes if k == "hot"]) > 8
+    assert not asof_join(left, right, "t", ["k"], ["m"], slice_rows=10**6)._jdf.queryExecution().toString().count("__slice")

@@ -5,7 +5,6 @@ import gzip
 import json
 
 import pytest
-from pyspark.sql import Observation
 
 from stopwise import schemas as S
 from stopwise.operators import shaping
@@ -60,15 +59,78 @@ def test_daily_job_backfill_and_refresh(spark, tmp_path, feeds):
     assert refresh.backfill(spark, root, *feeds, out, dt.date(2023, 1, 1), dt.date(2023, 1, 2), path_of) == []
 
 
-def test_daily_metrics(spark, tmp_path, feeds):
-    _daily_file(spark, str(tmp_path / "x.parquet"), dt.date(2024, 2, 7), [{"trip_id": "t9", "stop_id": "70061", "stop_sequence": 5, "move_timestamp": 1707311000}])
+def test_daily_counts(spark, tmp_path, feeds):
+    late = [{"trip_id": "t9", "stop_id": "70061", "stop_sequence": 5, "move_timestamp": 1707311000}, {"trip_id": None, "stop_id": "70061", "stop_sequence": 6, "stop_timestamp": 1707311000}]
+    _daily_file(spark, str(tmp_path / "x.parquet"), dt.date(2024, 2, 7), late)
     records = readers.daily_records(spark, str(tmp_path / "x.parquet"))
     assert dict(records.dtypes)["stop_sequence"] == "smallint"
     seen_trips = shaping.shape_daily(records).select("service_date", "trip_id").distinct()
     stops = jobs.dated_stops(seen_trips, readers.gtfs(spark, feeds[0]), readers.feed_index(spark, feeds[1]))
-    seen = Observation("daily")
-    assert jobs.daily_events(records, stops, seen).count() == 3
-    assert seen.get == {"events": 4, "without_stop": 1}
+    counts = {}
+    assert jobs.daily_events(records, stops, counts).count() == 4
+    row = jobs.count_row(spark, counts).first()
+    assert tuple(row[c] for c in jobs.COUNTS) == (4, 0, 1, 1, 1) and row.run_at is not None
+
+
+def test_refresh_clears_folders_without_rows(spark, tmp_path, feeds):
+    root, out = str(tmp_path), str(tmp_path / "out")
+    path_of = lambda r, d: f"{r}/{d}.parquet"
+    days = [dt.date(2024, 2, 6), dt.date(2024, 2, 7)]
+    stray = {"trip_id": "sched2", "stop_id": "a=b/c", "stop_sequence": 1, "stop_timestamp": 1707311000}
+    for d in days:
+        _daily_file(spark, path_of(root, d.isoformat()), d, [stray])
+    refresh.backfill(spark, root, *feeds, out, *days, path_of)
+    _daily_file(spark, path_of(root, "2024-02-07"), days[1])
+    for _ in range(2):
+        refresh.backfill(spark, root, *feeds, out, days[1], days[1], path_of)
+    assert sorted(p.parent.name for p in (tmp_path / "out").glob("stop=a*/Year=2024/Month=2/Day=*/*.csv")) == ["Day=6"]
+    assert not list((tmp_path / "out").glob("stop=a*/Year=2024/Month=2/Day=7"))
+    assert spark.read.parquet(f"{out}/_counts").count() == 3
+
+
+def test_only_wanted_names_are_asked_for(spark, tmp_path):
+    (tmp_path / "foreign" / "deep").mkdir(parents=True)
+    for i in range(3000):
+        (tmp_path / "foreign" / "deep" / f"f{i}").write_text("x")
+    (tmp_path / "2024-02-07").mkdir()
+    (tmp_path / "2024-02-08").write_text("x")
+    jvm = spark._jvm.org.apache.hadoop.fs.FileSystem
+    reads = lambda: sum(s.getReadOps() + s.getLargeReadOps() for s in jvm.getAllStatistics())
+    before = reads()
+    wanted = [f"{tmp_path}/{d}" for d in ("2024-02-06", "2024-02-07", "2024-02-08", "2024-02-09")]
+    assert refresh.existing(spark, wanted) == wanted[1:3]
+    assert reads() - before < 20
+
+
+def test_headers_are_found_by_reading_heads(spark, tmp_path):
+    line = ",".join(["value"] * 20) + "\n"
+    for name, header in (("a.csv", "﻿one,Two"), ("b.csv", "\n\ntwo,one"), ("c.csv", "two,one")):
+        (tmp_path / name).write_text(header + "\n" + line * 200_000, encoding="utf-8")
+    (tmp_path / "d.csv.gz").write_bytes(gzip.compress(("Two,three\n" + "".join(f"{i * 7919 % 1000003},{i}\n" for i in range(400_000))).encode()))
+    (tmp_path / "empty.csv").write_text("")
+    jvm = spark._jvm.org.apache.hadoop.fs.FileSystem
+    read = lambda: sum(s.getBytesRead() for s in jvm.getAllStatistics())
+    before = read()
+    heads = readers.heads(spark, str(tmp_path))
+    spent = read() - before
+    whole = sum(p.stat().st_size for p in tmp_path.iterdir())
+    assert spent < whole / 10, (spent, whole)
+    assert sorted(r.header.lstrip("﻿") for r in heads.collect()) == ["Two,three", "one,Two", "two,one", "two,one"]
+    rows = readers.csv_by_header(spark, [f"{tmp_path}/{n}" for n in ("a.csv", "b.csv", "c.csv", "d.csv.gz")])
+    assert sorted(rows.columns) == ["Two", "one", "source_file", "three"] and rows.count() == 1_000_000
+    assert rows.filter("three is not null").agg({"three": "max", "Two": "count"}).first()[1] == 400_000
+
+
+@pytest.mark.parametrize("kinds", [("boolean", "smallint"), ("smallint", "boolean", "smallint", "boolean"), ("int", "bigint")])
+def test_mixed_direction_types(spark, tmp_path, kinds):
+    schema = lambda k: ", ".join(f"{c} {k if c == 'direction_id' else S.DAILY_TYPES[c]}" for c in S.DAILY_INPUT)
+    for i, k in enumerate(kinds):
+        row = [1 if c == "stop_sequence" else (True if k == "boolean" else 1) if c == "direction_id" else None for c in S.DAILY_INPUT]
+        spark.createDataFrame([tuple(row)], schema(k)).write.parquet(str(tmp_path / f"in/d={i}"))
+    paths = [str(tmp_path / f"in/d={i}") for i in range(len(kinds))]
+    for given in (paths, [str(tmp_path / "in")]):  # a path of its own for each, and one that holds all
+        assert [(r.direction_id, r.stop_sequence) for r in readers.daily_records(spark, given).collect()] == [(1, 1)] * len(kinds)
+    assert len(readers.by_schema(spark, paths, S.DAILY_INPUT)) == len(set(kinds))
 
 
 def test_tables_of_feeds_are_matched_by_name(spark, feeds):

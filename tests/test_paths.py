@@ -3,6 +3,8 @@ import json
 import random
 from statistics import median
 
+import pytest
+
 from stopwise.operators import paths
 from stopwise.plans import jobs
 from stopwise.sources import readers
@@ -58,3 +60,31 @@ def test_percentile_files(spark, tmp_path):
     rows = readers.pair_percentiles(spark, str(tmp_path))
     assert {(r.color, r.from_stop, r.to_stop, r.p50) for r in rows.collect()} == {("red", "1", "2_3", 91.0), ("red", "1", "9", 5.0)}
     assert [r.to_stop for r in readers.first_file_per_stop(rows).collect()] == ["2_3"]
+
+
+def _jobs(spark, work):
+    """How many jobs work() starts."""
+    from uuid import uuid4
+
+    group = uuid4().hex
+    spark.sparkContext.setJobGroup(group, "counted")
+    work()
+    return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+
+def test_paths_in_one_job_whatever_their_length(spark):
+    chain = lambda n: spark.createDataFrame([("c", f"s{i}", f"s{i + 1}") for i in range(n)] + [("c", "s0", "s0")], "color string, from_stop string, to_stop string")
+    short, long = (_jobs(spark, lambda n=n: paths.simple_paths(chain(n)).count()) for n in (3, 60))
+    assert short == long
+    assert paths.simple_paths(chain(60)).count() == 60 * 61 // 2
+    by_rounds = paths.simple_paths(chain(6), small=0)
+    assert sorted(r.path for r in by_rounds.collect()) == sorted(r.path for r in paths.simple_paths(chain(6)).collect())
+    none = spark.createDataFrame([], "color string, from_stop string, to_stop string")
+    assert paths.simple_paths(none).count() == 0
+
+
+def test_paths_longer_than_allowed(spark):
+    edge = spark.createDataFrame([("c", f"s{i}", f"s{i + 1}") for i in range(5)], "color string, from_stop string, to_stop string")
+    for small in (0, 100):
+        with pytest.raises(Exception, match="more than 3 edges"):
+            paths.simple_paths(edge, 3, small).count()

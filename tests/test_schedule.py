@@ -73,3 +73,12 @@ def test_daily_match_falls_back_to_the_half_hour_median(spark):
     assert got == {("p", "A"): 0.0, ("p", "B"): 9100.0, ("q", "C"): None}
 
 
+def test_service_ranges_leave_no_pair_outside(spark, tables):
+    """What the join of dates and services puts out is the result: the range is tested within it."""
+    dates = spark.createDataFrame([(DAY + dt.timedelta(days=i), "f") for i in range(-60, 400)], "service_date date, feed_id string")
+    got = schedule.active_services(dates, tables[0]["calendar"], tables[0]["calendar_dates"])
+    want = sorted((d, "weekday" if d.weekday() < 5 else "weekend") for d in (DAY + dt.timedelta(days=i) for i in range(-60, 400)) if d.year == 2024)
+    assert sorted((r.service_date, r.service_id) for r in got.collect()) == want
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    join = next(x for x in plan.splitlines() if "Join Inner" in x and "weekday" in x)
+    assert "start_date" in join and "end_date" in join and "month" in join
