@@ -9,7 +9,7 @@ from stopwise.llm import toxicity as tox
 from stopwise.llm.common import held_out
 from stopwise.llm.textfeatures import WordHasher, scatter
 
-from .helpers import ODD, empty, odd, prose
+from .helpers import ODD, SF, empty, odd, prose
 
 
 def _labelled(spark, n=600):
@@ -79,3 +79,67 @@ def test_hashes_fold_case_and_punctuation():
     assert len(set(h([b"word", b"word!!", b"(word)"]).tolist())) == 1
     assert WordHasher(4)([b"wordy", b"words"]).tolist()[0] == WordHasher(4)([b"words"]).tolist()[0]
     assert scatter(h([b"a", b"b"]), 10).max() < 1024
+
+
+M64 = 2**64 - 1
+PUNCT = ".,;:!?\"'()[]{}*#$%&|<>/\\-_=+~`^@"
+
+
+def plain_hash(word, stem=0):
+    bare = word.strip(PUNCT) or word
+    return zlib.crc32((bare[:stem] if stem and len(bare.encode()) > stem else bare).encode())
+
+
+def plain_words(text):
+    lower = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    for c in "\t\n\x0b\x0c\r":
+        lower = lower.replace(c, " ")
+    return [w for w in lower.split(" ") if w]
+
+
+def plain_bucket(h, bits):
+    return (h * 0xD6E8FEB86659FD93 & M64) >> (64 - bits)
+
+
+def plain_mix(a, b, salt):
+    h = a * 0x9E3779B97F4A7C15 + salt & M64
+    h ^= h >> 29
+    h = (h + b) * 0xBF58476D1CE4E5B9 & M64
+    return h ^ h >> 32
+
+
+def _given(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "n_chars").unionByName(odd(spark).select("doc_id", "text", "n_chars"))
+    return docs.cache(), spark.read.parquet(f"{SF}/labels.parquet")
+
+
+def test_toxicity_scores_by_plain_python(spark):
+    docs, labels = _given(spark)
+    model = tox.fit(docs, labels)
+    weight = dict(zip(model.index.tolist(), model.weight.tolist(), strict=True))
+    for r in tox.score(docs, model).collect():
+        words = plain_words(r.text)
+        h, s = [plain_hash(w) for w in words], [plain_hash(w, 4) for w in words]
+        grams = h + [plain_mix(x, x, 3) for x in s] + [plain_mix(a, b, 1) for a, b in zip(h, h[1:], strict=False)] + [plain_mix(a, b, 2) for a, b in zip(h, h[2:], strict=False)]
+        margin = model.bias + sum(weight.get(i, 0.0) for i in {plain_bucket(x, model.bits) for x in grams})
+        want = 1 / (1 + np.exp(-np.clip(margin, -35, 35)))
+        assert abs(r.score - want) < 1e-6 and r.predicted == int(r.score >= 0.5)
+
+
+def test_quality_scores_by_all_pairs(spark):
+    docs, labels = _given(spark)
+    model = fm.fit(docs, labels)
+    for r in fm.score(docs, model).collect():
+        first = fm.structure(r.text, r.n_chars).tolist()
+        counts = {}
+        for w in plain_words(r.text):
+            i = len(fm._STRUCTURE) * fm._BINS + plain_bucket(plain_hash(w), model.bits)
+            counts[i] = counts.get(i, 0) + 1
+        value = {i: np.log1p(c) for i, c in counts.items()}
+        length = sum(x * x for x in value.values()) ** 0.5
+        i = np.array(first + list(value))
+        x = np.array([1.0] * len(first) + [v / length for v in value.values()])
+        pairs = (model.v[i].astype(float) @ model.v[i].astype(float).T) * np.outer(x, x)  # every two features
+        margin = model.w0 + model.w[i].astype(float) @ x + np.triu(pairs, 1).sum()
+        want = 1 / (1 + np.exp(-np.clip(margin, -35, 35)))
+        assert abs(r.score - want) < 1e-4 and r.predicted == int(r.score >= 0.3)
