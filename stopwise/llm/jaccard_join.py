@@ -8,14 +8,16 @@ its tokens, less k - 1 for each class, outnumber what a similar set may lack: th
 
 Frequencies are counted exactly for half of the tokens (those with a hash of 0 or more, which come first in the order;
 the others, which few sets need, count as rare). Counting and indexing move blocks of numbers to hash shards, a batch of sets
-at a time; shards are as many as the tokens ask for.
+at a time; shards are as many as the tokens ask for. Sets are made from the texts again in each pass instead of being stored,
+but for those that have a candidate. The members of one signature meet in one task, with 16 bytes each.
 
 Candidates. In a shard equal signatures form a group. All members meet the group's first one; of groups of up to
 `small` members all other pairs wait; larger groups wait as rows. What waits is looked at again with the components of
 the links found so far: only members of different components still have to meet. Of a large group those outside its
-largest component meet all others, a few at a time, until it is in one component or all of them had their turn. So a family
+largest component meet all others, more of them in each round, until it is in one component or all of them had their turn. So a family
 of m near copies costs rows in proportion to m, no group is gathered as a whole, and no link between two components is lost.
-Candidates are verified on whole sets: a task holds one set of a group and streams the others past it.
+Candidates are first tested on parity bits (some bits of each set; where two sets' bits differ too often they can't be similar), then
+verified on whole sets: a task holds one set of a group and streams the others past it.
 
 Defined cases: a text without words has an empty set (n_shingles 0) and is its own component; with fewer words than a shingle the
 whole sequence is one; repeated rows and equal texts share a node; rows with a null id take no part in naming (component_id
@@ -40,9 +42,11 @@ from .simhash import _named_by, components
 WIDTH, SIMILARITY = 5, 80
 #: Tokens in up to so many sets are indexed in combinations of so many.
 CLASSES = ((16, 1), (1 << 20, 2), (1 << 62, 3))
-SMALL, HEADS = 8, 16
+SMALL, HEADS = 8, 8
 #: Numbers that a shard of the index holds, about.
 SHARD = 1 << 21
+#: Frequent tokens (16 bytes each) that are given to all tasks.
+MOST = 1 << 21
 _MEMO = 300_000
 
 
@@ -53,12 +57,22 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+class _Hashes(dict):
+    """Hashes of words, made when first asked for."""
+
+    def __missing__(self, word: bytes) -> int:
+        import xxhash
+
+        h = self[word] = xxhash.xxh64_intdigest(word, 42)
+        return h
+
+
 class Shingler:
     """Texts to ordered arrays of distinct hashed shingles (signed). Hashes of words are remembered, in a bounded table."""
 
     def __init__(self, width: int = WIDTH) -> None:
         self.width = width
-        self.memo: dict[bytes, int] = {}
+        self.memo = _Hashes()
 
     def __call__(self, text: str | None) -> np.ndarray:
         import xxhash
@@ -69,8 +83,6 @@ class Shingler:
         memo = self.memo
         if len(memo) > _MEMO:
             memo.clear()
-        for w in set(words).difference(memo):
-            memo[w] = xxhash.xxh64_intdigest(w, 42)
         h = np.fromiter(map(memo.__getitem__, words), np.uint64, len(words))
         n = len(words) - self.width + 1
         out = h[:n].copy()
@@ -79,25 +91,82 @@ class Shingler:
         return np.unique(mixed(out).view(np.int64))
 
 
+def _hash(s: np.ndarray) -> int:
+    """A signed hash of a whole set (0: empty)."""
+    import xxhash
+
+    h = xxhash.xxh64_intdigest(s.tobytes(), 1) if len(s) else 0
+    return h - (1 << 64) if h >> 63 else h
+
+
 def _with_set(df: DataFrame, keep: Sequence[str], width: int, whole: bool) -> DataFrame:
-    """Append fp, a hash of the set of shingles of text (0: empty), and n, its size, or with `whole` the set."""
+    """Append fp, a hash of the set of shingles of text (0: empty), and n, its size; with `whole` also the set and its parity bits."""
 
     def make():
-        import xxhash
-
         shingler = Shingler(width)
 
         def f(texts: pa.Array) -> list[pa.Array]:
             sets = [shingler(t) for t in texts.to_pylist()]
-            fp = pa.array(np.array([xxhash.xxh64_intdigest(h.tobytes(), 1) if len(h) else 0 for h in sets], np.uint64).view(np.int64))
-            if not whole:
-                return [fp, pa.array([len(h) for h in sets], pa.int32())]
-            return [fp, pa.array(sets, pa.list_(pa.int64()))]
+            out = [pa.array(map(_hash, sets), pa.int64()), pa.array(map(len, sets), pa.int32())]
+            return [*out, pa.array(sets, pa.list_(pa.int64())), pa.array(map(parity, sets), pa.binary())] if whole else out
 
         return f
 
-    more = T.StructField("set", T.ArrayType(T.LongType())) if whole else T.StructField("n", T.IntegerType())
-    return add_columns(df, [T.StructField("fp", T.LongType()), more], ["text"], make, keep)
+    more = [T.StructField("set", T.ArrayType(T.LongType())), T.StructField("bits", T.BinaryType())] if whole else []
+    return add_columns(df, [T.StructField("fp", T.LongType()), T.StructField("n", T.IntegerType()), *more], ["text"], make, keep)
+
+
+def parity(s: np.ndarray) -> bytes:
+    """Bits that tell of each part of the hashes whether an odd number of a set's tokens has it; two bits for each token, about, and a power of two of them.
+
+    Where two sets' bits differ they have at least so many tokens that the other lacks.
+    """
+    size = max(64, 1 << (2 * len(s) - 1).bit_length()) if len(s) else 64
+    odd = np.bincount((s.view(np.uint64) & np.uint64(size - 1)).astype(np.int64), minlength=size) & 1
+    return np.packbits(odd.astype(np.uint8)).tobytes()
+
+
+def _folded(bits: bytes, size: int) -> np.ndarray:
+    """Parity bits of fewer parts: halves of the hashes' last bits meet."""
+    x = np.frombuffer(bits, np.uint8)
+    return np.bitwise_xor.reduce(x.reshape(-1, size), axis=0) if len(x) > size else x
+
+
+def _near(similarity: int):
+    """Pairs (a, b, n, bits, m, marks) that the parity bits don't rule out."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, 8192):
+            keep = []
+            for n, bits, m, marks in zip(*[part.column(c).to_pylist() for c in ("n", "bits", "m", "marks")], strict=True):
+                size = min(len(bits), len(marks))
+                apart = int(np.bitwise_count(_folded(bits, size) ^ _folded(marks, size)).sum())
+                # with `apart` tokens at least in one set only, the union has (n + m + apart) / 2 at least
+                keep.append(100 * (n + m - apart) >= similarity * (n + m + apart))
+            yield pa.RecordBatch.from_arrays([part.column("a"), part.column("b")], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return run
+
+
+def near(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
+    """Those of the pairs (a, b) whose parity bits allow the similarity: an exact test to rule out, on a few bytes for each set."""
+    left, right = sets.select(F.col("fp").alias("a"), "n", "bits"), sets.select(F.col("fp").alias("b"), F.col("n").alias("m"), F.col("bits").alias("marks"))
+    return materialize(pairs.select("a", "b").distinct().join(left, "a").join(right, "b").mapInArrow(_near(similarity), "a long, b long"))
+
+
+def _sets(texts: DataFrame, wanted: DataFrame, width: int, small: int = 500_000) -> DataFrame:
+    """The sets (fp, n, set, bits) of wanted (key, fp), made again from the texts (text, key); a written table."""
+    named = wanted.select("key", F.col("fp").alias("__want"))
+    own = _with_set(join_keyed(texts, named, ["key"], max_rows=small), ["__want"], width, True).filter("fp = __want").drop("__want")
+    own = materialize(own)
+    # only rows that repeat an id and a text make a set come twice
+    return own if own.count() == wanted.count() else materialize(own.dropDuplicates(["fp"]))
+
+
+def _distinct(part: pa.RecordBatch, shingler: Shingler) -> dict[int, np.ndarray]:
+    """The sets of a batch of texts by their hash."""
+    sets = (shingler(t) for t in part.column("text").to_pylist())
+    return {_hash(x): x for x in sets if len(x)}
 
 
 _BLOCK = "shard int, marks binary, lens binary, fps binary, sizes binary"
@@ -151,25 +220,33 @@ def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray
         yield joined(now, held)
 
 
-def _first_half(bits: int):
+def _first_half(bits: int, width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingler = Shingler(width)
         for part in slices(batches):
-            rows = [(fp, len(s), s[np.searchsorted(s, 0) :]) for fp, s in zip(part.column("fp").to_pylist(), _lists(part.column("set")), strict=True)]
-            if sum(len(r[2]) for r in rows):
-                yield _deal([r for r in rows if len(r[2])], bits)
+            rows = [(fp, len(x), x[np.searchsorted(x, 0) :]) for fp, x in _distinct(part, shingler).items()]
+            if rows := [r for r in rows if len(r[2])]:
+                yield _deal(rows, bits)
 
     return run
 
 
-def _frequent(rare: int, bits: int):
-    """Blocks of a shard to (fp, marks of its tokens that more than `rare` sets have, how many have each)."""
+def _frequent(rare: int, by_set: bool):
+    """Blocks of a shard to its tokens that more than `rare` sets have, and how many have each: (token, seen), or by set (fp, tokens, seen)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for shard, marks, fps, _ in _shards(batches):
-            order = np.argsort(marks, kind="stable")
+            order = np.lexsort((fps, marks))
             marks, fps = marks[order], fps[order]
+            new = np.r_[True, (marks[1:] != marks[:-1]) | (fps[1:] != fps[:-1])]
+            marks, fps = marks[new], fps[new]
             first = np.flatnonzero(np.r_[True, marks[1:] != marks[:-1]])
-            seen = np.repeat(size := np.diff(np.r_[first, len(marks)]), size)
+            size = np.diff(np.r_[first, len(marks)])
+            if not by_set:
+                tokens = marks[first].astype(np.uint64) | np.uint64(shard << 32)
+                yield pa.RecordBatch.from_arrays([pa.array(tokens[size > rare].view(np.int64)), pa.array(size[size > rare])], names=["token", "seen"])
+                continue
+            seen = np.repeat(size, size)
             hot = seen > rare
             tokens, seen, fps = marks[hot].astype(np.uint64) | np.uint64(shard << 32), seen[hot], fps[hot]
             order = np.argsort(fps, kind="stable")
@@ -240,17 +317,41 @@ def ordered(s: np.ndarray, hot: np.ndarray, seen: np.ndarray, classes: Sequence[
     return np.r_[first[order], rest], np.r_[k[order], np.ones(len(rest), np.int64)]
 
 
-def _indexed(bits: int, counted_bits: int, classes: Sequence[tuple[int, int]], similarity: int):
-    """Sets (fp, set, hot tokens) to blocks of signatures."""
+def _signed(fp: int, s: np.ndarray, hot: np.ndarray, seen: np.ndarray, counted_bits: int, classes: Sequence[tuple[int, int]], similarity: int) -> list[tuple[int, int, np.ndarray]]:
+    if len(s) <= 3:  # similar to equal ones only
+        return []
+    tokens, k = ordered(s, hot, seen, classes, 31 - counted_bits)
+    return [(fp, len(s), signatures(tokens, k, b, similarity)) for b in bands(len(s), similarity)]
+
+
+def _indexed(bits: int, counted_bits: int, classes: Sequence[tuple[int, int]], similarity: int, width: int, shared):
+    """Texts to blocks of signatures. shared: a broadcast of all frequent tokens, in order, and how many sets have each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingler = Shingler(width)
+        hot, seen = shared.value
+        for part in slices(batches):
+            rows = []
+            for fp, s in _distinct(part, shingler).items():
+                own = s[np.searchsorted(s, 0) :] >> (31 - counted_bits)
+                at = np.searchsorted(hot, own)
+                at = np.unique(at[hot[np.minimum(at, len(hot) - 1)] == own]) if len(hot) else at[:0]
+                rows += _signed(fp, s, hot[at], seen[at], counted_bits, classes, similarity)
+            if rows:
+                yield _deal(rows, bits)
+
+    return run
+
+
+def _indexed_sets(bits: int, counted_bits: int, classes: Sequence[tuple[int, int]], similarity: int):
+    """Sets (fp, set, tokens, seen: lists of its frequent tokens) to blocks of signatures."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        flat = lambda x: np.array([v for one in x or () for v in one], np.int64)
         for part in slices(batches):
             rows = []
             for fp, s, hot, seen in zip(part.column("fp").to_pylist(), _lists(part.column("set")), part.column("tokens").to_pylist(), part.column("seen").to_pylist(), strict=True):
-                if len(s) > 3:  # smaller ones are similar to equal ones only
-                    flat = lambda x: np.array([v for one in x or () for v in one], np.int64)
-                    tokens, k = ordered(s, flat(hot), flat(seen), classes, 31 - counted_bits)
-                    rows += [(fp, len(s), signatures(tokens, k, b, similarity)) for b in bands(len(s), similarity)]
+                rows += _signed(fp, s, flat(hot), flat(seen), counted_bits, classes, similarity)
             if rows:
                 yield _deal(rows, bits)
 
@@ -333,6 +434,7 @@ def verified(pairs: DataFrame, sets: DataFrame, similarity: int, share: int = 25
     parts = pairs.groupBy("b").agg(F.count(F.lit(1)).alias("m"))
     salted = materialize(join_counted(pairs, materialize(parts.withColumn("parts", F.ceil(F.col("m") / share))), ["b"], "m").select("a", "b", F.pmod(F.xxhash64("a"), F.col("parts")).cast("int").alias("salt")))
     few = (lambda d: F.broadcast(d)) if salted.limit(small + 1).count() <= small else (lambda d: d)
+    sets = sets.select("fp", "set")
     own = sets.join(few(salted.select("b", "salt").distinct()), sets["fp"] == F.col("b")).select("b", "salt", F.lit(None).cast("long").alias("a"), "set")
     met = own.unionByName(sets.join(few(salted), sets["fp"] == F.col("a")).select("b", "salt", "a", "set"))
     return materialize(met.repartition("b", "salt").sortWithinPartitions("b", "salt", F.col("a").asc_nulls_first()).mapInArrow(_similar(similarity), "a long, b long"))
@@ -350,62 +452,96 @@ def _rooted(rows: DataFrame, links: DataFrame, *columns: str) -> DataFrame:
     return rows
 
 
-def similar_links(sets: DataFrame, total: int, similarity: int = SIMILARITY, classes: Sequence[tuple[int, int]] = CLASSES, small: int = SMALL, heads: int = HEADS, shard: int = SHARD) -> DataFrame:
-    """Links (a, b) that connect all sets (fp, set: ordered longs) whose Jaccard similarity is `similarity` per cent or more. total: tokens of all sets."""
+def _blocks(texts: DataFrame, nodes: DataFrame, counted: int, bits: int, classes: Sequence[tuple[int, int]], similarity: int, width: int, most: int) -> DataFrame:
+    """Blocks of signatures. Up to `most` frequent tokens (counted) go to all tasks; more meet the sets that have them in a shuffle."""
+    shards = _by_shard(texts.mapInArrow(_first_half(counted, width), _BLOCK), counted)
+    hot = materialize(shards.mapInArrow(_frequent(classes[0][0], False), "token long, seen long"))
+    if hot.count() <= most:
+        known = hot.orderBy("token").toPandas()
+        shared = texts.sparkSession.sparkContext.broadcast((known["token"].to_numpy(np.int64), known["seen"].to_numpy(np.int64)))
+        return texts.select("text").mapInArrow(_indexed(bits, counted, classes, similarity, width, shared), _BLOCK)
+    seen = shards.mapInArrow(_frequent(classes[0][0], True), "fp long, tokens array<long>, seen array<long>")
+    seen = seen.groupBy("fp").agg(F.collect_list("tokens").alias("tokens"), F.collect_list("seen").alias("seen"))
+    return _sets(texts, nodes.select("key", "fp"), width).join(seen, "fp", "left").mapInArrow(_indexed_sets(bits, counted, classes, similarity), _BLOCK)
+
+
+def _by_shard(blocks: DataFrame, bits: int) -> DataFrame:
+    return blocks.repartition(1 << min(bits, 12), "shard").sortWithinPartitions("shard")
+
+
+def similar_roots(texts: DataFrame, nodes: DataFrame, similarity: int = SIMILARITY, width: int = WIDTH, classes: Sequence[tuple[int, int]] = CLASSES, small: int = SMALL, heads: int = HEADS, shard: int = SHARD, most: int = MOST) -> DataFrame:
+    """Components (node, root: hashes of sets) under links of all sets whose Jaccard similarity is `similarity` per cent or more; sets without links are left out.
+
+    texts: text, key; nodes: fp, size of a set and the key of a text that has it.
+    """
     if not 50 <= similarity <= 100:
         raise ValueError("prefixes are made for a similarity from 50 to 100 per cent")
+    total = nodes.agg(F.sum("size")).first()[0] or 0
     counted, bits = _bits(total // 2, shard), _bits(total // 3, shard)
-    by_shard = lambda blocks, b: blocks.repartition(1 << b if b < 10 else 1 << 10, "shard").sortWithinPartitions("shard")
-    seen = by_shard(sets.mapInArrow(_first_half(counted), _BLOCK), counted).mapInArrow(_frequent(classes[0][0], counted), "fp long, tokens array<long>, seen array<long>")
-    seen = seen.groupBy("fp").agg(F.collect_list("tokens").alias("tokens"), F.collect_list("seen").alias("seen"))
-    blocks = sets.join(seen, "fp", "left").mapInArrow(_indexed(bits, counted, classes, similarity), _BLOCK)
-    found = materialize(by_shard(blocks, bits).mapInArrow(_grouped(small, similarity), _FOUND))
-    links = verified(found.filter("kind = 0"), sets, similarity)
-    waiting = _rooted(found.filter("kind = 1").select("a", "b").distinct(), links, "a", "b").filter("root_a <> root_b")
+    found = materialize(_by_shard(_blocks(texts, nodes, counted, bits, classes, similarity, width, most), bits).mapInArrow(_grouped(small, similarity), _FOUND))
     crowd = found.filter("kind = 2").select(F.col("a").alias("sig"), F.col("b").alias("fp"), "size")
-    links = links.unionByName(verified(waiting, sets, similarity))
-    return _crowds(crowd, links, sets, similarity, heads)
+    pairs = materialize(found.filter("kind < 2").groupBy("a", "b").agg(F.count(F.lit(1)).alias("n")))
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("fp")).unionByName(crowd.select("fp")).distinct()
+    sets = _sets(texts, materialize(nodes.select("key", "fp").join(wanted, "fp")), width)
+    pairs = materialize(near(pairs, sets, similarity).join(pairs, ["a", "b"]))
+    # each set meets the one that it was found with most often, then, where that didn't link them, the others
+    best = pairs.groupBy("a").agg(F.max_by("b", F.struct("n", "b")).alias("b"))
+    links = verified(best, sets, similarity)
+    roots = materialize(components(links))
+    waiting = _rooted(pairs.select("a", "b"), roots, "a", "b").filter("root_a <> root_b")
+    return _crowds(crowd, waiting.select("a", "b"), links, roots, sets, similarity, heads)
 
 
-def _crowds(crowd: DataFrame, links: DataFrame, sets: DataFrame, similarity: int, heads: int) -> DataFrame:
-    """Links and those that large groups (sig, fp, size) add. Members outside a group's largest component, as it is now, meet the others, `heads` of each group in a round."""
-    rows = _mixed(crowd, links)
+def _rooted(rows: DataFrame, roots: DataFrame, *columns: str) -> DataFrame:
+    """Append for each column of fps the root of its component, as root_<column>."""
+    for c in columns:
+        rows = rows.join(roots.select(F.col("node").alias(c), F.col("root").alias(f"root_{c}")), c, "left").withColumn(f"root_{c}", F.coalesce(f"root_{c}", c))
+    return rows
+
+
+def _crowds(crowd: DataFrame, waiting: DataFrame, links: DataFrame, roots: DataFrame, sets: DataFrame, similarity: int, heads: int) -> DataFrame:
+    """Roots (node, root) once the waiting pairs and the large groups (sig, fp, size) have added their links.
+
+    Members outside a group's largest component, as it is at first, meet the others: `heads` of each group in the first round, when a family falls
+    into few components, and eight times as many in each further one.
+    """
+    rows = _mixed(crowd, roots)
     shares = rows.groupBy("sig", "root_fp").agg(F.count(F.lit(1)).alias("n"))
     largest = materialize(shares.groupBy("sig").agg(F.max_by("root_fp", F.struct("n", "root_fp")).alias("core"), F.sum("n").alias("n")))
     rows = materialize(join_counted(rows, largest, ["sig"], "n").withColumn("outside", F.col("root_fp") != F.col("core")).drop("core"))
     turn = Window.partitionBy("sig").orderBy("fp")
+    first = True
     while True:
         ready = rows.filter("outside").withColumn("turn", F.row_number().over(turn)).filter(F.col("turn") <= heads)
         ready = materialize(ready.select("sig", F.col("fp").alias("head"), F.col("size").alias("head_size"), F.col("root_fp").alias("head_root")))
-        if ready.isEmpty():
-            return links
-        near = 100 * F.least("size", "head_size").cast("long") >= similarity * F.greatest("size", "head_size").cast("long")
-        pairs = rows.join(ready, "sig").filter((F.col("root_fp") != F.col("head_root")) & near).select(F.col("fp").alias("a"), F.col("head").alias("b"))
-        links = links.unionByName(verified(pairs, sets, similarity))
+        if not first and ready.isEmpty():
+            return roots
+        alike = 100 * F.least("size", "head_size").cast("long") >= similarity * F.greatest("size", "head_size").cast("long")
+        met = rows.join(ready, "sig").filter((F.col("root_fp") != F.col("head_root")) & alike)
+        pairs = near(met.select(F.greatest("fp", "head").alias("a"), F.least("fp", "head").alias("b")), sets, similarity)
+        links = links.unionByName(verified(pairs.unionByName(waiting) if first else pairs, sets, similarity))
+        roots = materialize(components(links))
         tried = ready.select("sig", F.col("head").alias("fp"), F.lit(True).alias("tried"))
         rows = rows.join(tried, ["sig", "fp"], "left").withColumn("outside", F.col("outside") & F.col("tried").isNull()).drop("tried", "root_fp")
-        rows = _mixed(rows, links)
+        rows, first = materialize(rows), False
+        if rows.filter("outside").isEmpty():
+            return roots
+        rows, heads = _mixed(rows, roots), heads * 8
 
 
-def _mixed(rows: DataFrame, links: DataFrame) -> DataFrame:
+def _mixed(rows: DataFrame, roots: DataFrame) -> DataFrame:
     """Rows (sig, fp, ..) of the groups that are not in one component yet, with root_fp."""
-    rows = materialize(_rooted(rows, links, "fp"))
+    rows = materialize(_rooted(rows, roots, "fp"))
     open_ = rows.groupBy("sig").agg(F.min("root_fp").alias("lo"), F.max("root_fp").alias("hi"), F.count(F.lit(1)).alias("n")).filter("lo <> hi").select("sig", "n")
     return materialize(join_counted(rows, materialize(open_), ["sig"], "n"))
 
 
 def join(df: DataFrame, similarity: int = SIMILARITY, width: int = WIDTH, **options) -> DataFrame:
     """Rows (doc_id, n_shingles, component_id) of df (doc_id, text): the size of each row's set, and the smallest id that links lead to."""
-    given = df.select("doc_id", "text", F.xxhash64("text").alias("h"))
-    rows = materialize(_with_set(given, ["doc_id", "h"], width, False))
-    nodes = materialize(rows.filter("n > 0").groupBy("fp").agg(F.min("doc_id").alias("low"), F.count(F.lit(1)).alias("n"), F.min("h").alias("h"), F.max("n").alias("size")))
-    total = nodes.agg(F.sum("size")).first()[0] or 0
-    # one text stands for each set; should two texts share a hash, the set tells which is meant
-    chosen = nodes.select("h", F.col("fp").alias("wanted"))
-    few = F.broadcast(chosen) if chosen.limit(500_001).count() <= 500_000 else chosen
-    texts = df.select("text", F.xxhash64("text").alias("h")).join(few, "h").select("text", "wanted")
-    sets = materialize(_with_set(texts, ["wanted"], width, True).filter("fp = wanted").select("fp", "set").dropDuplicates(["fp"]))
-    named = _named_by(nodes.select("fp", "low", "n"), components(similar_links(sets, total, similarity, **options)))
+    texts = df.select("text", F.xxhash64("doc_id", "text").alias("key"))
+    rows = materialize(_with_set(df.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("key")), ["doc_id", "key"], width, False))
+    nodes = materialize(rows.filter("n > 0").groupBy("fp").agg(F.min("doc_id").alias("low"), F.count(F.lit(1)).alias("n"), F.min("key").alias("key"), F.max("n").alias("size")))
+    named = _named_by(nodes.select("fp", "low", "n"), similar_roots(texts, nodes, similarity, width, **options))
     linked = join_counted(rows.filter("n > 0"), materialize(named.select(F.col("__fp").alias("fp"), "component_id", F.col("__n").alias("m"))), ["fp"], "m")
     alone = rows.filter("n = 0").withColumn("component_id", F.col("doc_id"))
     return linked.unionByName(alone, allowMissingColumns=True).select("doc_id", F.col("n").cast("long").alias("n_shingles"), "component_id")

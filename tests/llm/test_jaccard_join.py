@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -70,7 +71,7 @@ def planted(seed):
     return rows
 
 
-@pytest.mark.parametrize(("seed", "options"), [(1, {}), (2, {"classes": ((2, 1), (8, 2), (1 << 62, 3)), "small": 3, "heads": 6, "shard": 200})])
+@pytest.mark.parametrize(("seed", "options"), [(1, {}), (2, {"classes": ((2, 1), (8, 2), (1 << 62, 3)), "small": 3, "heads": 6, "shard": 200, "most": 5})])
 def test_planted(spark, seed, options):
     rows = planted(seed)
     assert got(j.join(spark.createDataFrame(rows, "doc_id long, text string"), **options)) == brute(rows)
@@ -102,6 +103,21 @@ def test_signatures_of_similar_sets_meet():
         assert found[0] & found[1] or np.array_equal(x, y)
 
 
+def test_parity_bits_rule_out_no_similar_pair():
+    rng = np.random.default_rng(6)
+    ruled = 0
+    for trial in range(500):
+        x = np.unique(rng.integers(-(2**63), 2**63, int(rng.integers(1, 300))))
+        y = np.unique(np.r_[rng.permutation(x)[: int(len(x) * rng.random()) + 1], rng.integers(-(2**63), 2**63, int(rng.integers(0, 100)))])
+        both = len(np.intersect1d(x, y))
+        batch = pa.RecordBatch.from_pydict({"a": [1], "b": [2], "n": [len(x)], "bits": [j.parity(x)], "m": [len(y)], "marks": [j.parity(y)]})
+        kept = next(j._near(80)([batch])).num_rows
+        similar = 100 * both >= 80 * (len(x) + len(y) - both)
+        assert kept or not similar
+        ruled += not kept
+    assert ruled > 200
+
+
 def test_odd_rows(spark):
     want = brute([r[:2] for r in ODD])
     assert got(j.join(odd(spark))) == want
