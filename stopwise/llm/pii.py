@@ -3,27 +3,30 @@
 Generators of high recall propose spans, which may overlap: the base kinds (email, ip, card, phone) by
 their fixed patterns and checks, and credentials (`secret`), identity numbers (`number`) and spelled-out
 addresses (`spelled`) by wide patterns. Base spans that pass their check always stay, those that fail go. The
-other proposals are scored by gradient-boosted trees over binned features of the span's format (length, shares of
-digits and capitals, changes between classes of characters, groups, repeats) and context (characters around it,
-the word before), and a span is selected where it passes the check of its own kind (below) or its score
-reaches its kind's threshold: the lowest score bin at which, on proposals set aside, the share of true ones
-reaches `precision`.
-
-Training needs no span labels. A proposal counts as true if it passes a check of its own kind that is not
-among the features: a credential word right before a `secret`, an identity word before a `number` or the
-checksum of an account number in it, a spelled-out form with a known or two-letter last part for `spelled`. Trees
-grow level by level; each level is one aggregation over the table of distinct feature vectors with counts (there
-are at most as many as combinations of bins), and what comes to the driver is one row per tree node, feature and
-bin. All documents count; every fifth, by hashed id and length of text, is set aside for thresholds.
+other proposals are decided by gradient-boosted trees alone, over binned features of the span's format (length, shares
+of digits and capitals, changes between classes of characters, groups, repeats) and context (characters around it,
+whether the word before is a credential, an identity or any other word): a span is selected where its score reaches
+its kind's threshold, the lowest score bin from which on a lower bound of the share of true proposals, on those set
+aside, reaches `precision`. A kind's share is smoothed towards that of all kinds together, so a rare kind has a
+threshold too. `proposals` gives each proposal with its score, taken or refused.
+
+Training needs no span labels. A proposal counts as true by a check that needs no words and is not among the
+features: for a `secret` the information in its characters (length times entropy) without long runs of letters as words
+have, for a `number` the checksum of an account or bank number or the assigned ranges of identity and telephone
+numbers, for `spelled` a last part that plain addresses of the corpus end in. Trees grow level by level; each level
+is one aggregation over the table of distinct feature vectors with counts, which is grouped and written at full
+width, and what comes to the driver is one row per tree node, feature and bin. All documents count; every fifth, by
+hashed id and length of text, is set aside for thresholds.
 
 Everything runs as DataFrame functions. Patterns are written with possessive repeats and anchored starts,
 so that very long runs take linear time, and give the same matches as the plain ones. Texts dense with spans
 take time in proportion to their number, but for the copies that running sums make (in blocks of its root):
-positions and reaches are running sums and maxima, and pieces of text come from blocks of 256 characters.
+positions and reaches are running sums and maxima, and pieces of text come from blocks of 256 characters. Spans
+leave through a generator of one row, so that a filter on them, or an explode, is not copied into their making.
 
 Defined cases: null text is the empty one, without spans; repeated rows get the same spans; very long texts
 are read whole; of equal starts a base span goes before the others, and a proposal that one base span covers adds
-nothing; without proposals nothing is trained and only spans that pass their check remain; empty tables give
+nothing; without proposals nothing is trained and only base spans remain; empty tables give
 an empty result; extra columns pass through, input columns with the name of a result column are replaced.
 """
 
@@ -36,7 +39,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, table
+from .common import join_keyed, materialize, table
 
 BASE = ("email", "ip", "card", "phone")
 MORE = ("secret", "number", "spelled")
@@ -55,9 +58,9 @@ _PATTERNS = {
 }
 #: Text that must be there for a pattern to match at all: a cheap test before the pattern runs.
 _NEEDS = {"email": "@", "phone": "+", "spelled": "dot"}
+# Words in front, for a feature.
 _CREDENTIAL_WORD = r"(?i)(?:token|password|passwd|pwd|secret|api[_-]?key|access[_-]?key|bearer|auth)[\"' ]{0,2}[=:]? ?[\"']?$"
 _IDENTITY_WORD = r"(?i)(?:ssn|social security|passport|iban|account|acct|tel|phone|fax|mobile)[a-z.:# ]{0,12}$"
-_LAST_PARTS = ("com", "org", "net", "edu", "io", "de", "fr", "es")
 _CONTEXT = 24
 _BLOCK = 256
 
@@ -81,6 +84,12 @@ def _running(values: Column, join) -> Column:
     return F.flatten(F.transform(F.arrays_zip(blocks.alias("b"), starts.alias("s")), lambda z: _scan(z["b"], z["s"], join)))
 
 
+def _sealed(df: DataFrame, made: dict[str, Column], gone: Sequence[str] = ()) -> DataFrame:
+    """Add columns through a generator of one row: the optimiser doesn't put their expressions into what uses them."""
+    keep = [c for c in df.columns if c not in made and c not in gone]
+    return df.select(*[F.col(f"`{c}`") for c in keep], F.inline(F.array(F.struct(*[v.alias(n) for n, v in made.items()]))))
+
+
 def _sum(x: Column, y: Column) -> Column:
     return x + y
 
@@ -124,7 +133,7 @@ def _spans_of(df: DataFrame, kinds: Sequence[str], text: str) -> DataFrame:
         starts = F.zip_with(_running(F.col(f"__n_{k}"), _sum), F.slice(F.col(f"__p_{k}"), F.lit(1), F.size(f"__f_{k}")), lambda s, p: s + F.length(p))
         spans = F.zip_with(starts, F.col(f"__f_{k}"), lambda s, m: F.struct(s.alias("start"), (s + F.length(m)).alias("end"), m.alias("match")))
         out[f"__m_{k}"] = F.when(F.size(f"__f_{k}") > 0, spans).otherwise(empty)
-    return df.withColumns(out).drop(*matches, *[f"__p_{k}" for k in kinds], *[f"__n_{k}" for k in kinds])
+    return _sealed(df, out, [*matches, *[f"__p_{k}" for k in kinds], *[f"__n_{k}" for k in kinds]])
 
 
 def _digits(m: Column) -> Column:
@@ -209,26 +218,46 @@ def feature_columns(c: Column) -> list[Column]:
         _bins(count(r"(.)\1") / n, (0.05, 0.15, 0.3)),
         _bins(count("[^0-9A-Za-z]+"), (1, 2, 3, 4, 6)),
         mark(last),
-        F.when(F.rlike(c["before"], F.lit(r"[A-Za-z]{3,}\W{1,4}$")), 1).when(F.rlike(c["before"], F.lit(r"[0-9]\W{0,2}$")), 2).otherwise(0),
+        F.when(F.rlike(c["before"], F.lit(_CREDENTIAL_WORD)), 3).when(F.rlike(c["before"], F.lit(_IDENTITY_WORD)), 4).when(F.rlike(c["before"], F.lit(r"[A-Za-z]{3,}\W{1,4}$")), 1).when(F.rlike(c["before"], F.lit(r"[0-9]\W{0,2}$")), 2).otherwise(0),
         mark(first),
         _bins(count(r"\."), (1, 2, 3, 4)),
     ]
 
 
-def _true(kind: str, c: Column) -> Column:
-    """The check of a tagged span of a kind of MORE; none of it is a feature."""
-    m = c["match"]
+def _bits(m: Column) -> Column:
+    """Length times the entropy of the characters."""
+    n = F.length(m).cast("double")
+    share = lambda c: (n - F.length(F.replace(m, c, F.lit("")))) / n
+    return n * F.aggregate(F.array_distinct(F.split(m, "")), F.lit(0.0), lambda acc, c: acc + F.when(c == "", 0.0).otherwise(-share(c) * F.log2(share(c))))
+
+
+def _bank(m: Column) -> Column:
+    """Whether nine digits pass the checksum of a bank's number (weights 3, 7, 1)."""
+    weight = lambda i: F.when(i % 3 == 1, 3).when(i % 3 == 2, 7).otherwise(1)
+    total = F.aggregate(F.sequence(F.lit(1), F.lit(9)), F.lit(0), lambda acc, i: acc + weight(i) * F.substring(m, i, F.lit(1)).cast("int"))
+    return F.when(F.rlike(m, F.lit("^[0-9]{9}$")), total % 10 == 0).otherwise(False)
+
+
+# Assigned ranges: identity numbers, and telephone numbers of ten digits.
+_ASSIGNED = r"^(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}$"
+_DIALLED = r"^\(?[2-9][0-8][0-9]\)?[ .-]?[2-9][0-9]{2}[ .-]?[0-9]{4}$"
+
+
+def _true(kind: str, m: Column) -> Column:
+    """The check of a proposal of kind `secret` or `number`; none of it is a feature."""
     if kind == "secret":
-        return F.rlike(c["before"], F.lit(_CREDENTIAL_WORD))
-    if kind == "number":
-        return F.rlike(c["before"], F.lit(_IDENTITY_WORD)) | _iban(m)
-    last = F.lower(F.regexp_extract(m, "([A-Za-z]+)$", 1))
-    return last.isin(*_LAST_PARTS) | (F.length(last) == 2)
+        worded = F.length(m) - F.length(F.regexp_replace(m, "[a-z]{4,}|[A-Z]{4,}", ""))
+        return (_bits(m) >= 56) & (worded < 0.4 * F.length(m))
+    return F.rlike(m, F.lit(_ASSIGNED)) | F.rlike(m, F.lit(_DIALLED)) | _iban(m) | _bank(m)
+
+
+def _last_part(m: Column) -> Column:
+    return F.lower(F.regexp_extract(m, "([A-Za-z]+)$", 1))
 
 
 @dataclass
 class Model:
-    """Trees as (feature, cut, left value or subtree, right value or subtree); bias; threshold per kind (missing: only what passes its check is selected) with the share of true proposals above it, and their number."""
+    """Trees as (feature, cut, left value or subtree, right value or subtree); bias; threshold per kind (missing: none is selected) with the lower bound of the share of true proposals above it, and their number."""
 
     bias: float = 0.0
     trees: list = field(default_factory=list)
@@ -307,43 +336,79 @@ def _best_split(by: dict, rate: float, l2: float, least: float):
     return found
 
 
-def calibrate(model: Model, vectors: DataFrame, precision: float = 0.9, least: int = 3) -> Model:
-    """Per kind, the lowest twentieth of the score from which on the share of true proposals reaches `precision`."""
+def calibrate(model: Model, vectors: DataFrame, precision: float = 0.9, strength: float = 2.0, z: float = 0.5, floor: float = 0.5) -> Model:
+    """Per kind, the lowest twentieth of the score from which on a lower bound of the share of true proposals reaches `precision`.
+
+    No threshold is below `floor`, as a score under a half says false. The share is (true + strength x share of all kinds from that score on) / (number + strength), the bound `z` standard errors below.
+    """
     x = [F.col(f"x{i}") for i in range(len(FEATURES))]
     p = F.lit(1.0) / (F.lit(1.0) + F.exp(-model.margin(x)))
     rows = vectors.groupBy(x[0].alias("kind"), F.least(F.floor(p * 20), F.lit(19)).cast("int").alias("bin")).agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg")).collect()
-    for kind in {r.kind for r in rows}:
-        pos = neg = 0
-        for r in sorted((r for r in rows if r.kind == kind), key=lambda r: -r.bin):
-            pos, neg = pos + r.pos, neg + r.neg
-            if pos + neg >= least and pos / (pos + neg) >= precision:
-                model.thresholds[kind] = r.bin / 20
-                model.precisions[kind] = (pos / (pos + neg), pos + neg)
+    for kind in (KINDS.index(k) for k in MORE):
+        for low in range(math.ceil(floor * 20), 20):
+            above = [r for r in rows if r.bin >= low]
+            pos, n = sum(r.pos for r in above if r.kind == kind), sum(r.pos + r.neg for r in above if r.kind == kind)
+            pooled = (sum(r.pos for r in above) + 0.5) / (sum(r.pos + r.neg for r in above) + 1)
+            share = (pos + strength * pooled) / (n + strength)
+            bound = share - z * math.sqrt(share * (1 - share) / (n + strength))
+            if bound >= precision:
+                model.thresholds[kind], model.precisions[kind] = low / 20, (bound, n)
+                break
     return model
 
 
+def _vectors(df: DataFrame, text_col: str, id_col: str) -> DataFrame:
+    """Distinct feature vectors of the proposals of MORE with aside, pos and neg."""
+    key = F.concat_ws("|", F.col(f"`{id_col}`").cast("string"), F.length(F.col(f"`{text_col}`")).cast("string"))
+    rows = df.select(F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("__t"), (F.pmod(F.xxhash64(key, F.lit("aside")), F.lit(5)) == 0).alias("aside"))
+    rows = _spans_of(rows, ("email", *MORE), "__t")
+    none = F.array().cast("array<int>")
+    row = lambda x, y, part: F.struct(x.alias("x"), y.alias("y"), part.alias("part"))
+    no, no_part = F.lit(None).cast("boolean"), F.lit(None).cast("string")
+
+    def mark(k: str):
+        x = lambda c: F.array(*[v.cast("int") for v in feature_columns(c)])
+        if k == "spelled":
+            return lambda c: row(x(c), no, _last_part(c["match"]))
+        return lambda c: row(x(c), _true(k, c["match"]), no_part)
+
+    plain = F.transform(F.array_distinct(F.transform("__m_email", lambda c: _last_part(c["match"]))), lambda part: row(none, no, part))
+    each = _sealed(rows, {"__z": F.concat(plain, *[F.transform(_tag(k), mark(k)) for k in MORE])})
+    flat = each.select("aside", F.explode("__z").alias("z"))
+    counts = materialize(flat.groupBy("aside", "z.x", "z.y", "z.part").agg(F.count(F.lit(1)).alias("n")))
+    parts = counts.filter(F.size("x") == 0).select("part").distinct().withColumn("__met", F.lit(True))
+    made = counts.filter(F.size("x") > 0)
+    spelled = join_keyed(made.filter("y is null"), parts, ["part"], "left").withColumn("y", F.coalesce("__met", F.lit(False))).drop("__met")
+    every = made.filter("y is not null").unionByName(spelled)
+    sums = [F.sum(F.when(F.col("y") == yes, F.col("n")).otherwise(0)).alias(name) for name, yes in (("pos", True), ("neg", False))]
+    return every.groupBy(*[F.get("x", F.lit(i)).alias(f"x{i}") for i in range(len(FEATURES))], "aside").agg(*sums)
+
+
 def fit(df: DataFrame, text_col: str = "text", id_col: str = "doc_id", precision: float = 0.9) -> Model:
     """Train on the proposals of all documents; every fifth document is set aside for thresholds."""
-    key = F.concat_ws("|", F.col(f"`{id_col}`").cast("string"), F.length(F.col(f"`{text_col}`")).cast("string"))
-    rows = df.select(F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("__t"), F.pmod(F.xxhash64(key, F.lit("aside")), F.lit(5)).alias("__fold"))
-    mark = lambda k: F.transform(_tag(k), lambda c: F.struct(c.alias("c"), _true(k, c).alias("y")))
-    tagged = _spans_of(rows, MORE, "__t").select("__fold", F.explode(F.concat(*[mark(k) for k in MORE])).alias("z")).select("__fold", "z.c", "z.y")
-    cols = feature_columns(F.col("c"))
-    names = [f"x{i}" for i in range(len(cols))]
-    vectors = tagged.select(*[v.cast("int").alias(n) for n, v in zip(names, cols, strict=True)], (F.col("__fold") == 0).alias("aside"), F.col("y").cast("int").alias("y"))
-    # one small file: at most as many rows as combinations of bins, read again for each tree level
-    grouped = materialize(vectors.groupBy(*names, "aside").agg(F.sum("y").alias("pos"), F.sum(1 - F.col("y")).alias("neg")).coalesce(1)).persist()
+    grouped = materialize(_vectors(df, text_col, id_col)).persist()
     model = calibrate(boost(grouped.filter("not aside")), grouped.filter("aside"), precision)
     grouped.unpersist()
     return model
 
 
-def _judged(kind: str):
-    return lambda c: F.struct(c["start"].alias("start"), c["end"].alias("end"), _true(kind, c).alias("ok"), F.array(*[v.cast("int") for v in feature_columns(c)]).alias("x"))
+def _scored(kind: str, model: Model) -> Column:
+    """The proposals of a kind as (start, kind, end, score)."""
+    made = F.transform(_tag(kind), lambda c: F.struct(c["start"].alias("start"), c["end"].alias("end"), F.array(*[v.cast("int") for v in feature_columns(c)]).alias("x")))
+    score = lambda c: F.lit(1.0) / (F.lit(1.0) + F.exp(-model.margin([c["x"][j] for j in range(len(FEATURES))])))
+    return F.transform(made, lambda c: F.struct(c["start"].alias("start"), F.lit(KINDS.index(kind)).alias("kind"), c["end"].alias("end"), score(c).alias("score")))
 
 
-def _reaches(model: Model, limit: float):
-    return lambda c: c["ok"] | (model.margin([c["x"][j] for j in range(len(FEATURES))]) >= F.lit(limit))
+def proposals(df: DataFrame, model: Model, text_col: str = "text", keep: Sequence[str] | None = None) -> DataFrame:
+    """A row for each proposal that the trees decide: the columns of df in keep (default all), start, kind, end, score, taken."""
+    made = ("start", "kind", "end", "score", "taken")
+    keep = [c for c in (df.columns if keep is None else keep) if c.lower() not in made]
+    rows = _spans_of(df.select(*[F.col(f"`{c}`") for c in keep], F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("__t")), MORE, "__t")
+    taken = F.lit(False)
+    for i, t in model.thresholds.items():
+        taken = taken | ((F.col("kind") == i) & (F.col("score") >= t))
+    each = _sealed(rows, {"__z": F.concat(*[_scored(k, model) for k in MORE])})
+    return each.select(*[F.col(f"`{c}`") for c in keep], F.inline("__z")).withColumn("taken", taken)
 
 
 def find(df: DataFrame, model: Model, text_col: str = "text", keep: Sequence[str] | None = None) -> DataFrame:
@@ -356,22 +421,19 @@ def find(df: DataFrame, model: Model, text_col: str = "text", keep: Sequence[str
     chosen = []
     for k in MORE:
         i = KINDS.index(k)
-        # what passes its own check stays, whatever its score: the trees only add. Features are made once a span
-        made = F.transform(_tag(k), _judged(k))
-        t = model.thresholds.get(i)
-        if t is None:
-            taken = F.filter(made, lambda c: c["ok"])
-        else:
-            limit = -math.inf if t <= 0 else math.log(min(max(t, 1e-6), 1 - 1e-6) / (1 - min(max(t, 1e-6), 1 - 1e-6)))
-            taken = F.filter(made, _reaches(model, limit))
-        chosen.append(F.when(F.size(f"__m_{k}") > 0, F.transform(taken, short(i))).otherwise(F.array().cast("array<struct<start:bigint,kind:int,end:bigint>>")))
+        none = F.array().cast("array<struct<start:bigint,kind:int,end:bigint>>")
+        if i not in model.thresholds:
+            chosen.append(none)
+            continue
+        taken = F.filter(_scored(k, model), (lambda t: lambda c: c["score"] >= t)(model.thresholds[i]))
+        chosen.append(F.when(F.size(f"__m_{k}") > 0, F.transform(taken, short(i))).otherwise(none))
     rows = rows.select(*[F.col(f"`{c}`") for c in keep], base.alias("base_spans"), F.concat(*chosen).alias("__more"))
     # a chosen span that a base span covers adds nothing: by start, it ends no later than the furthest base span before it
     rows = rows.withColumn("__all", F.array_sort(F.concat("base_spans", "__more")))
     rows = rows.withColumn("__ends", F.transform("__all", lambda x: F.when(x["kind"] < len(BASE), x["end"]).otherwise(F.lit(0).cast("long"))))
     held = F.zip_with("__all", _running(F.col("__ends"), _most), lambda x, far: F.when((x["kind"] < len(BASE)) | (x["end"] > far), x))
     spans = F.when(F.size("__more") > 0, F.filter(held, lambda x: x.isNotNull())).otherwise(F.col("base_spans"))
-    return rows.withColumn("spans", spans).select(*[F.col(f"`{c}`") for c in keep], "base_spans", "spans")
+    return _sealed(rows.select(*[F.col(f"`{c}`") for c in keep], F.col("base_spans").alias("__base"), spans.alias("__spans")), {"base_spans": F.col("__base"), "spans": F.col("__spans")}, ["__base", "__spans"])
 
 
 def span_text(spans: Column) -> Column:
