@@ -157,7 +157,7 @@ def test_texts_dense_with_spans(spark):
     one = [(1, "an@b.co " * 100_000), (2, "é" * 300 + 'token = "b44e15e09fd311c3cf31" x@y.zz 1.2.3.4 ' * 3000), (3, "q" * 1000)]
     df = spark.createDataFrame(one, "doc_id long, text string")
     began = time.time()
-    found = pii.find(df, pii.Model(trees=[(1, 2, 0.5, -0.5)], thresholds={4: 0.5}))
+    found = pii.find(df, pii.Model(trees=[(1, 2, -0.5, 0.5)], thresholds={4: 0.5}))
     got = {r.doc_id: r for r in pii.redact(found).collect()}
     took = time.time() - began
     assert len(got[1].base_spans) == 100_000 and got[1].base_spans[-1].start == 799_992 and got[1].text == "<email> " * 100_000
