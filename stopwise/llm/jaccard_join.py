@@ -14,9 +14,10 @@ but for those that have a candidate. The members of one signature meet in one ta
 Candidates. In a shard equal signatures form a group. All members meet the group's first one; of groups of up to
 `small` members all other pairs wait; larger groups wait as rows. What waits is looked at again with the components of
 the links found so far: only members of different components still have to meet. Of a large group those outside its
-largest component meet all others, more of them in each round, until it is in one component or all of them had their turn. So a family
-of m near copies costs rows in proportion to m, no group is gathered as a whole, and no link between two components is lost.
-Candidates are first tested on parity bits (some bits of each set; where two sets' bits differ too often they can't be similar), then
+largest component meet all others, more of them in each round, until it is in one component or all of them had their turn: a task holds a bounded
+portion of them and streams a portion of the members past it, and only pairs that sizes and parity bits allow become rows.
+So a family of m near copies costs rows in proportion to m, no group is gathered as a whole, and no link between two components is lost.
+Parity bits are some bits of each set; where two sets' bits differ too often they can't be similar. What they allow is
 verified on whole sets: a task holds one set of a group and streams the others past it.
 
 Defined cases: a text without words has an empty set (n_shingles 0) and is its own component; with fewer words than a shingle the
@@ -32,7 +33,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -43,6 +44,8 @@ WIDTH, SIMILARITY = 5, 80
 #: Tokens in up to so many sets are indexed in combinations of so many.
 CLASSES = ((16, 1), (1 << 20, 2), (1 << 62, 3))
 SMALL, HEADS = 8, 8
+#: What a task holds of a large group: bytes of heads, and members that it streams past them.
+HELD, MEMBERS = 1 << 22, 256
 #: Numbers that a shard of the index holds, about.
 SHARD = 1 << 21
 #: Frequent tokens (16 bytes each) that are given to all tasks.
@@ -126,10 +129,40 @@ def parity(s: np.ndarray) -> bytes:
     return np.packbits(odd.astype(np.uint8)).tobytes()
 
 
-def _folded(bits: bytes, size: int) -> np.ndarray:
-    """Parity bits of fewer parts: halves of the hashes' last bits meet."""
-    x = np.frombuffer(bits, np.uint8)
-    return np.bitwise_xor.reduce(x.reshape(-1, size), axis=0) if len(x) > size else x
+def _folded(bits: np.ndarray, width: int) -> np.ndarray:
+    """Parity bits (a row of 64-bit words for each set) of fewer parts: halves of the hashes' last bits meet."""
+    return np.bitwise_xor.reduce(bits.reshape(len(bits), -1, width), axis=1) if bits.shape[1] > width else bits
+
+
+class _Bits:
+    """Parity bits of some sets, together by width."""
+
+    def __init__(self, bits: list[bytes]) -> None:
+        width = np.array([len(b) // 8 for b in bits], np.int64)
+        self.width, self.place, self.words = width, np.zeros(len(bits), np.int64), {}
+        for w in np.unique(width).tolist():
+            own = np.flatnonzero(width == w)
+            self.place[own] = np.arange(len(own))
+            self.words[w] = np.frombuffer(b"".join([bits[i] for i in own.tolist()]), np.uint64).reshape(len(own), w)
+
+    def apart(self, other: _Bits, i: np.ndarray, j: np.ndarray, size: int = 1 << 21) -> np.ndarray:
+        """How many bits differ between set i here and set j of the other, for each pair of numbers."""
+        out = np.zeros(len(i), np.int64)
+        widths = self.width[i] << 32 | other.width[j]
+        for key in np.unique(widths).tolist():
+            w, v = key >> 32, key & 0xFFFFFFFF
+            both, pairs = min(w, v), np.flatnonzero(widths == key)
+            left, right = _folded(self.words[w], both), _folded(other.words[v], both)
+            step = max(1, size // both)
+            for lo in range(0, len(pairs), step):
+                at = pairs[lo : lo + step]
+                out[at] = np.bitwise_count(left[self.place[i[at]]] ^ right[other.place[j[at]]]).sum(axis=1, dtype=np.int64)
+        return out
+
+
+def _possible(n: np.ndarray, m: np.ndarray, apart: np.ndarray | int, similarity: int) -> np.ndarray:
+    """Whether sets of n and m tokens can be similar that have `apart` tokens at least in one of them only: the union has (n + m + apart) / 2 at least."""
+    return 100 * (n + m - apart) >= similarity * (n + m + apart)
 
 
 def _near(similarity: int):
@@ -137,13 +170,11 @@ def _near(similarity: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, 8192):
-            keep = []
-            for n, bits, m, marks in zip(*[part.column(c).to_pylist() for c in ("n", "bits", "m", "marks")], strict=True):
-                size = min(len(bits), len(marks))
-                apart = int(np.bitwise_count(_folded(bits, size) ^ _folded(marks, size)).sum())
-                # with `apart` tokens at least in one set only, the union has (n + m + apart) / 2 at least
-                keep.append(100 * (n + m - apart) >= similarity * (n + m + apart))
-            yield pa.RecordBatch.from_arrays([part.column("a"), part.column("b")], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            n, m = (part.column(c).to_numpy().astype(np.int64) for c in ("n", "m"))
+            left, right = (_Bits(part.column(c).to_pylist()) for c in ("bits", "marks"))
+            at = np.arange(len(n))
+            keep = _possible(n, m, left.apart(right, at, at), similarity)
+            yield pa.RecordBatch.from_arrays([part.column("a"), part.column("b")], names=["a", "b"]).filter(pa.array(keep))
 
     return run
 
@@ -444,14 +475,6 @@ def _bits(numbers: int, shard: int) -> int:
     return min(31, max(4, (max(1, numbers // shard)).bit_length()))
 
 
-def _rooted(rows: DataFrame, links: DataFrame, *columns: str) -> DataFrame:
-    """Append for each column of fps the root of its component, as root_<column>."""
-    roots = materialize(components(links))
-    for c in columns:
-        rows = rows.join(roots.select(F.col("node").alias(c), F.col("root").alias(f"root_{c}")), c, "left").withColumn(f"root_{c}", F.coalesce(f"root_{c}", c))
-    return rows
-
-
 def _blocks(texts: DataFrame, nodes: DataFrame, counted: int, bits: int, classes: Sequence[tuple[int, int]], similarity: int, width: int, most: int) -> DataFrame:
     """Blocks of signatures. Up to `most` frequent tokens (counted) go to all tasks; more meet the sets that have them in a shuffle."""
     shards = _by_shard(texts.mapInArrow(_first_half(counted, width), _BLOCK), counted)
@@ -469,7 +492,7 @@ def _by_shard(blocks: DataFrame, bits: int) -> DataFrame:
     return blocks.repartition(1 << min(bits, 12), "shard").sortWithinPartitions("shard")
 
 
-def similar_roots(texts: DataFrame, nodes: DataFrame, similarity: int = SIMILARITY, width: int = WIDTH, classes: Sequence[tuple[int, int]] = CLASSES, small: int = SMALL, heads: int = HEADS, shard: int = SHARD, most: int = MOST) -> DataFrame:
+def similar_roots(texts: DataFrame, nodes: DataFrame, similarity: int = SIMILARITY, width: int = WIDTH, classes: Sequence[tuple[int, int]] = CLASSES, small: int = SMALL, heads: int = HEADS, shard: int = SHARD, most: int = MOST, held: int = HELD, members: int = MEMBERS) -> DataFrame:
     """Components (node, root: hashes of sets) under links of all sets whose Jaccard similarity is `similarity` per cent or more; sets without links are left out.
 
     texts: text, key; nodes: fp, size of a set and the key of a text that has it.
@@ -489,7 +512,7 @@ def similar_roots(texts: DataFrame, nodes: DataFrame, similarity: int = SIMILARI
     links = verified(best, sets, similarity)
     roots = materialize(components(links))
     waiting = _rooted(pairs.select("a", "b"), roots, "a", "b").filter("root_a <> root_b")
-    return _crowds(crowd, waiting.select("a", "b"), links, roots, sets, similarity, heads)
+    return _crowds(crowd, waiting.select("a", "b"), links, roots, sets, similarity, heads, held, members)
 
 
 def _rooted(rows: DataFrame, roots: DataFrame, *columns: str) -> DataFrame:
@@ -499,34 +522,82 @@ def _rooted(rows: DataFrame, roots: DataFrame, *columns: str) -> DataFrame:
     return rows
 
 
-def _crowds(crowd: DataFrame, waiting: DataFrame, links: DataFrame, roots: DataFrame, sets: DataFrame, similarity: int, heads: int) -> DataFrame:
+def _crowds(crowd: DataFrame, waiting: DataFrame, links: DataFrame, roots: DataFrame, sets: DataFrame, similarity: int, heads: int, held: int, members: int) -> DataFrame:
     """Roots (node, root) once the waiting pairs and the large groups (sig, fp, size) have added their links.
 
-    Members outside a group's largest component, as it is at first, meet the others: `heads` of each group in the first round, when a family falls
-    into few components, and eight times as many in each further one.
+    Members outside a group's largest component, as it is at first, meet the others: about `heads` of each group in the first round, when a
+    family falls into few components, and eight times as many in each further one. A hash of the set says who comes first, so the groups of one family send the same.
     """
     rows = _mixed(crowd, roots)
     shares = rows.groupBy("sig", "root_fp").agg(F.count(F.lit(1)).alias("n"))
     largest = materialize(shares.groupBy("sig").agg(F.max_by("root_fp", F.struct("n", "root_fp")).alias("core"), F.sum("n").alias("n")))
     rows = materialize(join_counted(rows, largest, ["sig"], "n").withColumn("outside", F.col("root_fp") != F.col("core")).drop("core"))
-    turn = Window.partitionBy("sig").orderBy("fp")
     first = True
     while True:
-        ready = rows.filter("outside").withColumn("turn", F.row_number().over(turn)).filter(F.col("turn") <= heads)
-        ready = materialize(ready.select("sig", F.col("fp").alias("head"), F.col("size").alias("head_size"), F.col("root_fp").alias("head_root")))
-        if not first and ready.isEmpty():
-            return roots
-        alike = 100 * F.least("size", "head_size").cast("long") >= similarity * F.greatest("size", "head_size").cast("long")
-        met = rows.join(ready, "sig").filter((F.col("root_fp") != F.col("head_root")) & alike)
-        pairs = near(met.select(F.greatest("fp", "head").alias("a"), F.least("fp", "head").alias("b")), sets, similarity)
+        left = F.sum(F.col("outside").cast("long")).alias("left")
+        stats = materialize(rows.groupBy("sig").agg(F.count(F.lit(1)).alias("n"), F.count(F.lit(1)).alias("of"), left, F.max("size").alias("most")).filter("left > 0"))
+        turn = F.pmod(F.xxhash64("fp"), F.lit(1 << 20)) * F.col("left") < heads << 20
+        rows = materialize(join_counted(rows, stats, ["sig"], "n").withColumn("head", F.col("outside") & turn))
+        pairs = _met(rows, sets, similarity, heads, held, members)
         links = links.unionByName(verified(pairs.unionByName(waiting) if first else pairs, sets, similarity))
         roots = materialize(components(links))
-        tried = ready.select("sig", F.col("head").alias("fp"), F.lit(True).alias("tried"))
-        rows = rows.join(tried, ["sig", "fp"], "left").withColumn("outside", F.col("outside") & F.col("tried").isNull()).drop("tried", "root_fp")
-        rows, first = materialize(rows), False
+        rows = rows.withColumn("outside", F.col("outside") & ~F.col("head")).drop("head", "root_fp", "of", "left", "most")
         if rows.filter("outside").isEmpty():
             return roots
-        rows, heads = _mixed(rows, roots), heads * 8
+        rows, heads, first = _mixed(rows, roots), heads * 8, False
+
+
+def _met(rows: DataFrame, sets: DataFrame, similarity: int, heads: int, size: int, members: int) -> DataFrame:
+    """Pairs (a, b) of heads and members of a group (sig, fp, size, root_fp, head; of, left, most: its members, those that wait, its largest size), of different components, that sizes and parity bits allow.
+
+    A task holds a portion of a group's heads (`size` bytes, about) and streams `members` of its members past them.
+    """
+    known = rows.join(sets.select("fp", "bits"), "fp")
+    parts, blocks = F.ceil(F.col("of") / members), F.ceil(F.least(F.col("left"), F.lit(2 * heads)) * (F.col("most") / 2 + 64) / size)
+    place = lambda salt, n: F.pmod(F.xxhash64("fp", F.lit(salt)), n)
+    spot = lambda role, block, part: F.struct(F.lit(role).alias("role"), block.cast("int").alias("block"), part.cast("int").alias("part"))
+    past = F.transform(F.sequence(F.lit(0).cast("long"), blocks - 1), lambda b: spot(1, b, place(1, parts)))
+    held = F.transform(F.sequence(F.lit(0).cast("long"), parts - 1), lambda p: spot(0, place(2, blocks), p))
+    dealt = known.select("sig", "fp", "size", F.col("root_fp").alias("root"), "bits", F.explode(F.when(F.col("head"), F.concat(held, past)).otherwise(past)).alias("at"))
+    dealt = dealt.select("sig", "at.*", "fp", "size", "root", "bits").repartition("sig", "block", "part").sortWithinPartitions("sig", "block", "part", "role")
+    return dealt.mapInArrow(_meeting(similarity), "a long, b long")
+
+
+def _meeting(similarity: int):
+    """Rows (sig, block, part, role, fp, size, root, bits) in this order, heads (role 0) before members, to the pairs that sizes and parity bits allow."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held, ready = None, [], None
+        for batch in slices(batches, 1024):
+            sig, block, part, role, fp, size, root = (batch.column(c).to_numpy().astype(np.int64) for c in ("sig", "block", "part", "role", "fp", "size", "root"))
+            bits = batch.column("bits")
+            cut = np.flatnonzero(np.r_[True, (sig[1:] != sig[:-1]) | (block[1:] != block[:-1]) | (part[1:] != part[:-1]) | (role[1:] != role[:-1])])
+            for lo, hi in zip(cut.tolist(), [*cut[1:].tolist(), len(sig)], strict=True):
+                key = (sig[lo], block[lo], part[lo])
+                if key != now:
+                    now, held, ready = key, [], None
+                own = (fp[lo:hi], size[lo:hi], root[lo:hi], bits.slice(lo, hi - lo).to_pylist())
+                if role[lo] == 0:
+                    held.append(own)
+                    continue
+                if not held:  # no head fell into this portion
+                    continue
+                if ready is None:
+                    ready = (*[np.concatenate([h[c] for h in held]) for c in range(3)], _Bits([x for h in held for x in h[3]]))
+                fps, sizes, roots, marks = ready
+                # what the smaller size allows at best, and only what isn't linked yet
+                mine, step = _Bits(own[3]), max(1, (1 << 20) // len(fps))
+                for at in range(0, hi - lo, step):
+                    n = own[1][at : at + step, None]
+                    near = (100 * np.minimum(n, sizes) >= similarity * np.maximum(n, sizes)) & (own[2][at : at + step, None] != roots)
+                    i, j = np.nonzero(near)
+                    i += at
+                    keep = _possible(own[1][i], sizes[j], mine.apart(marks, i, j), similarity)
+                    a, b = own[0][i[keep]], fps[j[keep]]
+                    if len(a):
+                        yield pa.RecordBatch.from_arrays([pa.array(np.maximum(a, b)), pa.array(np.minimum(a, b))], names=["a", "b"])
+
+    return run
 
 
 def _mixed(rows: DataFrame, roots: DataFrame) -> DataFrame:

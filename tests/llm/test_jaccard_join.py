@@ -71,7 +71,7 @@ def planted(seed):
     return rows
 
 
-@pytest.mark.parametrize(("seed", "options"), [(1, {}), (2, {"classes": ((2, 1), (8, 2), (1 << 62, 3)), "small": 3, "heads": 6, "shard": 200, "most": 5})])
+@pytest.mark.parametrize(("seed", "options"), [(1, {}), (2, {"classes": ((2, 1), (8, 2), (1 << 62, 3)), "small": 3, "heads": 6, "shard": 200, "most": 5, "held": 600, "members": 4})])
 def test_planted(spark, seed, options):
     rows = planted(seed)
     assert got(j.join(spark.createDataFrame(rows, "doc_id long, text string"), **options)) == brute(rows)
