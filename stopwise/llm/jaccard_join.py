@@ -526,7 +526,7 @@ def _crowds(crowd: DataFrame, waiting: DataFrame, links: DataFrame, roots: DataF
     """Roots (node, root) once the waiting pairs and the large groups (sig, fp, size) have added their links.
 
     Members outside a group's largest component, as it is at first, meet the others: about `heads` of each group in the first round, when a
-    family falls into few components, and eight times as many in each further one. A hash of the set says who comes first, so the groups of one family send the same.
+    family falls into few components, and 64 times as many in each further one. A hash of the set says who comes first, so the groups of one family send the same.
     """
     rows = _mixed(crowd, roots)
     shares = rows.groupBy("sig", "root_fp").agg(F.count(F.lit(1)).alias("n"))
@@ -544,7 +544,7 @@ def _crowds(crowd: DataFrame, waiting: DataFrame, links: DataFrame, roots: DataF
         rows = rows.withColumn("outside", F.col("outside") & ~F.col("head")).drop("head", "root_fp", "of", "left", "most")
         if rows.filter("outside").isEmpty():
             return roots
-        rows, heads, first = _mixed(rows, roots), heads * 8, False
+        rows, heads, first = _mixed(rows, roots), heads * 64, False
 
 
 def _met(rows: DataFrame, sets: DataFrame, similarity: int, heads: int, size: int, members: int) -> DataFrame:
