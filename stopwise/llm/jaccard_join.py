@@ -16,6 +16,8 @@ Candidates. In a shard equal signatures form a group. All members meet the group
 the links found so far: only members of different components still have to meet. Of a large group those outside its
 largest component meet all others, more of them in each round, until it is in one component or all of them had their turn: a task holds a bounded
 portion of them and streams a portion of the members past it, and only pairs that sizes and parity bits allow become rows.
+Groups of one family have the same pairs. A pair becomes a row in the first group that both sets have, in the order of signatures: each row
+carries some of its set's first groups, and where two sets are known to share an earlier one they wait for that. What isn't known costs a repeated row and no pair.
 So a family of m near copies costs rows in proportion to m, no group is gathered as a whole, and no link between two components is lost.
 Parity bits are some bits of each set; where two sets' bits differ too often they can't be similar. What they allow is
 verified on whole sets: a task holds one set of a group and streams the others past it.
@@ -46,6 +48,8 @@ CLASSES = ((16, 1), (1 << 20, 2), (1 << 62, 3))
 SMALL, HEADS = 8, 8
 #: What a task holds of a large group: bytes of heads, and members that it streams past them.
 HELD, MEMBERS = 1 << 22, 256
+#: First groups of a set that its rows carry, one for each remainder of a hash.
+FIRSTS = 8
 #: Numbers that a shard of the index holds, about.
 SHARD = 1 << 21
 #: Frequent tokens (16 bytes each) that are given to all tasks.
@@ -547,49 +551,67 @@ def _crowds(crowd: DataFrame, waiting: DataFrame, links: DataFrame, roots: DataF
         rows, heads, first = _mixed(rows, roots), heads * 64, False
 
 
+def _with_firsts(rows: DataFrame, sets: DataFrame) -> DataFrame:
+    """Append to rows (sig, fp, ..) the bits of the set and its first groups, a signature for each remainder of their hashes (-1: none)."""
+    slot = F.pmod(F.xxhash64("sig"), F.lit(FIRSTS))
+    firsts = rows.groupBy("fp").agg(*[F.min(F.when(slot == i, F.col("sig"))).alias(f"first{i}") for i in range(FIRSTS)])
+    firsts = firsts.select("fp", F.array(*[F.coalesce(f"first{i}", F.lit(-1).cast("long")) for i in range(FIRSTS)]).alias("firsts"))
+    return rows.join(sets.select("fp", "bits").join(firsts, "fp"), "fp")
+
+
 def _met(rows: DataFrame, sets: DataFrame, similarity: int, heads: int, size: int, members: int) -> DataFrame:
-    """Pairs (a, b) of heads and members of a group (sig, fp, size, root_fp, head; of, left, most: its members, those that wait, its largest size), of different components, that sizes and parity bits allow.
+    """Pairs (a, b) of heads and members of a group (sig, fp, size, root_fp, head; of, left, most: its members, those that wait, its largest size), of different components, that sizes and parity bits allow and that are not known to meet in an earlier group.
 
-    A task holds a portion of a group's heads (`size` bytes, about) and streams `members` of its members past them.
+    A set that meets others and is a head itself has role 2, as it meets another head twice. A task holds a portion of a group's heads (`size` bytes, about) and streams `members` of its members past them.
     """
-    known = rows.join(sets.select("fp", "bits"), "fp")
+    known = _with_firsts(rows, sets)
     parts, blocks = F.ceil(F.col("of") / members), F.ceil(F.least(F.col("left"), F.lit(2 * heads)) * (F.col("most") / 2 + 64) / size)
     place = lambda salt, n: F.pmod(F.xxhash64("fp", F.lit(salt)), n)
     spot = lambda role, block, part: F.struct(F.lit(role).alias("role"), block.cast("int").alias("block"), part.cast("int").alias("part"))
-    past = F.transform(F.sequence(F.lit(0).cast("long"), blocks - 1), lambda b: spot(1, b, place(1, parts)))
+    past = lambda role: F.transform(F.sequence(F.lit(0).cast("long"), blocks - 1), lambda b: spot(role, b, place(1, parts)))
     held = F.transform(F.sequence(F.lit(0).cast("long"), parts - 1), lambda p: spot(0, place(2, blocks), p))
-    dealt = known.select("sig", "fp", "size", F.col("root_fp").alias("root"), "bits", F.explode(F.when(F.col("head"), F.concat(held, past)).otherwise(past)).alias("at"))
-    dealt = dealt.select("sig", "at.*", "fp", "size", "root", "bits").repartition("sig", "block", "part").sortWithinPartitions("sig", "block", "part", "role")
+    dealt = known.select("sig", "fp", "size", F.col("root_fp").alias("root"), "bits", "firsts", F.explode(F.when(F.col("head"), F.concat(held, past(2))).otherwise(past(1))).alias("at"))
+    dealt = dealt.select("sig", "at.*", "fp", "size", "root", "bits", "firsts").repartition("sig", "block", "part").sortWithinPartitions("sig", "block", "part", "role")
     return dealt.mapInArrow(_meeting(similarity), "a long, b long")
 
 
 def _meeting(similarity: int):
-    """Rows (sig, block, part, role, fp, size, root, bits) in this order, heads (role 0) before members, to the pairs that sizes and parity bits allow."""
+    """Rows (sig, block, part, role, fp, size, root, bits, firsts) in this order, heads (role 0) before members, to the pairs that sizes and parity bits allow.
+
+    A pair that shares one of its firsts before this group, or that meets again with the other one as the head, is left to that.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, held, ready = None, [], None
         for batch in slices(batches, 1024):
             sig, block, part, role, fp, size, root = (batch.column(c).to_numpy().astype(np.int64) for c in ("sig", "block", "part", "role", "fp", "size", "root"))
-            bits = batch.column("bits")
+            bits, firsts = batch.column("bits"), batch.column("firsts").flatten().to_numpy().reshape(len(sig), -1)
+            # those from this group on never agree
+            firsts = np.where(firsts < sig[:, None], firsts, -1)
+            firsts[(firsts < 0) & (role == 0)[:, None]] = -2
             cut = np.flatnonzero(np.r_[True, (sig[1:] != sig[:-1]) | (block[1:] != block[:-1]) | (part[1:] != part[:-1]) | (role[1:] != role[:-1])])
             for lo, hi in zip(cut.tolist(), [*cut[1:].tolist(), len(sig)], strict=True):
                 key = (sig[lo], block[lo], part[lo])
                 if key != now:
                     now, held, ready = key, [], None
-                own = (fp[lo:hi], size[lo:hi], root[lo:hi], bits.slice(lo, hi - lo).to_pylist())
+                own = (fp[lo:hi], size[lo:hi], root[lo:hi], firsts[lo:hi], bits.slice(lo, hi - lo).to_pylist())
                 if role[lo] == 0:
                     held.append(own)
                     continue
                 if not held:  # no head fell into this portion
                     continue
                 if ready is None:
-                    ready = (*[np.concatenate([h[c] for h in held]) for c in range(3)], _Bits([x for h in held for x in h[3]]))
-                fps, sizes, roots, marks = ready
+                    ready = (*[np.concatenate([h[c] for h in held]) for c in range(4)], _Bits([x for h in held for x in h[4]]))
+                fps, sizes, roots, earlier, marks = ready
                 # what the smaller size allows at best, and only what isn't linked yet
-                mine, step = _Bits(own[3]), max(1, (1 << 20) // len(fps))
+                mine, step = _Bits(own[4]), max(1, (1 << 20) // len(fps))
                 for at in range(0, hi - lo, step):
                     n = own[1][at : at + step, None]
                     near = (100 * np.minimum(n, sizes) >= similarity * np.maximum(n, sizes)) & (own[2][at : at + step, None] != roots)
+                    if role[lo] == 2:
+                        near &= own[0][at : at + step, None] > fps
+                    for c in range(earlier.shape[1]):
+                        near &= own[3][at : at + step, c, None] != earlier[:, c]
                     i, j = np.nonzero(near)
                     i += at
                     keep = _possible(own[1][i], sizes[j], mine.apart(marks, i, j), similarity)

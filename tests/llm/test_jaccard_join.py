@@ -103,6 +103,22 @@ def test_signatures_of_similar_sets_meet():
         assert found[0] & found[1] or np.array_equal(x, y)
 
 
+@pytest.mark.parametrize("options", [{"size": 1 << 22, "members": 256}, {"size": 600, "members": 7}])
+def test_groups_of_one_family_send_a_pair_once(spark, options):
+    """A family of sets that are similar in pairs, in 40 groups: each pair becomes one row, not one for each group."""
+    rng = np.random.default_rng(8)
+    base = np.unique(rng.integers(-(2**63), 2**63, 100))
+    sets = [np.unique(np.r_[np.delete(base, rng.integers(0, len(base), 2)), rng.integers(-(2**63), 2**63, 1)]) for _ in range(30)]
+    fps = [j._hash(x) for x in sets]
+    rows = [(int(sig), fp, len(x), fp, i % 3 > 0, 30, 20, 101) for sig in rng.integers(0, 2**62, 40) for i, (fp, x) in enumerate(zip(fps, sets, strict=True)) if rng.random() < 0.9 or i < 2]
+    rows = spark.createDataFrame(rows, "sig long, fp long, size int, root_fp long, head boolean, of long, left long, most int")
+    bits = spark.createDataFrame([(fp, bytearray(j.parity(x))) for fp, x in zip(fps, sets, strict=True)], "fp long, bits binary")
+    out = [tuple(r) for r in j._met(rows, bits, 80, 20, **options).collect()]
+    head = dict(zip(fps, (i % 3 > 0 for i in range(30)), strict=True))
+    assert set(out) == {(max(a, b), min(a, b)) for a in fps for b in fps if a != b and (head[a] or head[b])}
+    assert len(out) < 2 * len(set(out))
+
+
 def test_parity_bits_rule_out_no_similar_pair():
     rng = np.random.default_rng(6)
     ruled = 0
