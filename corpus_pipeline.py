@@ -28,7 +28,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates stays: that with the group's smallest id."""
+    """One document of each group of near-duplicates stays: that with the group's smallest id. SimHash and its Gray-order index link first, min-hashes what is left."""
     return simhash.keep_one(docs).select(*COLUMNS)
 
 

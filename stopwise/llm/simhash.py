@@ -1,7 +1,8 @@
 """Near-duplicates and their components, by SimHash or by the similarity of word shingles.
 
 By SimHash (op4): all links within 3 bits, through a Gray-order hierarchical index. By similarity (the
-pipeline's stage): all links of a Jaccard similarity of 0.8 or more over 5-word shingles, see `similar_links`.
+pipeline's stage): SimHash of 5-word shingles and the same index propose the first links, verified on whole sets; what
+three bits don't reach is found by min-hashes, so that all links of a Jaccard similarity of 0.8 or more are there, see `similar_links`.
 
 Fingerprints: 3-word shingles of the lower-cased text, XXH64, majority of each bit.
 
@@ -64,6 +65,11 @@ def simhash(text: str | None) -> int:
     starts = np.r_[0, ends[:-3] + 1].tolist()
     digest = xxhash.xxh64_intdigest
     h = np.fromiter([digest(one[a:b], 42) for a, b in zip(starts, ends[2:].tolist(), strict=True)], np.uint64, n - 2)
+    return majority(h)
+
+
+def majority(h: np.ndarray) -> int:
+    """The bits that are set in over half of the hashes (0 without any)."""
     # how often each byte value stands in each of the 8 byte places, then how often each bit is set
     seen = np.bincount((h.view(np.uint8).reshape(-1, 8) + (np.arange(8) << 8)).ravel(), minlength=2048).reshape(8, 256)
     over = (seen @ _BITS_OF_BYTE).ravel() * 2 > len(h)
@@ -150,8 +156,8 @@ class GrayIndex:
                 node = child
 
 
-def forest(n: int, links: Iterator[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
-    """For each of n positions the smallest one that it reaches."""
+def forest(n: int, links: Iterator[tuple[np.ndarray, np.ndarray]], used: list[tuple[np.ndarray, np.ndarray]] | None = None) -> np.ndarray:
+    """For each of n positions the smallest one that it reaches. used: takes those of the links that make a spanning forest."""
     label = np.arange(n)
     for a, b in links:
         while len(a):
@@ -160,7 +166,12 @@ def forest(n: int, links: Iterator[tuple[np.ndarray, np.ndarray]]) -> np.ndarray
             a, b, la, lb = a[open_], b[open_], la[open_], lb[open_]
             if not len(a):
                 break
-            np.minimum.at(label, np.maximum(la, lb), np.minimum(la, lb))
+            high, low = np.maximum(la, lb), np.minimum(la, lb)
+            np.minimum.at(label, high, low)
+            if used is not None:
+                joins = np.flatnonzero(label[high] == low)
+                joins = joins[np.unique(high[joins], return_index=True)[1]]
+                used.append((a[joins], b[joins]))
             while True:
                 up = label[label]
                 if (up == label).all():
@@ -169,8 +180,8 @@ def forest(n: int, links: Iterator[tuple[np.ndarray, np.ndarray]]) -> np.ndarray
     return label
 
 
-def _search(radius: int, most: int):
-    """Over a partition that holds whole groups in order: link each fingerprint to the first of its part of the group."""
+def _search(radius: int, most: int, direct: bool):
+    """Over a partition that holds whole groups in order: link each fingerprint to the first of its part of the group (direct: by links within the radius)."""
 
     def solve(pdf: pd.DataFrame) -> pd.DataFrame:
         v = pdf["fp"].to_numpy().view(np.uint64)
@@ -178,9 +189,11 @@ def _search(radius: int, most: int):
         group = np.cumsum(np.r_[True, key[1:] != key[:-1]]) - 1
         order = np.lexsort((gray_rank(v), group))
         v, group = v[order], group[order]
-        top = forest(len(v), GrayIndex(v, group).links(radius))
+        used: list[tuple[np.ndarray, np.ndarray]] = [(np.array([], np.int64),) * 2]
+        top = forest(len(v), GrayIndex(v, group).links(radius), used)
         own = np.flatnonzero(top != np.arange(len(v)))
-        a, b = v[own].view(np.int64), v[top[own]].view(np.int64)
+        i, j = (np.concatenate(x) for x in zip(*used, strict=True)) if direct else (own, top[own])
+        a, b = v[i].view(np.int64), v[j].view(np.int64)
         return pd.DataFrame({"a": np.maximum(a, b), "b": np.minimum(a, b)})
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -238,9 +251,10 @@ def _key(path: Sequence[int]):
     return F.xxhash64(F.lit(",".join(map(str, path))), *cols)
 
 
-def near_links(fps: DataFrame, radius: int = RADIUS, group_cap: int = 8192, max_depth: int = 4) -> DataFrame:
+def near_links(fps: DataFrame, radius: int = RADIUS, group_cap: int = 8192, max_depth: int = 4, direct: bool = False) -> DataFrame:
     """Links (a, b: fingerprints, a > b) that connect all distinct fingerprints within radius bits (3 at most).
 
+    direct: each link itself is within the radius, else it may stand for a chain of such.
     fps: one column fp of distinct longs. Groups at max_depth 4 share 44 bits, so they have at most 2^20 members.
     Keys are 64-bit hashes: if two groups share one, they are searched together, which costs time and loses nothing.
     """
@@ -266,7 +280,7 @@ def near_links(fps: DataFrame, radius: int = RADIUS, group_cap: int = 8192, max_
     every = ready[0]
     for r in ready[1:]:
         every = every.unionByName(r)
-    found = every.repartition("key").sortWithinPartitions("key").mapInPandas(_search(radius, 200_000), "a long, b long")
+    found = every.repartition("key").sortWithinPartitions("key").mapInPandas(_search(radius, 200_000, direct), "a long, b long")
     return found.distinct()
 
 
@@ -348,7 +362,7 @@ def _bands(h: np.ndarray, mult: np.ndarray, add: np.ndarray) -> list[int]:
 
 
 def _with_set(df: DataFrame, text_col: str, keep: Sequence[str] | None = None, bands: bool = False) -> DataFrame:
-    """Append __fp, a hash of the whole set of shingles (0: empty), and with bands __n, its size, and __bands."""
+    """Append __fp, a hash of the whole set of shingles (0: empty), and with bands __n, its size, __sim, its SimHash, and __bands."""
 
     def make():
         import xxhash
@@ -360,11 +374,12 @@ def _with_set(df: DataFrame, text_col: str, keep: Sequence[str] | None = None, b
         def f(texts: pa.Array) -> list[pa.Array]:
             sets = [shingles(t) for t in texts.to_pylist()]
             fp = pa.array(np.array([xxhash.xxh64_intdigest(h.tobytes(), 1) if len(h) else 0 for h in sets], np.uint64).view(np.int64))
-            return [fp, pa.array([len(h) for h in sets], pa.int32()), pa.array([_bands(h, mult, add) for h in sets], pa.list_(pa.int64()))] if bands else [fp]
+            sims = pa.array(np.array([majority(h) for h in sets] if bands else [], np.uint64).view(np.int64))
+            return [fp, pa.array([len(h) for h in sets], pa.int32()), sims, pa.array([_bands(h, mult, add) for h in sets], pa.list_(pa.int64()))] if bands else [fp]
 
         return f
 
-    more = [T.StructField("__n", T.IntegerType()), T.StructField("__bands", T.ArrayType(T.LongType()))]
+    more = [T.StructField("__n", T.IntegerType()), T.StructField("__sim", T.LongType()), T.StructField("__bands", T.ArrayType(T.LongType()))]
     return add_columns(df, [T.StructField("__fp", T.LongType()), *(more if bands else [])], [text_col], make, keep)
 
 
@@ -500,11 +515,31 @@ def _placed(rows: DataFrame) -> DataFrame:
     return materialize(join_keyed(cut.withColumn("own", own), sizes, ["key", "pid"]).select("key", "fp", "n", (F.col("before") + F.col("own")).alias("place")))
 
 
+def print_pairs(nodes: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """Pairs (a, b: hashes of sets, __fp) to verify: sets of one SimHash (__sim) and its first set, and first sets of SimHashes that the Gray index links within radius bits."""
+    sets = nodes.filter("__n > 0").select(F.col("__fp").alias("b"), "__sim")
+    prints = materialize(sets.groupBy("__sim").agg(F.min("b").alias("a"), F.count(F.lit(1)).alias("n")))
+    pairs = join_counted(sets, prints, ["__sim"], "n").filter("a <> b").select("a", "b")
+    links = materialize(near_links(prints.select(F.col("__sim").alias("fp")), radius, direct=True).select(F.col("a").alias("left"), F.col("b").alias("right")))
+    for c in ("left", "right"):
+        own = links.groupBy(c).agg(F.count(F.lit(1)).alias("n")).join(prints.select(F.col("__sim").alias(c), F.col("a").alias(f"of_{c}")), c)
+        links = materialize(join_counted(links, materialize(own), [c], "n"))
+    return materialize(pairs.unionByName(links.select(F.col("of_left").alias("a"), F.col("of_right").alias("b"))))
+
+
+def _rooted(rows: DataFrame, roots: DataFrame, c: str) -> DataFrame:
+    """Append the root (root_<c>) of the set that column c names; a set in very many rows apart from the others."""
+    own = rows.groupBy(c).agg(F.count(F.lit(1)).alias("n")).join(roots.select(F.col("node").alias(c), F.col("root")), c, "left")
+    return join_counted(rows, materialize(own.select(c, "n", F.coalesce("root", c).alias(f"root_{c}"))), [c], "n")
+
+
 def similar_links(df: DataFrame, nodes: DataFrame, text_col: str, similarity: float = SIMILARITY, small: int = 8, cap: int = 2048, most_words: int = 1 << 22, one_in: int = 32) -> DataFrame:
     """Links (a, b: hashes of sets) that connect all distinct sets of shingles with a Jaccard similarity of `similarity` (0.8 at least).
 
-    nodes: __fp, __n, __bands, __text (a hash of a text with that set). Sets that agree in a band of min-hashes share
-    a bucket; candidates are verified on the whole sets: pairs of buckets of up to `small` sets by joins, buckets of
+    nodes: __fp, __n, __sim, __bands, __text (a hash of a text with that set). SimHashes within 3 bits, found by the Gray index, propose the
+    first links. Three bits don't reach down to the similarity (pairs at 0.8 differ by ten, about), so
+    sets that agree in a band of min-hashes share a bucket, too, where those that are not in one component yet are compared;
+    candidates are verified on the whole sets: pairs of buckets of up to `small` sets by joins, buckets of
     up to `cap` sets and most_words shingles within a task, which sends a spanning forest. Larger buckets, of which those far
     above `cap` are dealt by ranges over tasks, go on in rounds, each
     with twice as many further members held against all later ones, but only where these are not in one
@@ -525,15 +560,21 @@ def similar_links(df: DataFrame, nodes: DataFrame, text_col: str, similarity: fl
         pairs = pairs.unionByName(join_keyed(crowd.filter("place > 0"), heads, ["key"]).filter(near).select("a", F.col("fp").alias("b")))
         many = many.unionByName(crowd.select(F.lit(2).alias("kind"), "key", "fp", "n", "place"))
     pairs = materialize(pairs.distinct())
+    prints = print_pairs(nodes)
     big = many.filter("kind = 2").drop("kind")
     # sets are made again from the texts, and only those that any candidate needs
-    wanted = pairs.select(F.col("a").alias("__fp")).unionByName(pairs.select(F.col("b").alias("__fp"))).unionByName(many.select(F.col("fp").alias("__fp"))).distinct()
+    wanted = pairs.unionByName(prints).select(F.explode(F.array("a", "b")).alias("__fp")).unionByName(many.select(F.col("fp").alias("__fp"))).distinct()
     wanted = materialize(nodes.select("__fp", "__text").join(wanted, "__fp"))
     texts = df.select(F.col(f"`{text_col}`").alias("__t"), F.xxhash64(f"`{text_col}`").alias("__text"))
     sets = materialize(_set_column(join_keyed(texts, wanted, ["__text"], max_rows=500_000).select("__fp", "__t").dropDuplicates(["__fp"]), "__t", ["__fp"]))
-    members = many.filter("kind = 1").select("key", F.col("fp").alias("__fp")).join(sets, "__fp")
+    links = _verified(prints, sets, similarity)
+    roots = materialize(components(links))
+    pairs = _rooted(_rooted(pairs, roots, "a"), roots, "b").filter("root_a <> root_b").select("a", "b")
+    members = materialize(_rooted(many.filter("kind = 1").select("key", "fp"), roots, "fp"))
+    mixed = members.groupBy("key").agg(F.min("root_fp").alias("lo"), F.max("root_fp").alias("hi")).filter("lo <> hi").select("key")
+    members = members.join(mixed, "key").select("key", F.col("fp").alias("__fp")).join(sets, "__fp")
     inner = members.repartition("key").sortWithinPartitions("key").mapInArrow(_bucket_links(similarity), "a long, b long").distinct()
-    links = _verified(pairs, sets, similarity).unionByName(materialize(inner))
+    links = links.unionByName(_verified(pairs, sets, similarity)).unionByName(materialize(inner))
     low, high = 1, 3
     while True:
         left = big.filter(F.col("place") >= low)
@@ -558,7 +599,7 @@ def _slim_and_named(df: DataFrame, text_col: str, id_col: str, similarity: float
         return slim, materialize(_named(slim))
     rows = df.select(F.col(f"`{id_col}`").alias("__id"), F.col(f"`{text_col}`").alias("__t"), F.xxhash64(f"`{text_col}`").alias("__text"))
     rows = materialize(_with_set(rows, "__t", ["__id", "__text"], bands=True))
-    nodes = materialize(rows.groupBy("__fp").agg(F.min("__id").alias("low"), F.min("__text").alias("__text"), F.first("__n").alias("__n"), F.first("__bands").alias("__bands"), F.count(F.lit(1)).alias("n")))
+    nodes = materialize(rows.groupBy("__fp").agg(F.min("__id").alias("low"), F.min("__text").alias("__text"), F.first("__n").alias("__n"), F.first("__sim").alias("__sim"), F.first("__bands").alias("__bands"), F.count(F.lit(1)).alias("n")))
     roots = components(similar_links(df, nodes, text_col, similarity))
     return rows.select("__id", "__fp"), materialize(_named_by(nodes.select(F.col("__fp").alias("fp"), "low", "n"), roots))
 

@@ -152,3 +152,32 @@ def test_large_buckets_lose_no_link(spark):
         assert len(set(want)) == len(set(got)) == len(set(zip(want, got, strict=True)))
     with pytest.raises(ValueError):
         s.similar_links(df, rows, "text", similarity=0.7)
+
+
+def test_stage_links_by_simhash(spark):
+    """Without min-hashes the Gray index over SimHashes of 5-word shingles finds the near copies within 3 bits, and whole sets verify them."""
+    texts = [prose(f"long {i}", 300).split() for i in range(12)]
+    texts += [[*t[:150], f"w{k}", *t[151:]] for k in range(4) for t in texts[:6]]
+    texts = [" ".join(t) for t in texts]
+    df = odd(spark, [(i, t, None, None, None) for i, t in enumerate(texts)])
+    rows = s._with_set(df.withColumn("__text", F.xxhash64("text")), "text", ["doc_id", "__text"], bands=True)
+    fps, sims = ({r.doc_id: r[c] for r in rows.collect()} for c in ("__fp", "__sim"))
+    bare = rows.withColumn("__bands", F.array().cast("array<long>"))
+    got = {(r.a, r.b) for r in s.similar_links(df, bare, "text").collect()}
+    root = {r.node: r.root for r in s.components(spark.createDataFrame(list(got), "a long, b long")).collect()}
+    want = brute_components([sims[i] % 2**64 for i in range(len(texts))])
+    assert len(set(want)) < len(texts) - 12
+    assert len(set(want)) == len({root.get(fps[i], fps[i]) for i in fps}) == len({(want[i], root.get(fps[i], fps[i])) for i in fps})
+    # texts that merely share a SimHash are not linked
+    assert s.similar_links(df.filter("doc_id < 12"), bare.filter("doc_id < 12").withColumn("__sim", F.lit(7).cast("long")), "text").count() == 0
+
+
+def test_direct_links_are_within_the_radius_and_span(spark):
+    v = _values(11)
+    signed = [x - (1 << 64) if x >> 63 else x for x in v]
+    df = spark.createDataFrame([(x,) for x in signed], "fp long")
+    links = [(r.a, r.b) for r in s.near_links(df, direct=True).collect()]
+    assert all(((a ^ b) % 2**64).bit_count() <= 3 for a, b in links)
+    root = {r.node: r.root for r in s.components(spark.createDataFrame(links, "a long, b long")).collect()}
+    want, got = brute_components(v), [root.get(x, x) for x in signed]
+    assert len(set(want)) == len(set(got)) == len(set(zip(want, got, strict=True)))
