@@ -36,14 +36,16 @@ def csv(spark: SparkSession, paths: str | Sequence[str], recursive: bool = False
 
 def heads(spark: SparkSession, paths: str | Sequence[str], at_once: int = 100) -> DataFrame:
     """The first line that isn't blank of each file, as a written table (file, header). Of a file no more than its beginning is read, which a limit for each file ensures; many files go in one job."""
-    own = spark.newSession()  # a split for each whole file, without touching the settings of the caller's session
-    own.conf.set("spark.sql.files.maxPartitionBytes", str(1 << 50))
+    own = spark.newSession()  # a split for each whole file (the cost of opening bounds splits, too), without touching the settings of the caller's session
+    for size in ("maxPartitionBytes", "openCostInBytes"):
+        own.conf.set(f"spark.sql.files.{size}", str(1 << 50))
     files = own.read.format("binaryFile").load(paths if isinstance(paths, str) else list(paths)).select("path", F.col("_metadata.file_path").alias("file"))
     path = shared_dir(spark)
     spark.createDataFrame([], "file string, header string").write.parquet(path)
     names = files.toLocalIterator()
     while some := list(islice(names, at_once)):
-        first = [own.read.text(r.path).filter("trim(value) <> ''").limit(1).select(F.lit(r.file).alias("file"), F.col("value").alias("header")) for r in some]
+        # a limit may take a row of any split; the header is in the first one
+        first = [own.read.text(r.path).filter("trim(value) <> '' and _metadata.file_block_start = 0").limit(1).select(F.lit(r.file).alias("file"), F.col("value").alias("header")) for r in some]
         reduce(DataFrame.unionByName, first).write.mode("append").parquet(path)
     return spark.read.schema("file string, header string").parquet(path)
 
