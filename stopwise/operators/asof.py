@@ -121,5 +121,6 @@ def _cuts(l: DataFrame, r: DataFrame, keys: list[str], width: float, most: int)
 def _sliced(side: DataFrame, cuts: DataFrame, keys: list[str], width: float) -> DataFrame:
     """Append __slice: 0 for keys that are not cut, null where there is no place."""
     rows = side.select("*", *_bin(keys, width))
-    met = join_checked(rows, cuts, ["__hash", "__bin"], "left")
+    # rows of one bin are one slice's and go into one task all the same
+    met = join_checked(rows, cuts, ["__hash", "__bin"], "left", salts=1)
     return met.withColumn("__slice", F.when(F.col("__at").isNotNull(), F.coalesce("__slice", F.lit(0)))).select(*side.columns, "__slice")
