@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import schemas as S
-from .functions.storage import materialize, shared_dir
+from .functions.storage import for_small_files, materialize, shared_dir
 from .operators import schedule
 from .operators.asof import asof_join
 from .plans import jobs
@@ -139,8 +139,10 @@ def asof_nearest_busy(spark, sf_dir):
 def sink_order(spark, sf_dir):
     """Each row's place in the files of its key, busy keys cut into several files."""
     path = shared_dir(spark)
-    writers.write_daily(_sink_events(spark, sf_dir), path, order=["event_time", "event_id"], rows_per_file=40)
-    back = writers.read_placed(spark.read.option("header", True), path, ["stop", "Year", "Month", "Day"])
+    events = _sink_events(spark, sf_dir)
+    writers.write_daily(events, path, order=["event_time", "event_id"], rows_per_file=40)
+    reader = for_small_files(spark).read.option("header", True).schema(", ".join(f"{c} string" for c in events.columns))
+    back = writers.read_placed(reader, path, ["stop", "Year", "Month", "Day"])
     return back.select(F.col("event_id").cast("long").alias("event_id"), F.col("stop").cast("string").alias("stop"), F.col("place").cast("long").alias("place"))
 
 

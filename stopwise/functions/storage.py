@@ -25,6 +25,16 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def for_small_files(spark: SparkSession) -> SparkSession:
+    """A session with the settings of the given one whose tasks read many small files each."""
+    own = spark.newSession()
+    for name, value in spark.conf.getAll.items():
+        if spark.conf.isModifiable(name):
+            own.conf.set(name, value)
+    own.conf.set("spark.sql.files.openCostInBytes", str(1 << 16))
+    return own
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     """True if there is a file or folder of that name, in whatever file system the path names; nothing is listed."""
     there = spark._jvm.org.apache.hadoop.fs.Path(path)

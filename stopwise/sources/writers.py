@@ -19,6 +19,8 @@ from ..functions.storage import delete, exists, key_folder, materialize, shared_
 _EVENT_TIME = "yyyy-MM-dd HH:mm:ss"
 #: Rows that one file of a busy key takes.
 ROWS_PER_FILE = 2_000_000
+#: Files of busy keys that one task writes, where files are small. Spark numbers those of a key and task by three digits, so their names sort up to 1,000.
+FILES_PER_TASK = 400
 #: Folder of the manifest (readers pass over names with an underscore).
 MANIFEST = "_folders"
 
@@ -26,26 +28,32 @@ MANIFEST = "_folders"
 def write_by_key(df: DataFrame, path: str, keys: dict[str, Column], order: Sequence[str] = (), compression: str = "none", rows_per_file: int = ROWS_PER_FILE) -> DataFrame:
     """Write df below path/key=value/.. in the order of each key; dynamic overwrite. Returns the distinct keys written.
 
-    A key of more than rows_per_file rows is dealt by ranges of the order, so that no task takes it whole.
+    A key of more than rows_per_file rows is dealt by ranges of the order, so that no task takes it whole; a task cuts its range
+    into files.
     """
     names = list(keys)
-    rows = materialize(df.withColumns(keys).dropna(subset=names))
+    # rows of one place in the order can be cut, too
+    rows = materialize(df.withColumns(keys).dropna(subset=names).withColumn("__tie", F.monotonically_increasing_id()))
     counts = materialize(rows.groupBy(*names).agg(F.count(F.lit(1)).alias("__n")))
     busy = counts.filter(F.col("__n") > rows_per_file)
     files = busy.agg(F.sum(F.ceil(F.col("__n") / rows_per_file))).first()[0]
-    cols = [F.col(f"`{c}`") for c in (*names, *order)]
+    cols = [F.col(f"`{c}`") for c in (*names, *order, "__tie")]
     if files:
-        split = join_checked(rows, busy.select(*names), names, "left_semi").repartitionByRange(int(files), *cols)
+        tasks = -(-int(files) // max(1, min(FILES_PER_TASK, ROWS_PER_FILE // rows_per_file)))
+        split = join_checked(rows, busy.select(*names), names, "left_semi").repartitionByRange(tasks, *cols)
         out = join_checked(rows, busy.select(*names), names, "left_anti").repartition(*cols[: len(names)]).unionByName(split)
     else:
         out = rows.repartition(*cols[: len(names)])
-    writer = out.sortWithinPartitions(*cols).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*names)
+    writer = out.sortWithinPartitions(*cols).drop("__tie").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*names)
+    # tasks move their own files to the staging folder, from which the job moves whole folders
+    writer = writer.option("maxRecordsPerFile", rows_per_file).option("mapreduce.fileoutputcommitter.algorithm.version", 2)
     writer.option("header", True).option("compression", compression).csv(path)
     return counts.drop("__n")
 
 
 def read_placed(df_reader, path: str, keys: Sequence[str]) -> DataFrame:
-    """Rows of a sink with `place`: a row's number among those of its key, from 0, by file name and line. df_reader: a DataFrameReader with the CSV options."""
+    """Rows of a sink with `place`: a row's number among those of its key, from 0, by file name and line. df_reader: a DataFrameReader with the CSV options
+    (for very many files that of `for_small_files`, and with a schema, as Spark lists all files once more to find one)."""
     raw = df_reader.csv(path)
     at = {"__file": F.col("_metadata.file_name"), "__block": F.col("_metadata.file_block_start"), "__line": F.monotonically_increasing_id()}
     raw = materialize(raw.select("*", *[c.alias(n) for n, c in at.items()]))
@@ -53,7 +61,8 @@ def read_placed(df_reader, path: str, keys: Sequence[str]) -> DataFrame:
     blocks = raw.groupBy(*where).agg(F.min("__line").alias("__first"), F.count(F.lit(1)).alias("__n"))
     before = F.sum("__n").over(Window.partitionBy(*keys).orderBy("__file", "__block")) - F.col("__n")
     blocks = materialize(blocks.withColumn("__before", before).drop("__n"))
-    return join_checked(raw, blocks, where).withColumn("place", F.col("__before") + F.col("__line") - F.col("__first")).drop("__file", "__block", "__line", "__first", "__before")
+    # a block is what one task has read
+    return join_checked(raw, blocks, where, salts=1).withColumn("place", F.col("__before") + F.col("__line") - F.col("__first")).drop("__file", "__block", "__line", "__first", "__before")
 
 
 def _date_keys(date: str, day: bool) -> dict[str, Column]:
